@@ -1,0 +1 @@
+"""Intentionally empty: every operator in scope is a batch rebuild (see README)."""
