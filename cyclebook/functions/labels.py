@@ -56,9 +56,9 @@ def fmt_diff(x: Column | str) -> Column:
 
 
 def fmt_int(x: Column | str) -> Column:
-    """Whole number with thousands separators."""
+    """Whole number with thousands separators; adding zero drops the sign of -0."""
     x = as_col(x)
-    return F.when(x.isNull(), MISSING).otherwise(F.format_number(F.bround(x, 0), 0))
+    return F.when(x.isNull(), MISSING).otherwise(F.format_number(F.bround(x, 0) + 0.0, 0))
 
 
 def fmt_m3(x: Column | str) -> Column:

@@ -15,7 +15,7 @@ from cyclebook.schema import BROKERS, ENRICHED_SCHEMA, TRADE_SCHEMA
 from cyclebook.sources.conform import empty_table, union_all
 from cyclebook.sources.files import read_sources
 from cyclebook.sources.reference import Reference
-from cyclebook.sources.sinks import read_table, write_grouped, write_table
+from cyclebook.sources.sinks import read_table, stage, write_grouped, write_table
 
 
 def component_flag(require_grade: bool = True):
@@ -59,17 +59,13 @@ def build_dataset(spark: SparkSession, sources: dict[str, DataFrame], ref: Refer
                   cache_dir: str | None = None) -> DataFrame:
     """Normalize, unite, backfill and enrich.
 
-    With ``cache_dir`` the normalized union is first written there: the backfill
-    reads it twice, and a written table spares the second normalization and
-    survives lost executors. The enriched table and the quality tables follow.
+    The backfill reads the normalized union twice, so it is staged in between.
+    With ``cache_dir`` the enriched table and the quality tables are stored too.
     """
-    combined = normalize_all(spark, sources, ref)
-    if cache_dir is None:
-        return enrich_combined(backfill_trade_cycle(combined, ref.calendar))
-
-    write_table(combined, f"{cache_dir}/normalized")
-    combined = read_table(spark, f"{cache_dir}/normalized", TRADE_SCHEMA)
+    combined = stage(normalize_all(spark, sources, ref), "normalized")
     enriched = enrich_combined(backfill_trade_cycle(combined, ref.calendar))
+    if cache_dir is None:
+        return enriched
     write_grouped(enriched, f"{cache_dir}/combined", "index_group")
     stored = read_table(spark, f"{cache_dir}/combined", ENRICHED_SCHEMA)
     for name, report in (("qa_coverage", qa_coverage), ("qa_unmapped", qa_unmapped),

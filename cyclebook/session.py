@@ -12,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -39,9 +39,12 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
 
 
 def size_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup for broadcast if a bounded count proves it short; else leave it as it is."""
+    """Mark a lookup for broadcast if a bounded count proves it short; else leave it as it is.
+
+    A short lookup is also kept in one partition, so preparing it needs no shuffle.
+    """
     rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    return F.broadcast(df.coalesce(1)) if rows <= max_rows else df
 
 
 def load_reference(spark: SparkSession, folder: str, fmt: str = "csv") -> Reference:

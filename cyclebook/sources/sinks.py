@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -24,6 +26,21 @@ def write_grouped(df: DataFrame, path: str, *parts: str) -> None:
     df.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Materialize a table that is read more than once, to spare its recomputation.
+
+    Uses the shared folder named by ``spark.checkpoint.dir``. Without one the
+    table stays lazy: slower, but just as right.
+    """
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        return df
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """A stored table, or None when it does not exist."""
     try:

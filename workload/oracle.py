@@ -478,7 +478,7 @@ def normalize_onex(tag="ox"):
           WHERE NOT (copies > 1 AND has_sleeve AND rn > 1))""",
         ruled("OneX", f"{tag}k", f"{tag}r", tag),
         f"""{tag}s AS (SELECT 'OneX' AS broker, trade_id,
-          CAST(day AS TIMESTAMP) + CAST(coalesce(clock, TIME '00:00:00') AS INTERVAL) AS exec_datetime,
+          coalesce(day + clock, CAST(day AS TIMESTAMP)) AS exec_datetime,
           day AS exec_date, CAST(hour(clock) AS INT) AS exec_hour, instrument, r_key_id AS grade,
           r_index_group AS index_group, r_itf AS itf, {ONEX_LEG} AS swap_leg_outright,
           coalesce({flag('r_y_n')}, FALSE) AS in_index, period,

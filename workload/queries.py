@@ -35,9 +35,11 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return dataset.enrich_combined(A.event_trades(spark, sf))
 
 
-def reference(spark: SparkSession) -> Reference:
-    return reference_from_tables(A.calendar(spark),
-                                 {b: spark.sql(A.rules_sql(b)) for b in A.RAW})
+def reference(spark: SparkSession, *brokers: str) -> Reference:
+    """Calendar and rule sheets, a few rows each and so kept in one partition."""
+    return reference_from_tables(
+        A.calendar(spark).coalesce(1),
+        {b: spark.sql(A.rules_sql(b)).coalesce(1) for b in brokers or A.RAW})
 
 
 def on_star(name, fn, sql=None):
@@ -293,7 +295,7 @@ def rule_query(broker: str, keys: dict[str, str]):
         raw = A.raw_export(spark, sf, broker)
         if broker == "ICE":
             raw = raw.withColumn("product", X.market_without_strip("market"))
-        rules = reference(spark).rules[broker]
+        rules = reference(spark, broker).rules[broker]
         tiers = {"ICE": R.ONE_TIER, "Modern": R.MODERN_TIERS, "Neon": R.NEON_TIERS}[broker]
         rules = R.neon_rules(rules) if broker == "Neon" else rules
         keyed = raw.withColumns({k: X.ukey(c) for k, c in keys.items()})
@@ -370,7 +372,7 @@ on_raw("swap_leg_kinds_onex", "OneX", lambda r: r.select(
 
 
 def in_index_rules(spark: SparkSession, sf: str) -> DataFrame:
-    ref = reference(spark)
+    ref = reference(spark, "ICE", "Neon", "OneX")
     ice = A.raw_export(spark, sf, "ICE").withColumn(
         "product_key", X.ukey(X.market_without_strip("market")))
     neon = A.raw_export(spark, sf, "Neon").withColumns(
@@ -482,7 +484,7 @@ on_star("labels", lambda t: index.monthly_index(t, by_grade=False).select(
 for _name, _broker in zip(Q.NORMALIZED, A.RAW):
     _fn, _tag = Q.NORMALIZED[_name]
     register(_name, lambda spark, sf, b=_broker: normalize.NORMALIZERS[b](
-        A.raw_export(spark, sf, b), reference(spark)),
+        A.raw_export(spark, sf, b), reference(spark, b)),
         Q.with_(Q.CALENDAR, _fn(_tag), select=f"SELECT {Q.NORMAL} FROM {_tag}n"))
 
 
