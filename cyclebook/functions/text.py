@@ -7,51 +7,73 @@ from pyspark.sql import functions as F
 
 from cyclebook.schema import FALSE_TOKENS, MONTH_CODES, TRUE_TOKENS
 
-# Fixed value: the Unicode dashes that count as a hyphen in keys.
-UNICODE_DASHES = "[‐‑‒–—―]"
+# Unicode dashes that count as a hyphen in keys, and the
+# characters with the Unicode White_Space property other than the blank.
+UNICODE_DASHES = "\u2010\u2011\u2012\u2013\u2014\u2015"
+WHITE_SPACE = ("\t\n\u000b\f\r\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 # Plain decimal or scientific notation. Java's own parser also takes "1d",
 # "inf" and "nan", none of which is a number in a trade export.
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_NUMBER = r"^ *([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?) *$"
 
 # Label layouts per source: which separator may stand between month and year.
 _STRICT_SEPARATOR = {"ICE": "", "Modern": "-", "Neon": "[- ]?"}
 
+_MONTH_NAMES = ("JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE", "JULY",
+                "AUGUST", "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER")
+
+
+# Spark copies an expression wherever a Column built from it is used, so the
+# functions below refer to their cleaned text as few times as they can.
+
 
 def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def lookup(values: dict, c: Column) -> Column:
+    """Value of a small fixed table; null for unknown keys."""
+    pairs = [F.lit(x) for item in values.items() for x in item]
+    return F.try_element_at(F.create_map(*pairs), c)
+
+
+def plain_spaces(c: Column | str) -> Column:
+    """Every white-space character becomes a blank."""
+    return F.translate(as_col(c).cast("string"), WHITE_SPACE, " " * len(WHITE_SPACE))
+
+
 def squish(c: Column | str) -> Column:
     """Trim, and reduce inner whitespace runs (no-break space included) to one blank."""
-    return F.trim(F.regexp_replace(as_col(c).cast("string"), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(plain_spaces(c), " {2,}", " "))
 
 
 def has_text(c: Column | str) -> Column:
     """True when the value holds something other than whitespace; never null."""
-    return F.coalesce(squish(c) != "", F.lit(False))
+    return F.coalesce(F.trim(plain_spaces(c)) != "", F.lit(False))
 
 
 def blank_to_na(c: Column | str) -> Column:
-    text = squish(c)
-    return F.when(~F.upper(text).isin("", "NA"), text)
+    return F.nullif(F.regexp_replace(squish(c), "^[Nn][Aa]$", ""), F.lit(""))
 
 
 def ukey(c: Column | str) -> Column:
     """Matching key: squished, dashes unified, upper case, empty becomes null."""
-    return F.nullif(F.upper(F.regexp_replace(squish(c), UNICODE_DASHES, "-")), F.lit(""))
+    dashed = F.translate(squish(c), UNICODE_DASHES, "-" * len(UNICODE_DASHES))
+    return F.nullif(F.upper(dashed), F.lit(""))
 
 
 def clean_num(c: Column | str) -> Column:
     """Number from text such as ``$1,234.50``; null for anything else."""
-    text = squish(F.regexp_replace(as_col(c).cast("string"), "[,$]", ""))
-    value = text.try_cast("double")
-    return F.when(text.rlike(_NUMBER) & (F.abs(value) < float("inf")), value)
+    bare = plain_spaces(F.translate(as_col(c).cast("string"), ",$", ""))
+    value = F.regexp_extract(bare, _NUMBER, 1).try_cast("double")
+    infinite = F.lit(float("inf"))
+    return F.nullif(F.nullif(value, infinite), -infinite)
 
 
 def parse_bool(c: Column | str) -> Column:
-    token = F.upper(squish(c))
-    return F.when(token.isin(*TRUE_TOKENS), True).when(token.isin(*FALSE_TOKENS), False)
+    tokens = {**{t: True for t in TRUE_TOKENS}, **{t: False for t in FALSE_TOKENS}}
+    return lookup(tokens, F.upper(squish(c)))
 
 
 def is_yes(c: Column | str) -> Column:
@@ -59,31 +81,32 @@ def is_yes(c: Column | str) -> Column:
     return F.coalesce(ukey(c).isin("Y", "YES", "TRUE", "1"), F.lit(False))
 
 
-def _month_number(code: Column) -> Column:
-    position = F.array_position(F.array(*[F.lit(m) for m in MONTH_CODES]), code)
-    return F.when(position > 0, position.cast("int"))
+def _month_label(text: Column, pattern: str, months: dict[str, str], year: str, to: str) -> Column:
+    """First of the month from (month, year) groups; ``year`` rewrites short years."""
+    month = lookup(months, F.regexp_extract(text, pattern, 1))
+    digits = F.regexp_replace(F.regexp_extract(text, pattern, 2), year, to)
+    return F.concat(digits, month).try_cast("date")
+
+
+def _month_parts(*names: tuple[str, ...]) -> dict[str, str]:
+    return {n: f"-{i:02d}-01" for codes in names for i, n in enumerate(codes, 1)}
 
 
 def parse_delivery_month(c: Column | str, strict: str | None = None) -> Column:
     """First of the month named by a label such as ``Jul26`` or ``JUL-2026``.
 
     The first "three letters, separator, digits" run in the label counts, so a
-    range gives its first month. A two-digit year is always 20xx.
+    range gives its first month. A year below 100 is always 20xx.
 
     ``strict`` names a source (ICE, Modern or Neon) whose older layout is then
     required for the whole label.
     """
-    text = F.upper(squish(c))
+    text, months = F.upper(squish(c)), _month_parts(MONTH_CODES)
     if strict is None:
         pattern = r"([A-Z]{3})[- ]?([0-9]{4}|[0-9]{2})"
-    else:
-        pattern = rf"^([A-Z]{{3}}){_STRICT_SEPARATOR[strict]}([0-9]{{4}}|[0-9]{{2}})$"
-    month = _month_number(F.regexp_extract(text, pattern, 1))
-    digits = F.regexp_extract(text, pattern, 2)
-    year = digits.try_cast("int")
-    short = (year < 100) if strict is None else (F.length(digits) == 2)
-    year = F.when(short, year + 2000).otherwise(year)
-    return F.when(month.isNotNull() & year.isNotNull(), F.make_date(year, month, F.lit(1)))
+        return _month_label(text, pattern, months, "^(?:00)?([0-9]{2})$", "20$1")
+    pattern = rf"^([A-Z]{{3}}){_STRICT_SEPARATOR[strict]}([0-9]{{4}}|[0-9]{{2}})$"
+    return _month_label(text, pattern, months, "^([0-9]{2})$", "20$1")
 
 
 def parse_period_words(c: Column | str) -> Column:
@@ -91,18 +114,12 @@ def parse_period_words(c: Column | str) -> Column:
 
     Two-digit years follow the usual century split: 69-99 are 19xx.
     """
-    text = F.upper(squish(c))
-    pattern = r"^([A-Z]{3,9})[ ./-]*([0-9]{4}|[0-9]{2})$"
-    word = F.regexp_extract(text, pattern, 1)
-    names = ("JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE", "JULY",
-             "AUGUST", "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER")
-    month = _month_number(F.when(word.isin(*MONTH_CODES, *names), F.left(word, F.lit(3))))
-    digits = F.regexp_extract(text, pattern, 2)
-    year = digits.try_cast("int")
-    year = (F.when(F.length(digits) == 4, year)
-            .when(year >= 69, year + 1900)
-            .otherwise(year + 2000))
-    return F.when(month.isNotNull() & year.isNotNull(), F.make_date(year, month, F.lit(1)))
+    text, months = F.upper(squish(c)), _month_parts(MONTH_CODES, _MONTH_NAMES)
+    layout = "^([A-Z]{{3,9}})[ ./-]*({})$"
+    return F.coalesce(
+        _month_label(text, layout.format("[0-9]{4}"), months, "", ""),
+        _month_label(text, layout.format("69|[7-9][0-9]"), months, "^(..)$", "19$1"),
+        _month_label(text, layout.format("[0-6][0-9]"), months, "^(..)$", "20$1"))
 
 
 def market_without_strip(c: Column | str) -> Column:

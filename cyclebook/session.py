@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # HotSpot never compiles methods beyond 8,000 bytes; wide projections would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
