@@ -27,6 +27,7 @@ _DATE_ORDERS = {
             (r"([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([7-9][0-9])", "19$3-$2-$1")],
 }
 _TAIL = {"seconds": r":[0-5]?[0-9]:[0-5]?[0-9](?:\.[0-9]+)?", "minutes": ":[0-5]?[0-9]"}
+_GAP = r"(?:\s+|T)"
 CLOCK_KINDS = ("12h seconds", "12h minutes", "24h seconds", "24h minutes")
 
 # Fixed value: day zero of spreadsheet serial dates.
@@ -34,19 +35,21 @@ SERIAL_ORIGIN = "1899-12-30"
 _LAST_SERIAL = 2958465  # 9999-12-31
 
 
-def _rewrite(text: Column, pattern: str, to: str) -> Column:
-    """Text that matches as a whole, rearranged; other text loses all its parts."""
-    return F.regexp_replace(text, f"^(?:{pattern}|.*)$", to)
+def _rewrite(c: Column | str, pattern: str, to: str) -> Column:
+    """Text that matches as a whole, rearranged; other text loses all its parts.
 
+    White space (no-break space included) may surround the pattern.
+    """
+    return F.regexp_replace(as_col(c), rf"(?Uis)^(?:\s*{pattern}\s*|.*)$", to)
 
-def _instant(text: Column, pattern: str, to: str) -> Column:
+
+def _instant(text: Column | str, pattern: str, to: str) -> Column:
     return _rewrite(text, pattern, to).try_cast("timestamp_ntz")
 
 
 def parse_date(c: Column | str, orders: Sequence[str] = ("ymd",)) -> Column:
     """Date by the first field order that gives a valid one."""
-    text = squish(c)
-    return F.coalesce(*[_rewrite(text, pattern, iso).try_cast("date")
+    return F.coalesce(*[_rewrite(c, pattern, iso).try_cast("date")
                         for order in orders for pattern, iso in _DATE_ORDERS[order]])
 
 
@@ -59,30 +62,29 @@ def parse_local_timestamp(c: Column | str, orders: Sequence[str] = ("ymd",),
                           kinds: Sequence[str] = CLOCK_KINDS,
                           allow_date_only: bool = False) -> Column:
     """Wall-clock instant from "date time" text with a blank or ``T`` between."""
-    text = F.upper(squish(c))
     day_tail, half_tail = _clock_tails(kinds, "24h"), _clock_tails(kinds, "12h")
     # Clocks that read like 24-hour time once AM or PM is dropped.
     plain = [f"((?:[01]?[0-9]|2[0-3]){day_tail})"] if day_tail else []
     if half_tail:
-        plain += [f"((?:0?[1-9]|1[01]){half_tail}) ?AM", f"(12{half_tail}) ?PM"]
+        plain += [rf"((?:0?[1-9]|1[01]){half_tail})\s*AM", rf"(12{half_tail})\s*PM"]
     clock = "".join(f"${4 + i}" for i in range(len(plain)))
     tries = []
     for order in orders:
         for day, iso in _DATE_ORDERS[order]:
-            tries.append(_instant(text, f"{day}[ T](?:{'|'.join(plain)})", f"{iso} {clock}"))
+            tries.append(_instant(c, rf"{day}{_GAP}(?:{'|'.join(plain)})", f"{iso} {clock}"))
             if half_tail:
-                midnight = f"{day}[ T]12({half_tail}) ?AM"
-                afternoon = f"{day}[ T]((?:0?[1-9]|1[01]){half_tail}) ?PM"
-                tries.append(_instant(text, midnight, f"{iso} 0$4"))
-                tries.append(_instant(text, afternoon, f"{iso} $4") + F.expr("INTERVAL 12 HOURS"))
+                midnight = rf"{day}{_GAP}12({half_tail})\s*AM"
+                afternoon = rf"{day}{_GAP}((?:0?[1-9]|1[01]){half_tail})\s*PM"
+                tries.append(_instant(c, midnight, f"{iso} 0$4"))
+                tries.append(_instant(c, afternoon, f"{iso} $4") + F.expr("INTERVAL 12 HOURS"))
             if allow_date_only:
-                tries.append(_instant(text, day, iso))
+                tries.append(_instant(c, day, iso))
     return F.coalesce(*tries)
 
 
 def parse_clock(c: Column | str, kinds: Sequence[str] = CLOCK_KINDS) -> Column:
     """Time of day from ``9:15:22 AM``, ``9:15 AM``, ``14:05:01`` or ``14:05``, on 1970-01-01."""
-    return parse_local_timestamp(F.concat(F.lit("1970-01-01 "), squish(c)), ("ymd",), kinds)
+    return parse_local_timestamp(F.concat(F.lit("1970-01-01 "), as_col(c)), ("ymd",), kinds)
 
 
 def at_clock(day: Column, clock: Column) -> Column:
@@ -123,14 +125,13 @@ def permissive_timestamp(c: Column | str) -> Column:
 
 def onex_date(c: Column | str) -> Column:
     """Date text in any field order, an eight-digit date, or a spreadsheet serial number."""
-    text = squish(c)
-    compact = _rewrite(text, "([0-9]{4})([0-9]{2})([0-9]{2})", "$1-$2-$3").try_cast("date")
-    number = F.floor(text.try_cast("double"))
-    serial = F.when(number <= _LAST_SERIAL,
-                    F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), number.try_cast("int")))
-    return (F.when(text.rlike("^[0-9]{8}$"), compact)
-            .when(text.rlike(r"^[0-9]+(\.[0-9]+)?$"), serial)
-            .otherwise(parse_date(text, ("ymd", "mdy", "dmy"))))
+    number = F.floor(_rewrite(c, r"([0-9]+)(?:\.[0-9]+)?", "$1").try_cast("double"))
+    serial = F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), number.cast("int"))
+    return F.coalesce(
+        parse_date(c, ("ymd",)),
+        F.when(number <= _LAST_SERIAL, serial),
+        _rewrite(c, "([0-9]{4})([0-9]{2})([0-9]{2})", "$1-$2-$3").try_cast("date"),
+        parse_date(c, ("mdy", "dmy")))
 
 
 def export_end(file_name: Column | str) -> Column:

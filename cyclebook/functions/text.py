@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 from cyclebook.schema import FALSE_TOKENS, MONTH_CODES, TRUE_TOKENS
 
-# Unicode dashes that count as a hyphen in keys, and the
-# characters with the Unicode White_Space property other than the blank.
-UNICODE_DASHES = "\u2010\u2011\u2012\u2013\u2014\u2015"
-WHITE_SPACE = ("\t\n\u000b\f\r\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
-               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+# Fixed value: Unicode dashes that count as a hyphen in keys.
+UNICODE_DASHES = "‐‑‒–—―"
 
 # Plain decimal or scientific notation. Java's own parser also takes "1d",
 # "inf" and "nan", none of which is a number in a trade export.
-_NUMBER = r"^ *([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?) *$"
+# (?U) makes white space include the no-break space and its kin.
+_NUMBER = r"(?U)^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
+
+_SEPARATOR = r"(?:-|\s+)?"
 
 # Label layouts per source: which separator may stand between month and year.
-_STRICT_SEPARATOR = {"ICE": "", "Modern": "-", "Neon": "[- ]?"}
+_STRICT_SEPARATOR = {"ICE": "", "Modern": "-", "Neon": _SEPARATOR}
 
 _MONTH_NAMES = ("JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE", "JULY",
                 "AUGUST", "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER")
@@ -38,19 +38,14 @@ def lookup(values: dict, c: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), c)
 
 
-def plain_spaces(c: Column | str) -> Column:
-    """Every white-space character becomes a blank."""
-    return F.translate(as_col(c).cast("string"), WHITE_SPACE, " " * len(WHITE_SPACE))
-
-
 def squish(c: Column | str) -> Column:
     """Trim, and reduce inner whitespace runs (no-break space included) to one blank."""
-    return F.trim(F.regexp_replace(plain_spaces(c), " {2,}", " "))
+    return F.trim(F.regexp_replace(as_col(c).cast("string"), r"(?U)\s+", " "))
 
 
 def has_text(c: Column | str) -> Column:
     """True when the value holds something other than whitespace; never null."""
-    return F.coalesce(F.trim(plain_spaces(c)) != "", F.lit(False))
+    return F.coalesce(as_col(c).cast("string").rlike(r"(?U)\S"), F.lit(False))
 
 
 def blank_to_na(c: Column | str) -> Column:
@@ -65,7 +60,7 @@ def ukey(c: Column | str) -> Column:
 
 def clean_num(c: Column | str) -> Column:
     """Number from text such as ``$1,234.50``; null for anything else."""
-    bare = plain_spaces(F.translate(as_col(c).cast("string"), ",$", ""))
+    bare = F.translate(as_col(c).cast("string"), ",$", "")
     value = F.regexp_extract(bare, _NUMBER, 1).try_cast("double")
     infinite = F.lit(float("inf"))
     return F.nullif(F.nullif(value, infinite), -infinite)
@@ -81,10 +76,11 @@ def is_yes(c: Column | str) -> Column:
     return F.coalesce(ukey(c).isin("Y", "YES", "TRUE", "1"), F.lit(False))
 
 
-def _month_label(text: Column, pattern: str, months: dict[str, str], year: str, to: str) -> Column:
+def _month_label(c: Column | str, layout: str, months: dict[str, str], year: str, to: str) -> Column:
     """First of the month from (month, year) groups; ``year`` rewrites short years."""
-    month = lookup(months, F.regexp_extract(text, pattern, 1))
-    digits = F.regexp_replace(F.regexp_extract(text, pattern, 2), year, to)
+    text, layout = as_col(c).cast("string"), f"(?Ui){layout}"
+    month = lookup(months, F.upper(F.regexp_extract(text, layout, 1)))
+    digits = F.regexp_replace(F.regexp_extract(text, layout, 2), year, to)
     return F.concat(digits, month).try_cast("date")
 
 
@@ -101,12 +97,12 @@ def parse_delivery_month(c: Column | str, strict: str | None = None) -> Column:
     ``strict`` names a source (ICE, Modern or Neon) whose older layout is then
     required for the whole label.
     """
-    text, months = F.upper(squish(c)), _month_parts(MONTH_CODES)
+    months = _month_parts(MONTH_CODES)
     if strict is None:
-        pattern = r"([A-Z]{3})[- ]?([0-9]{4}|[0-9]{2})"
-        return _month_label(text, pattern, months, "^(?:00)?([0-9]{2})$", "20$1")
-    pattern = rf"^([A-Z]{{3}}){_STRICT_SEPARATOR[strict]}([0-9]{{4}}|[0-9]{{2}})$"
-    return _month_label(text, pattern, months, "^([0-9]{2})$", "20$1")
+        layout = rf"([A-Z]{{3}}){_SEPARATOR}([0-9]{{4}}|[0-9]{{2}})"
+        return _month_label(c, layout, months, "^(?:00)?([0-9]{2})$", "20$1")
+    layout = rf"^\s*([A-Z]{{3}}){_STRICT_SEPARATOR[strict]}([0-9]{{4}}|[0-9]{{2}})\s*$"
+    return _month_label(c, layout, months, "^([0-9]{2})$", "20$1")
 
 
 def parse_period_words(c: Column | str) -> Column:
@@ -114,12 +110,12 @@ def parse_period_words(c: Column | str) -> Column:
 
     Two-digit years follow the usual century split: 69-99 are 19xx.
     """
-    text, months = F.upper(squish(c)), _month_parts(MONTH_CODES, _MONTH_NAMES)
-    layout = "^([A-Z]{{3,9}})[ ./-]*({})$"
+    months = _month_parts(MONTH_CODES, _MONTH_NAMES)
+    layout = r"^\s*([A-Z]{{3,9}})[\s./-]*({})\s*$"
     return F.coalesce(
-        _month_label(text, layout.format("[0-9]{4}"), months, "", ""),
-        _month_label(text, layout.format("69|[7-9][0-9]"), months, "^(..)$", "19$1"),
-        _month_label(text, layout.format("[0-6][0-9]"), months, "^(..)$", "20$1"))
+        _month_label(c, layout.format("[0-9]{4}"), months, "", ""),
+        _month_label(c, layout.format("69|[7-9][0-9]"), months, "^(..)$", "19$1"),
+        _month_label(c, layout.format("[0-6][0-9]"), months, "^(..)$", "20$1"))
 
 
 def market_without_strip(c: Column | str) -> Column:

@@ -17,17 +17,17 @@ from pyspark.sql import functions as F
 _RANK, _APART, _FIRST, _FACT = "__rank", "__apart", "__first", "__fact_"
 
 
-def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column],
-               apart: Column | None = None) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
+               apart: Column | None = None, row_id: Sequence[str] = ()) -> DataFrame:
     """First row of every key in the given order.
 
     Rows for which ``apart`` holds are all kept. Each becomes a key of its own,
-    so blank keys neither collapse nor gather in one task.
+    told apart by the ``row_id`` columns, so blank keys neither collapse nor
+    gather in one task and a repeated task sends every row the same way.
     """
-    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
     if apart is not None:
-        df = df.withColumn(_APART, F.when(apart, F.monotonically_increasing_id()))
-        keys = [*keys, F.col(_APART)]
+        df = df.withColumn(_APART, F.when(apart, F.struct(*row_id)))
+        keys = [*keys, _APART]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK, _APART)
 

@@ -14,17 +14,23 @@ def running(part: Sequence[str], order: Sequence[str]):
     return spec.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def complete_within(df: DataFrame, part: str, first: str, second: str,
-                    fill: dict[str, float]) -> DataFrame:
-    """Every (first, second) pair of values that occur within the same ``part``.
+def complete_within(df: DataFrame, part: str, first: str, second: str, value: str,
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """Every (first, second) pair of values that occur within the same ``part``; absent values are 0.
 
-    Meant for aggregated series: the grid of one part is days x segments, which
-    is the size of the answer, and parts are matched by key, never crossed.
+    Meant for aggregated series with one row per (part, first, second): the grid
+    of a part is days x segments, which is the size of the answer. Each segment
+    explodes the part's list of days, so nothing is joined. ``carry`` names
+    columns that are constant within a part.
     """
-    firsts = df.select(part, first).distinct()
-    seconds = df.select(part, second).distinct()
-    grid = firsts.join(seconds, part)
-    return grid.join(df, [part, first, second], "left").fillna(fill)
+    listed = df.withColumn(
+        "__firsts", F.collect_set(first).over(Window.partitionBy(part)))
+    per_second = listed.groupBy(part, second).agg(
+        F.map_from_entries(F.collect_list(F.struct(first, value))).alias("__values"),
+        F.first("__firsts").alias("__firsts"), *[F.first(c).alias(c) for c in carry])
+    each = per_second.withColumn(first, F.explode("__firsts"))
+    found = F.try_element_at("__values", F.col(first))
+    return each.select(part, first, second, F.coalesce(found, F.lit(0.0)).alias(value), *carry)
 
 
 def interpolate_to_grid(df: DataFrame, part: str, x: str, y: str,

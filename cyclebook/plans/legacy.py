@@ -12,7 +12,7 @@ from cyclebook.functions.measures import to_bbl, volume_bbl
 from cyclebook.functions.text import clean_num, has_text, squish, ukey
 from cyclebook.operators.ranking import keep_first
 from cyclebook.plans.dataset import component_flag
-from cyclebook.schema import BBL_PER_M3
+from cyclebook.schema import BBL_PER_M3, PROVENANCE
 
 
 def legacy_layout(trades: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def latest_neon_by_number(raw: DataFrame) -> DataFrame:
     order = [F.col("source_file_modified").desc_nulls_last(),
              clean_num("trade_id").desc_nulls_last(),
              F.col("source_file"), F.col("source_block"), F.col("source_row")]
-    return keep_first(ids, ["trade_id"], order, apart=~has_text("trade_id"))
+    return keep_first(ids, ["trade_id"], order, ~has_text("trade_id"), PROVENANCE)
 
 
 def latest_onex_by_sheet(raw: DataFrame, order: Sequence[str] = (
@@ -88,4 +88,4 @@ def latest_onex_by_sheet(raw: DataFrame, order: Sequence[str] = (
                            "export_end": D.export_end("source_file")})
     ranks = [F.col(c).desc_nulls_last() for c in order]
     return keep_first(ids, ["trade_id"], [*ranks, F.col("source_block"), F.col("source_row")],
-                      apart=F.col("trade_id").isNull())
+                      F.col("trade_id").isNull(), PROVENANCE)

@@ -21,7 +21,7 @@ from cyclebook.operators.ranking import (
     spread_row_number,
 )
 from cyclebook.operators.rules import MODERN_TIERS, NEON_TIERS, ONE_TIER, match_tiers, neon_rules
-from cyclebook.schema import RAW_COLUMNS
+from cyclebook.schema import PROVENANCE, RAW_COLUMNS
 from cyclebook.sources.conform import add_missing_cols, coerce_schema, drop_blank_rows
 from cyclebook.sources.reference import Reference
 
@@ -44,7 +44,7 @@ def latest_neon(raw: DataFrame) -> DataFrame:
     """Blank ids are separate trades."""
     ids = raw.withColumns({"trade_id": squish("trade_id"),
                            "parent_trade_id": F.nullif(squish("parent_trade_id"), F.lit(""))})
-    return keep_first(ids, ["trade_id"], file_order(), apart=~has_text("trade_id"))
+    return keep_first(ids, ["trade_id"], file_order(), ~has_text("trade_id"), PROVENANCE)
 
 
 def latest_onex(raw: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def latest_onex(raw: DataFrame) -> DataFrame:
                            "export_end": D.export_end("source_file")})
     return keep_first(ids, ["trade_id"],
                       [F.col("export_end").desc_nulls_last(), *file_order()],
-                      apart=F.col("trade_id").isNull())
+                      F.col("trade_id").isNull(), PROVENANCE)
 
 
 # --- Status filters -----------------------------------------------------------
@@ -122,7 +122,7 @@ def neon_in_index(y_n: Column | str, index: Column | str) -> Column:
 def collapse_spreads(df: DataFrame) -> DataFrame:
     """One row per spread parent, the lowest deal id; rows without a parent all stay."""
     return keep_first(df, ["spread_parent_id"], [F.col("deal_id").asc_nulls_last()],
-                      apart=~has_text("spread_parent_id"))
+                      ~has_text("spread_parent_id"), PROVENANCE)
 
 
 def flag_parents(df: DataFrame) -> DataFrame:

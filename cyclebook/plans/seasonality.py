@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cyclebook.functions.measures import percent_bin
 from cyclebook.operators.series import complete_within, interpolate_to_grid, running
-from cyclebook.plans.filters import Months, in_months, index_components, recent_months
+from cyclebook.plans.filters import Months, in_months, index_components
 
 # Axis choices of the season view and the columns they stand for.
 X_AXES = {"day": "trading_day_rank", "pct": "norm_pct"}
@@ -21,17 +21,44 @@ def season_xy(x: str, y: str) -> tuple[str, str]:
     return X_AXES["day" if x == "day" else "pct"], Y_AXES[y]
 
 
-def _positions(days: DataFrame) -> DataFrame:
-    """Calendar day, trading-day rank and percent through the cycle of every trading day."""
-    month = Window.partitionBy("delivery_month")
-    ranked = days.withColumns({
+def _position_columns(out: DataFrame) -> DataFrame:
+    """Calendar day and percent through the cycle from rank, day count and cycle start."""
+    rank, n = F.col("trading_day_rank"), F.col("n_trading_days")
+    return out.withColumns({
         "cycle_day": (F.datediff("exec_date", "cyc_start") + 1).cast("int"),
+        "norm_pct": F.when(n > 1, (rank - 1) / (n - 1) * 100).otherwise(0.0),
+    }).drop("cyc_start")
+
+
+def _total_days(d: DataFrame) -> DataFrame:
+    month = Window.partitionBy("delivery_month")
+    days = d.groupBy("delivery_month", "exec_date").agg(
+        F.sum("qty_m3").alias("day_vol"), F.min("trade_cycle_start").alias("cyc_start"))
+    return days.withColumns({
         "trading_day_rank": F.row_number().over(month.orderBy("exec_date")),
         "n_trading_days": F.count(F.lit(1)).over(month).cast("int"),
-        "total_vol": F.sum("vol").over(month),
-    })
-    rank, n = F.col("trading_day_rank"), F.col("n_trading_days")
-    return ranked.withColumn("norm_pct", F.when(n > 1, (rank - 1) / (n - 1) * 100).otherwise(0.0))
+        "total_vol": F.sum("day_vol").over(month)})
+
+
+def _segment_days(d: DataFrame, by: str) -> DataFrame:
+    """One row per day and segment of a month, zero volume included.
+
+    What belongs to the month (its trading days, total and cycle start) is put
+    on the aggregated rows first and carried along, so trades are read once. The
+    lists hold the trading days of one cycle.
+    """
+    month = Window.partitionBy("delivery_month")
+    base = d.groupBy("delivery_month", "exec_date", F.col(by).alias("seg")).agg(
+        F.sum("qty_m3").alias("day_vol"), F.min("trade_cycle_start").alias("seg_start"))
+    marked = base.withColumns({
+        "total_vol": F.sum("day_vol").over(month),
+        "cyc_start": F.min("seg_start").over(month),
+        "days": F.array_sort(F.collect_set("exec_date").over(month))})
+    grid = complete_within(marked.filter(F.col("seg").isNotNull()), "delivery_month", "exec_date",
+                           "seg", "day_vol", carry=["total_vol", "cyc_start", "days"])
+    return grid.filter(F.col("cyc_start").isNotNull()).withColumns({
+        "trading_day_rank": F.array_position("days", F.col("exec_date")).cast("int"),
+        "n_trading_days": F.size("days")}).drop("days")
 
 
 def cycle_seasonality(trades: DataFrame, ig: str = "SW", definition: str = "comm",
@@ -41,23 +68,10 @@ def cycle_seasonality(trades: DataFrame, ig: str = "SW", definition: str = "comm
     Trades are aggregated to day level once; everything after works on days.
     """
     d = index_components(trades, ig, definition, grades)
-    keys = ["delivery_month", "exec_date"]
-    if by is None:
-        days = d.groupBy(*keys).agg(F.sum("qty_m3").alias("vol"),
-                                    F.min("trade_cycle_start").alias("cyc_start"))
-        out = _positions(days).withColumnRenamed("vol", "day_vol").drop("cyc_start")
-        part = ["delivery_month"]
-    else:
-        base = d.groupBy(*keys, F.col(by).alias("seg")).agg(
-            F.sum("qty_m3").alias("day_vol"), F.min("trade_cycle_start").alias("seg_start"))
-        days = base.groupBy(*keys).agg(F.sum("day_vol").alias("vol"),
-                                       F.min("seg_start").alias("cyc_start"))
-        volumes = base.filter(F.col("seg").isNotNull()).select(*keys, "seg", "day_vol")
-        grid = complete_within(volumes, "delivery_month", "exec_date", "seg", {"day_vol": 0.0})
-        out = grid.join(_positions(days).drop("vol", "cyc_start"), keys).filter(
-            F.col("cycle_day").isNotNull())
-        part = ["delivery_month", "seg"]
-    out = out.withColumn("cum_vol", F.sum("day_vol").over(running(part, ["exec_date"])))
+    days = _total_days(d) if by is None else _segment_days(d, by)
+    part = ["delivery_month"] if by is None else ["delivery_month", "seg"]
+    out = _position_columns(days).withColumn(
+        "cum_vol", F.sum("day_vol").over(running(part, ["exec_date"])))
     return out.withColumns({"day_pct": F.col("day_vol") / F.col("total_vol") * 100,
                             "cum_pct": F.col("cum_vol") / F.col("total_vol") * 100})
 
@@ -70,10 +84,13 @@ def seasonality_bars(season_seg: DataFrame, x: str = "day", y: str = "daily_raw"
     Shows the most recent ``max_months`` of the selected months.
     """
     xvar, yvar = season_xy(x, y)
-    shown = recent_months(in_months(season_seg, months), max_months)
     base = F.col(xvar).cast("double") if x == "day" else percent_bin("norm_pct", bin_width)
     value = F.max(yvar) if y.startswith("cum") else F.sum(yvar)
-    return (shown.groupBy("delivery_month", base.alias("base"), "seg").agg(value.alias("val"))
+    bars = in_months(season_seg, months).groupBy(
+        "delivery_month", base.alias("base"), "seg").agg(value.alias("val"))
+    # Every task keeps its latest months only before they are ranked together.
+    newest = F.dense_rank().over(Window.orderBy(F.col("delivery_month").desc()))
+    return (bars.withColumn("newest", newest).filter(F.col("newest") <= max_months).drop("newest")
             .orderBy("delivery_month", "base", "seg"))
 
 

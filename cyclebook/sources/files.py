@@ -108,10 +108,10 @@ def _with_provenance(df: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("source_row"))
 
 
-def _cell(name: str):
-    """Trimmed text; an empty cell or the marker NA is missing."""
+def _cell(name: str, missing: Sequence[str]):
+    """Trimmed text; null for the markers of a missing cell."""
     text = F.trim(F.col(f"`{name}`").cast("string"))
-    return F.when(~text.isin("", "NA"), text).alias(name)
+    return F.when(~text.isin(*missing), text)
 
 
 def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame | None:
@@ -128,12 +128,12 @@ def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = False)
                .option("escape", '"').option("multiLine", multi_line)
                .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
                .csv(paths))
-        parts.append(_with_provenance(raw).withColumns({n: _cell(n) for n in names}))
+        parts.append(_with_provenance(raw).withColumns({n: _cell(n, ("", "NA")) for n in names}))
     return union_all(parts) if parts else None
 
 
 def read_parquet_folder(spark: SparkSession, folder: str) -> DataFrame | None:
-    """The same for exports landed as Parquet; every column becomes text."""
+    """The same for sheets landed as Parquet; every column becomes text, and NA stays text."""
     try:
         raw = (spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True)
                .option("ignoreMissingFiles", True).option("pathGlobFilter", PARQUET_GLOB)
@@ -146,7 +146,7 @@ def read_parquet_folder(spark: SparkSession, folder: str) -> DataFrame | None:
     names = clean_names(raw.columns)
     tagged = _with_provenance(raw)
     return tagged.toDF(*names, *tagged.columns[len(names):]).withColumns(
-        {n: _cell(n) for n in names})
+        {n: _cell(n, ("",)) for n in names})
 
 
 def read_source(spark: SparkSession, folder: str, prefer_table: str | None = None,

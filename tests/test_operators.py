@@ -14,12 +14,12 @@ D = dt.date
 def test_keep_first_keeps_exempt_rows(spark):
     df = spark.createDataFrame(
         [("a", 2), ("a", 1), ("b", 5), (None, 1), (None, 2), ("", 3), ("", 4)], "k string, v int")
-    kept = ranking.keep_first(df, ["k"], [F.col("v").asc()], apart=F.coalesce("k", F.lit("")) == "")
+    blank = F.coalesce("k", F.lit("")) == ""
+    kept = ranking.keep_first(df, ["k"], [F.col("v").asc()], blank, ["v"])
     assert sorted((r.k or "", r.v) for r in kept.collect()) == [
         ("", 1), ("", 2), ("", 3), ("", 4), ("a", 1), ("b", 5)]
     assert kept.columns == ["k", "v"]
-    again = ranking.keep_first(kept, ["k"], [F.col("v").asc()],
-                               apart=F.coalesce("k", F.lit("")) == "")
+    again = ranking.keep_first(kept, ["k"], [F.col("v").asc()], blank, ["v"])
     assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, kept.collect()), key=str)
 
 
@@ -123,7 +123,7 @@ def test_tiers_coalesce_per_column(spark, rule_rows):
 def test_complete_within(spark):
     df = spark.createDataFrame(
         [("m1", 1, "a", 5.0), ("m1", 2, "b", 6.0), ("m2", 1, "a", 7.0)], "m string, d int, s string, v double")
-    got = sorted(map(tuple, series.complete_within(df, "m", "d", "s", {"v": 0.0}).collect()))
+    got = sorted(map(tuple, series.complete_within(df, "m", "d", "s", "v").collect()))
     assert got == [("m1", 1, "a", 5.0), ("m1", 1, "b", 0.0), ("m1", 2, "a", 0.0),
                    ("m1", 2, "b", 6.0), ("m2", 1, "a", 7.0)]
 

@@ -80,10 +80,10 @@ def test_preferred_sheet_and_parquet(spark, tmp_path):
     folder = str(tmp_path / "m")
     assert files.read_source(spark, folder, "Trade Report").first().a == "report"
     assert files.read_source(spark, folder, "Trades").first().a == "first"
-    spark.createDataFrame([(7, " NA "), (8, "b")], "`Trade ID` int, x string").write.parquet(
+    spark.createDataFrame([(7, " "), (8, " NA ")], "`Trade ID` int, x string").write.parquet(
         str(tmp_path / "p"))
     rows = files.read_source(spark, str(tmp_path / "p"), fmt="parquet").orderBy("trade_id").collect()
-    assert [(r.trade_id, r.x) for r in rows] == [("7", None), ("8", "b")]
+    assert [(r.trade_id, r.x) for r in rows] == [("7", None), ("8", "NA")]
 
 
 def test_blank_rows_union_and_schema(spark):
