@@ -144,7 +144,7 @@ def monthly_table(trades: DataFrame, ig: str = "SW",
     wide = monthly_compare_full(trades, ig, grades)
     columns = [month_label("delivery_month").alias("Month")]
     for s in SERIES:
-        columns += [F.round(f"{s}_vwap", 3).alias(f"{s}_vwap"),
+        columns += [F.bround(f"{s}_vwap", 3).alias(f"{s}_vwap"),
                     F.col(f"{s}_vol_m3").alias(f"{s}_vol"),
                     F.col(f"{s}_trades").alias(f"{s}_trd")]
     return wide.select(*columns)

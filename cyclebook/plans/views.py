@@ -16,7 +16,7 @@ from cyclebook.sources.sinks import write_csv
 
 def _named(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[
-        (F.round(source, 3) if source == "price" else F.col(source)).alias(name)
+        (F.bround(source, 3) if source == "price" else F.col(source)).alias(name)
         for name, source in columns.items()])
 
 

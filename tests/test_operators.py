@@ -148,3 +148,24 @@ def test_interpolation_matches_numpy(spark):
         want = np.interp(grid, *zip(*points))
         assert [x for x, _ in mine] == list(grid)
         assert np.allclose([y for _, y in mine], want)
+
+
+def test_hot_key_with_a_third_of_the_rows(spark):
+    """One key, and one group of copies, holds a third of the rows."""
+    n = 60_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id",
+        (F.col("id") % 30 == 0).alias("s"), (n - F.col("id")).cast("double").alias("v"))
+    newest = ranking.keep_first(df, ["k"], [F.col("id").desc()])
+    assert newest.count() == 1 + n * 2 // 3
+    assert newest.filter("k = 0").first().id == n - 3
+
+    single = ranking.collapse_copies(df, ["k"], "s", [F.col("s"), F.col("v")])
+    assert single.count() == 1 + n * 2 // 3
+    assert single.filter("k = 0").first().id == n - 3
+
+    ranks = ranking.spread_row_number(df, ["k"], ["s"], "v", [F.col("id")], "rn").filter("k = 0")
+    facts = ranks.agg(F.count("rn"), F.countDistinct("rn"), F.min("rn"), F.max("rn")).first()
+    assert tuple(facts) == (n // 3, n // 3, 1, n // 3)
+    last = ranks.orderBy(F.col("rn").desc()).first()
+    assert (last.s, last.id) == (True, 0)

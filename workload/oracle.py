@@ -548,7 +548,7 @@ def legacy_vwap(group, extra=""):
 
 
 def view(columns):
-    return ", ".join(f"""{'round(price, 3)' if src == 'price' else src} AS "{name}" """
+    return ", ".join(f"""{'round_even(price, 3)' if src == 'price' else src} AS "{name}" """
                      for name, src in columns)
 
 

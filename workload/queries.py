@@ -73,7 +73,7 @@ on_star("monthly_compare_full", index.monthly_compare_full,
         Q.on_trades("SELECT * FROM wide", Q.WIDE))
 on_star("monthly_table", index.monthly_table, Q.on_trades(
     "SELECT strftime(delivery_month, '%b %Y') AS \"Month\", " + ", ".join(
-        f'round("{s}_vwap", 3) AS "{s}_vwap", "{s}_vol_m3" AS "{s}_vol",'
+        f'round_even("{s}_vwap", 3) AS "{s}_vwap", "{s}_vol_m3" AS "{s}_vol",'
         f' "{s}_trades" AS "{s}_trd"' for s in Q.SERIES) + " FROM wide", Q.WIDE))
 on_star("broker_vwap_wide", index.broker_vwap_wide, Q.on_trades(
     "SELECT delivery_month, " + ", ".join(
@@ -200,9 +200,9 @@ on_star("index_ref_months", references.index_ref_months, Q.on_trades(
 
 on_star("qa_coverage", quality.qa_coverage, Q.on_trades(
     """SELECT broker, min(exec_date) AS oldest, max(exec_date) AS latest, count(*) AS rows,
-       count_if(index_group = 'SW') AS sw_rows, count_if(is_component) AS component_rows,
-       count_if(is_component_in_cycle) AS component_in_cycle,
-       count_if(index_group IS NULL) AS unmapped FROM t GROUP BY 1"""))
+       count(*) FILTER (WHERE index_group = 'SW') AS sw_rows, count(*) FILTER (WHERE is_component) AS component_rows,
+       count(*) FILTER (WHERE is_component_in_cycle) AS component_in_cycle,
+       count(*) FILTER (WHERE index_group IS NULL) AS unmapped FROM t GROUP BY 1"""))
 on_star("qa_unmapped", quality.qa_unmapped, Q.on_trades(
     """SELECT broker, instrument, price_basis, count(*) AS rows FROM t
        WHERE index_group IS NULL GROUP BY ALL"""))
@@ -535,15 +535,15 @@ on_untimed("legacy_layout", legacy.legacy_layout,
 on_untimed("completeness_summary",
            lambda t: quality.completeness_summary(legacy.legacy_layout(t)),
            Q.with_(Q.UNTIMED, Q.LAYOUT, select="""SELECT count(*) AS rows,
-      count_if("Trade ID" IS NULL OR "Trade ID" = '') AS missing_trade_id,
-      count_if("Exec Date" IS NULL) AS missing_exec_date,
-      count_if("Exec Time" IS NULL) AS missing_exec_time,
-      count_if(period_delivery_month IS NULL) AS missing_period_delivery_month,
-      count_if("In Index?" IS NULL) AS missing_in_index,
-      count_if("Index/Trade/Financial" IS NULL) AS missing_classification,
-      count_if("Index Group" IS NULL) AS missing_index_group,
-      count_if("KeyID" IS NULL) AS missing_key_id,
-      count_if(NOT "Inside Trade Cycle?") AS outside_trade_cycle FROM lay"""))
+      count(*) FILTER (WHERE "Trade ID" IS NULL OR "Trade ID" = '') AS missing_trade_id,
+      count(*) FILTER (WHERE "Exec Date" IS NULL) AS missing_exec_date,
+      count(*) FILTER (WHERE "Exec Time" IS NULL) AS missing_exec_time,
+      count(*) FILTER (WHERE period_delivery_month IS NULL) AS missing_period_delivery_month,
+      count(*) FILTER (WHERE "In Index?" IS NULL) AS missing_in_index,
+      count(*) FILTER (WHERE "Index/Trade/Financial" IS NULL) AS missing_classification,
+      count(*) FILTER (WHERE "Index Group" IS NULL) AS missing_index_group,
+      count(*) FILTER (WHERE "KeyID" IS NULL) AS missing_key_id,
+      count(*) FILTER (WHERE NOT "Inside Trade Cycle?") AS outside_trade_cycle FROM lay"""))
 on_untimed("unmatched_rules", lambda t: quality.unmatched_rules(legacy.legacy_layout(t)),
            Q.with_(Q.UNTIMED, Q.LAYOUT, select="""SELECT DISTINCT "Instrument", "Price Basis",
       "Location", "Period", "In Index?", "Index/Trade/Financial", "Swap/Leg/Outright",
@@ -559,7 +559,7 @@ on_raw("duplicate_summary", "OneX", lambda r: quality.duplicate_summary(
     Q.with_(Q.raw("OneX"), f"i AS (SELECT nullif({Q.sq('trade_id')}, '') AS id FROM raw)",
             "n AS (SELECT id, count(*) AS n FROM i WHERE id IS NOT NULL GROUP BY 1)",
             select="""SELECT (SELECT count(*) FROM i) AS rows_before_dedup,
-      count(*) AS unique_trade_ids, count_if(n > 1) AS duplicated_trade_ids,
+      count(*) AS unique_trade_ids, count(*) FILTER (WHERE n > 1) AS duplicated_trade_ids,
       CAST(sum(n - 1) AS BIGINT) AS duplicate_rows_to_remove FROM n"""))
 
 # --- Unions -----------------------------------------------------------------------
