@@ -158,18 +158,14 @@ def month_kpis(trades: DataFrame, dm: Months = None, ig: str = "SW", definition:
     """
     d = in_months(index_components(trades, ig, definition, grades), dm)
     keys = ["delivery_month"] if dm is None else []
-    per_broker = _sums(d, *keys, "broker", "grade").groupBy(*keys, "broker").agg(
-        F.sum("vol").alias("vol"), F.sum("num").alias("num"), F.sum("n").alias("n"),
-        F.collect_set("grade").alias("grades"),
-        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
-    zero = F.lit(0)
-    rolled = per_broker.groupBy(*keys).agg(
+    # One row per broker and grade is left when the distinct counts are taken.
+    rolled = _sums(d, *keys, "broker", "grade").groupBy(*keys).agg(
         ratio(F.sum("num"), F.sum("vol")).alias("index"),
         F.coalesce(F.sum("vol"), F.lit(0.0)).alias("vol_m3"),
         F.coalesce(to_bbl(F.sum("vol")), F.lit(0.0)).alias("vol_bbl"),
-        F.coalesce(F.sum("n"), zero).alias("trades"),
-        F.count("broker").alias("n_brokers"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("grades")))).cast("long").alias("n_grades"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("trades"),
+        F.countDistinct("broker").alias("n_brokers"),
+        F.countDistinct("grade").alias("n_grades"),
         F.min("first_day").alias("first"),
         F.max("last_day").alias("last"))
     return rolled.orderBy(*keys) if keys else rolled
