@@ -17,7 +17,7 @@ from cyclebook.schema import BBL_PER_M3, PROVENANCE
 
 def legacy_layout(trades: DataFrame) -> DataFrame:
     """21 named columns; location is the pipeline except for ICE, unknown windows count as outside."""
-    clock = F.when(F.col("exec_hour").isNotNull(), F.date_format("exec_datetime", "HH:mm:ss"))
+    clock = F.when(F.col("exec_hour").isNotNull(), F.substring(F.col("exec_datetime").cast("string"), 12, 8))
     location = F.when(F.col("broker") == "ICE", F.col("location")).otherwise(F.col("pipeline"))
     return trades.select(
         F.col("trade_id").alias("Trade ID"), F.col("exec_date").alias("Exec Date"),

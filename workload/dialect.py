@@ -4,15 +4,21 @@ from __future__ import annotations
 
 
 class SparkSQL:
-    formats = {
-        "ymd": "yyyy-MM-dd", "mdy": "MM/dd/yyyy",
-        "ymd hms": "yyyy-MM-dd HH:mm:ss", "ymd hm": "yyyy-MM-dd HH:mm",
-        "ymd hms p": "yyyy-MM-dd hh:mm:ss a", "mdy hms": "MM/dd/yyyy HH:mm:ss",
-        "Mon-Y": "MMM-yyyy", "MonY": "MMMyyyy", "Mon Y": "MMM yyyy",
-    }
+    # Cut from the text form: date_format would pass wall-clock times through the session zone.
+    month_formats = {"Mon-Y": "MMM-yyyy", "MonY": "MMMyyyy", "Mon Y": "MMM yyyy"}
 
     def fmt(self, x, name):
-        return f"date_format({x}, '{self.formats[name]}')"
+        if name in self.month_formats:
+            return f"date_format({x}, '{self.month_formats[name]}')"
+        text = f"CAST({x} AS STRING)"
+        day = f"substr({text}, 1, 10)"
+        if name.startswith("mdy"):
+            day = f"substr({text}, 6, 2) || '/' || substr({text}, 9, 2) || '/' || substr({text}, 1, 4)"
+        twelve = f"lpad(CAST((hour({x}) + 11) % 12 + 1 AS STRING), 2, '0')"
+        half = f"CASE WHEN hour({x}) < 12 THEN ' AM' ELSE ' PM' END"
+        clock = {"hms": f" || substr({text}, 11, 9)", "hm": f" || substr({text}, 11, 6)",
+                 "hms p": f" || ' ' || {twelve} || substr({text}, 14, 6) || {half}", "": ""}
+        return f"({day}{clock[name[4:]]})"
 
     def pick(self, items, i):
         return f"element_at(array({', '.join(items)}), CAST({i} AS INT) + 1)"
