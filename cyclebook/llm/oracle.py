@@ -27,3 +27,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN owners USING (doc_id)
 """
+
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest,
+    CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+f AS (
+  SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NULL OR first IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM f
+"""
+
+EMBEDDINGS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(e, lambda x: x * x)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.98),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT v.vec_id, (SELECT count(*) FROM link WHERE link.a = v.vec_id) AS n_links,
+  low.component_id, v.vec_id = low.component_id AS kept
+FROM v JOIN low ON low.a = v.vec_id
+"""

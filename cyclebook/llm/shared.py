@@ -54,7 +54,7 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
 def write_file(uri: str, parts: Iterable[bytes]) -> None:
     system, path = filesystem(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    with system.open_output_stream(path) as out:
+    with system.open_output_stream(path, compression=None) as out:
         for part in parts:
             out.write(part)
 

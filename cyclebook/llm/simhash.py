@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cyclebook.llm.components import connected_components, local_stars
 from cyclebook.llm.shared import add_columns, staged, utf8
@@ -143,3 +144,24 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     return (prints.join(named, "fingerprint", "left")
             .select("doc_id", "fingerprint",
                     F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+
+
+def keep_first(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
+               radius: int = 2) -> DataFrame:
+    """The rows of ``documents`` whose id is the smallest of its component.
+
+    Rows without an id stay. Of rows that share an id, the one with the least hash of its text
+    stays; such ids are few, and only their rows are ranked.
+    """
+    names = documents.columns
+    found = near_duplicates(documents, doc_id, text, shingle, radius).filter("doc_id is not null")
+    ids = found.groupBy("doc_id").agg(F.min("component_id").alias("low"), F.count("*").alias("rows"))
+    ids = staged(ids, "components")
+    rows = documents.withColumn("__id", F.col(doc_id).cast("long"))
+    gone = ids.filter("doc_id != low").select(F.col("doc_id").alias("__id"))
+    several = ids.filter("doc_id = low and rows > 1").select(F.col("doc_id").alias("__id"))
+    single = rows.join(gone.unionAll(several), "__id", "left_anti").select(*names)
+    order = Window.partitionBy("__id").orderBy(F.xxhash64(text), F.col(text))
+    first = (rows.join(several, "__id", "left_semi").withColumn("__place", F.row_number().over(order))
+             .filter("__place = 1").select(*names))
+    return single.unionAll(first)
