@@ -150,32 +150,34 @@ def _ask(buckets: int):
     return run
 
 
-def _answer(key, table):
+def _answer(hot_segments: int):
     """Pass 1, bucket side: flags for each hash of each row.
 
     Anchors: 1 occurs more than once, 2 has very many segments. Segments: 1 first in this pack.
     """
-    rows = sorted(zip(*(table[c].to_pylist() for c in ("pack", "kind", "keys", "note"))), key=lambda r: r[:2])
-    flags = [b""] * len(rows)
-    for kind in (0, 1):
-        own = [i for i, r in enumerate(rows) if r[1] == kind]
-        if not own:
-            continue
-        parts = [np.frombuffer(rows[i][2], np.uint64) for i in own]
-        keys = np.concatenate(parts)
-        _, first, group, times = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-        if kind:
-            flag = np.zeros(len(keys), np.uint8)
-            flag[first] = 1  # rows are in order of the packs
-        else:
-            note = np.concatenate([np.frombuffer(rows[i][3], "<i2") for i in own]).astype(np.int64)
-            several = (times > 1) | (np.bincount(group, note < 0) > 0)
-            hot = np.bincount(group, np.abs(note)) > HOT_SEGMENTS
-            flag = (several + 2 * hot).astype(np.uint8)[group]
-        for i, part in zip(own, np.split(flag, np.cumsum([len(p) for p in parts])[:-1])):
-            flags[i] = part.tobytes()
-    return pa.table({"pack": pa.array([r[0] for r in rows], pa.int64()), "bucket": pa.array([key[0].as_py()] * len(rows), pa.int64()),
-                     "kind": pa.array([r[1] for r in rows], pa.int32()), "flags": pa.array(flags, pa.binary())})
+    def run(key, table):
+        rows = sorted(zip(*(table[c].to_pylist() for c in ("pack", "kind", "keys", "note"))), key=lambda r: r[:2])
+        flags = [b""] * len(rows)
+        for kind in (0, 1):
+            own = [i for i, r in enumerate(rows) if r[1] == kind]
+            if not own:
+                continue
+            parts = [np.frombuffer(rows[i][2], np.uint64) for i in own]
+            keys = np.concatenate(parts)
+            _, first, group, times = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+            if kind:
+                flag = np.zeros(len(keys), np.uint8)
+                flag[first] = 1  # rows are in order of the packs
+            else:
+                note = np.concatenate([np.frombuffer(rows[i][3], "<i2") for i in own]).astype(np.int64)
+                several = (times > 1) | (np.bincount(group, note < 0) > 0)
+                hot = np.bincount(group, np.abs(note)) > hot_segments
+                flag = (several + 2 * hot).astype(np.uint8)[group]
+            for i, part in zip(own, np.split(flag, np.cumsum([len(p) for p in parts])[:-1])):
+                flags[i] = part.tobytes()
+        return pa.table({"pack": pa.array([r[0] for r in rows], pa.int64()), "bucket": pa.array([key[0].as_py()] * len(rows), pa.int64()),
+                         "kind": pa.array([r[1] for r in rows], pa.int32()), "flags": pa.array(flags, pa.binary())})
+    return run
 
 
 def _plan(pack: Pack, answers: list, buckets: int):
@@ -315,8 +317,8 @@ def _mark(buckets: int, with_text: bool):
     return run
 
 
-def _pack_documents(batches):
-    """Packs of whole documents of about ``PACK_BYTES``, numbered in order."""
+def _pack_documents(batches, pack_bytes: int):
+    """Packs of whole documents of about ``pack_bytes``, numbered in order."""
     ids, parts, size, number = [], [], 0, 0
 
     def close():
@@ -331,7 +333,7 @@ def _pack_documents(batches):
             ids.append(key)
             parts.append(text)
             size += len(text)
-            if size >= PACK_BYTES:
+            if size >= pack_bytes:
                 yield close()
                 ids, parts, size, number = [], [], 0, number + 1
     if ids:
@@ -339,14 +341,16 @@ def _pack_documents(batches):
 
 
 def repeated_passages(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                      with_text: bool = False) -> DataFrame:
+                      with_text: bool = False, pack_bytes: int = PACK_BYTES,
+                      hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """``doc_id, n_bytes, spans, kept_sha256`` of each row, and ``kept`` (binary) ``with_text``.
 
     Spans are the maximal runs of UTF-8 bytes covered by a string of ``LENGTH`` bytes that also begins
     at a smaller doc_id, or earlier in the same document. Null texts are empty; null ids come
     first; rows that share an id are in the order of a hash of their texts. Documents shorter than
     the length keep everything. A string that a third of all documents hold is sent once by
-    each pack. An empty table gives an empty one; other columns are not read.
+    each pack. An empty table gives an empty one; other columns are not read. ``pack_bytes`` and
+    ``hot_segments`` set how the work is cut and never change the result.
     """
     spark = documents.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -354,13 +358,13 @@ def repeated_passages(documents: DataFrame, doc_id: str = "doc_id", text: str =
     ordered = (rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
                .withColumn("part", F.spark_partition_id().cast("long")))
     name = f"packs_{uuid.uuid4().hex}"
-    (ordered.mapInArrow(_pack_documents, "pack long, ids array<long>, ends array<long>, data binary")
+    (ordered.mapInArrow(lambda batches: _pack_documents(batches, pack_bytes), "pack long, ids array<long>, ends array<long>, data binary")
      .write.bucketBy(buckets, "pack").option("path", new_folder(spark, "packs")).saveAsTable(name))
     try:
         packs = spark.table(name)
         asked = packs.mapInArrow(_ask(buckets), "bucket long, pack long, kind int, keys binary, note binary")
         flags = staged(asked.groupBy("bucket").applyInArrow(
-            _answer, "pack long, bucket long, kind int, flags binary"), "flags")
+            _answer(hot_segments), "pack long, bucket long, kind int, flags binary"), "flags")
         answers = flags.groupBy("pack").agg(F.collect_list(F.struct("kind", "bucket", "flags")).alias("answers"))
         known = packs.join(answers, "pack", "left")
         sent = known.select("pack", "ends", "data", "answers").mapInArrow(
