@@ -34,7 +34,7 @@ PATTERNS = {
 # Up to eight words in a row that each hold a digit or an at sign.
 _WORD = r"(?=[^\s0-9@]*+[0-9@])\S++"
 CHUNK = rf"(?<!\S){_WORD}(?:\x20{_WORD}){{0,7}}"
-_OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+_OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
 
 def _digits(found: Column) -> Column:

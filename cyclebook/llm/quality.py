@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +21,7 @@ from cyclebook.llm.shared import add_columns, staged, utf8
 BUCKETS = 1 << 14
 MAX_LABELLED = 40_000
 SEED = 17
+SMOOTHING = 2.0  # n-grams added to both counts of a bucket
 FIXED = 1 << 20  # weights are whole numbers of this fraction, so that sums have no order
 _TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x00-\x20]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -40,14 +40,6 @@ def buckets(text: bytes) -> np.ndarray:
     return (mixed >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
-@dataclass(frozen=True)
-class Model:
-    """Fixed-point log ratio of each bucket, and the log weight from which a row counts towards k."""
-
-    ratio: np.ndarray
-    cut: float
-
-
 def labelled_sample(labels: DataFrame, column: str, most: int = MAX_LABELLED) -> dict[int, int]:
     """At most ``most`` labelled ids with their labels, chosen by a hash of the id."""
     rows = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("y"))
@@ -77,11 +69,9 @@ def _ratios(rows: DataFrame, target: set[int]) -> np.ndarray:
     raw, chosen = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in table:
         raw[r.bucket], chosen[r.bucket] = r.raw, r.target
-    # A bucket that the target sample lacks gets the raw share of one n-gram in it.
-    share = raw + 1.0
-    share /= share.sum()
-    p = (chosen + share * 100) / (chosen.sum() + 100)
-    return np.round(np.log(p / share) * FIXED).astype(np.int64)
+    # What the target sample would hold at the raw rate; few expected n-grams are weak evidence.
+    expected = raw * (chosen.sum() / max(raw.sum(), 1.0))
+    return np.round(np.log((chosen + SMOOTHING) / (expected + SMOOTHING)) * FIXED).astype(np.int64)
 
 
 def _weights(documents: DataFrame, ratio: np.ndarray, text: str = "text") -> DataFrame:
