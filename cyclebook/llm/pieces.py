@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from cyclebook.llm.shared import add_columns, texts
 
 MARK = "▁"
-CACHED_WORDS = 600_000
-CACHED_PAIRS = 2_000_000
+CACHED_WORDS = 300_000
+CACHED_PAIRS = 300_000
 
 
 class Pieces:
@@ -40,7 +40,11 @@ class Pieces:
         self.score = {p: m.get_score(i) for p, i in self.id_of.items()}
         # Pieces that the merges can build; the others never occur in a segmentation.
         self.whole = {p for p in self.id_of if self.merged(p) == [p]}
-        self.tails = {p[i:] for p in self.whole for i in range(len(p))}
+        #: Every ending of such a piece, and whether it is itself one.
+        self.tails = {p[i:]: p[i:] in self.whole for p in self.whole for i in range(len(p))}
+        # Full stops and commas after an ASCII letter, where no piece holds both side by side.
+        apart = [c for c in ".," if not any(a.isalpha() and b == c for p in self.id_of for a, b in zip(p, p[1:]))]
+        self.stop = re.compile(f"(?<=[A-Za-z])([{''.join(apart)}])") if apart else None
         if any("\n" in p or MARK in p.lstrip(MARK) for p in self.id_of):
             raise ValueError("pieces of this model cross words")
         self.bytes_of = [b""] * len(ids)
@@ -50,6 +54,7 @@ class Pieces:
             self.bytes_of[i] = bytes([b])
         self.pairs: dict[tuple[str, str], bool] = {}
         self.cache: dict[str, bytes] = {"": b""}
+        self.packed = _Packed(self.id_of, self.byte_ids)
 
     def merged(self, text: str) -> list[str]:
         """Pieces by merging neighbours, the best score first and of equals the leftmost."""
@@ -77,16 +82,14 @@ class Pieces:
 
     def _follows(self, a: str, b: str) -> bool:
         """Whether the merges keep ``a`` and ``b`` apart when one follows the other."""
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[a, b] = a not in self.whole or self.merged(a + b) == [a, b]
+        if len(self.pairs) >= CACHED_PAIRS:
+            self.pairs.clear()
+        known = self.pairs[a, b] = a not in self.whole or self.merged(a + b) == [a, b]
         return known
 
     def segment_sorted(self, words: list[str]):
         """Pieces of each of the sorted words; a character without a piece stands for itself."""
-        whole, tails, follows = self.whole, self.tails, self._follows
+        known, pair, follows = self.tails.get, self.pairs.get, self._follows
         last, previous = [""], ""
         for word in words:
             keep = 0
@@ -97,13 +100,15 @@ class Pieces:
             del last[keep + 1:]
             for end in range(keep + 1, len(word) + 1):
                 options, start = [], end - 1
-                while start >= 0 and (tail := word[start:end]) in tails:
-                    if tail in whole:
+                while start >= 0 and (kind := known(tail := word[start:end])) is not None:
+                    if kind:
                         options.append(tail)
                     start -= 1
                 for piece in reversed(options):
                     at = end - len(piece)
-                    if not at or follows(last[at], piece):
+                    if not at:
+                        break
+                    if (fits := pair((last[at], piece))) or fits is None and follows(last[at], piece):
                         break
                 else:
                     piece = word[end - 1]
@@ -117,11 +122,7 @@ class Pieces:
             yield out
 
     def _ids(self, pieces: list[str]) -> bytes:
-        out = []
-        for p in pieces:
-            i = self.id_of.get(p)
-            out += [i] if i is not None else [self.byte_ids[b] for b in p.encode()]
-        return np.array(out, "<i4").tobytes()
+        return b"".join(map(self.packed.__getitem__, pieces))
 
     def _learn(self, words: set[str]) -> None:
         if len(self.cache) + len(words) > CACHED_WORDS:
@@ -138,7 +139,7 @@ class Pieces:
         """Little-endian 32-bit ids of each text."""
         out = []
         for i in range(0, len(batch), 256):
-            split = [marked_words(self.model.normalize(t) if t else "") for t in batch[i:i + 256]]
+            split = [marked_words(self.model.normalize(t) if t else "", self.stop) for t in batch[i:i + 256]]
             seen = set().union(*split)
             while new := seen.difference(self.cache):
                 self._learn(new)
@@ -156,10 +157,24 @@ class Pieces:
 _CHUNK = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 
 
-def marked_words(text: str) -> list[str]:
-    """Normalized text cut before each run of marks and around line ends, where no piece reaches."""
+class _Packed(dict):
+    """Bytes of the ids of a piece; a character without a piece is spelt in byte pieces."""
+
+    def __init__(self, id_of: dict[str, int], byte_ids: dict[int, int]) -> None:
+        super().__init__((p, np.array([i], "<i4").tobytes()) for p, i in id_of.items())
+        self.byte_ids = byte_ids
+
+    def __missing__(self, character: str) -> bytes:
+        return np.array([self.byte_ids[b] for b in character.encode()], "<i4").tobytes()
+
+
+def marked_words(text: str, stop: re.Pattern | None = None) -> list[str]:
+    """Normalized text cut where no piece reaches: before each run of marks, around line ends and
+    before ``stop``."""
     if MARK + MARK in text:
         return _CHUNK.findall(text)
+    if stop:
+        text = stop.sub(r" \1", text)
     return text.replace("\n", " \n ").replace(MARK, " " + MARK).split(" ")
 
 
@@ -192,7 +207,7 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``, the text of the ids; null ids give null."""
     def compute(batch):
         coder = pieces(model)
-        return [pa.array([None if x is None else coder.decode(x) for x in batch[ids].to_pylist()], pa.string())]
+        return [pa.array([coder.decode(x.as_py()) if x.is_valid else None for x in batch[ids]], pa.string())]
 
     return add_columns(encoded, "decoded string", compute)
 

@@ -16,6 +16,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+ROWS = 2048  # rows whose Python values a task holds at a time
+
 _local_root: list[str] = []
 
 
@@ -92,6 +94,8 @@ def add_columns(df: DataFrame, ddl: str,
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch)], names=names)
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                yield pa.RecordBatch.from_arrays([*part.columns, *compute(part)], names=names)
 
     return base.mapInArrow(run, schema)
