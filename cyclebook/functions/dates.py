@@ -16,15 +16,31 @@ from pyspark.sql import functions as F
 from cyclebook.functions.text import as_col, parse_delivery_month, squish
 
 # Field orders: pattern and the ISO arrangement of its groups. Two-digit years
-# up to 68 are 20xx, the rest 19xx.
+# up to 68 are 20xx, the rest 19xx. A dashed date that begins with a number above 12 begins with
+# the year: 26-06-03 is never the 26th.
+_Y20, _Y19 = "([0-5][0-9]|6[0-8])", "(69|[7-9][0-9])"
 _DATE_ORDERS = {
-    "ymd": [(r"([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})", "$1-$2-$3")],
+    "ymd": [(r"([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})", "$1-$2-$3"),
+            (r"(1[3-9]|[2-5][0-9]|6[0-8])-([0-9]{1,2})-([0-9]{1,2})", "20$1-$2-$3"),
+            (r"(69|[7-9][0-9])-([0-9]{1,2})-([0-9]{1,2})", "19$1-$2-$3")],
     "mdy": [(r"([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})", "$3-$1-$2"),
-            (r"([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-6][0-9])", "20$3-$1-$2"),
-            (r"([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([7-9][0-9])", "19$3-$1-$2")],
+            (rf"([0-9]{{1,2}})[-/.]([0-9]{{1,2}})[-/.]{_Y20}", "20$3-$1-$2"),
+            (rf"([0-9]{{1,2}})[-/.]([0-9]{{1,2}})[-/.]{_Y19}", "19$3-$1-$2")],
     "dmy": [(r"([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})", "$3-$2-$1"),
-            (r"([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-6][0-9])", "20$3-$2-$1"),
-            (r"([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([7-9][0-9])", "19$3-$2-$1")],
+            (rf"([0-9]{{1,2}})[-/.]([0-9]{{1,2}})[-/.]{_Y20}", "20$3-$2-$1"),
+            (rf"([0-9]{{1,2}})[-/.]([0-9]{{1,2}})[-/.]{_Y19}", "19$3-$2-$1")],
+}
+# The same with the month's name, rearranged to year-name-day.
+_NAME, _SEP = r"([A-Za-z]{3})[a-z]*\.?", r"[-/.,\s]*"
+_DAY = "([0-9]{1,2})(?:st|nd|rd|th)?"
+_NAMED_ORDERS = {
+    "ymd": [(rf"([0-9]{{4}}){_SEP}{_NAME}{_SEP}{_DAY}", "$1-$2-$3")],
+    "mdy": [(rf"{_NAME}{_SEP}{_DAY}[-/.,\s]+([0-9]{{4}})", "$3-$1-$2"),
+            (rf"{_NAME}{_SEP}{_DAY}[-/.,\s]+{_Y20}", "20$3-$1-$2"),
+            (rf"{_NAME}{_SEP}{_DAY}[-/.,\s]+{_Y19}", "19$3-$1-$2")],
+    "dmy": [(rf"{_DAY}{_SEP}{_NAME}{_SEP}([0-9]{{4}})", "$3-$2-$1"),
+            (rf"{_DAY}{_SEP}{_NAME}{_SEP}{_Y20}", "20$3-$2-$1"),
+            (rf"{_DAY}{_SEP}{_NAME}{_SEP}{_Y19}", "19$3-$2-$1")],
 }
 _TAIL = {"seconds": r":[0-5]?[0-9]:[0-5]?[0-9](?:\.[0-9]+)?", "minutes": ":[0-5]?[0-9]"}
 _GAP = r"(?:\s+|T)"
@@ -47,10 +63,18 @@ def _instant(text: Column | str, pattern: str, to: str) -> Column:
     return _rewrite(text, pattern, to).try_cast("timestamp_ntz")
 
 
+def _named_date(c: Column | str, orders: Sequence[str]) -> Column:
+    """Date with a month name by the first order that fits; only looked for in text with letters."""
+    tries = [F.try_to_timestamp(_rewrite(c, pattern, iso), F.lit("y-MMM-d")).cast("date")
+             for order in orders for pattern, iso in _NAMED_ORDERS[order]]
+    return F.when(as_col(c).rlike("[A-Za-z]{3}"), F.coalesce(*tries))
+
+
 def parse_date(c: Column | str, orders: Sequence[str] = ("ymd",)) -> Column:
-    """Date by the first field order that gives a valid one."""
+    """Date by the first field order that gives a valid one, with numbers or a month name."""
     return F.coalesce(*[_rewrite(c, pattern, iso).try_cast("date")
-                        for order in orders for pattern, iso in _DATE_ORDERS[order]])
+                        for order in orders for pattern, iso in _DATE_ORDERS[order]],
+                      _named_date(c, orders))
 
 
 def _clock_tails(kinds: Sequence[str], half: str) -> str:
@@ -58,10 +82,8 @@ def _clock_tails(kinds: Sequence[str], half: str) -> str:
     return "(?:" + "|".join(tails) + ")" if tails else ""
 
 
-def parse_local_timestamp(c: Column | str, orders: Sequence[str] = ("ymd",),
-                          kinds: Sequence[str] = CLOCK_KINDS,
-                          allow_date_only: bool = False) -> Column:
-    """Wall-clock instant from "date time" text with a blank or ``T`` between."""
+def _numeric_timestamp(c: Column | str, orders: Sequence[str], kinds: Sequence[str],
+                       allow_date_only: bool) -> Column:
     day_tail, half_tail = _clock_tails(kinds, "24h"), _clock_tails(kinds, "12h")
     # Clocks that read like 24-hour time once AM or PM is dropped.
     plain = [f"((?:[01]?[0-9]|2[0-3]){day_tail})"] if day_tail else []
@@ -82,9 +104,27 @@ def parse_local_timestamp(c: Column | str, orders: Sequence[str] = ("ymd",),
     return F.coalesce(*tries)
 
 
+def parse_local_timestamp(c: Column | str, orders: Sequence[str] = ("ymd",),
+                          kinds: Sequence[str] = CLOCK_KINDS,
+                          allow_date_only: bool = False) -> Column:
+    """Wall-clock instant from "date time" text with a blank or ``T`` between.
+
+    The date may name its month; that is only looked for where no plain layout fits.
+    """
+    text = as_col(c)
+    clock = F.regexp_extract(text, r"(?i)(?:\s|T)([0-9]{1,2}:[0-9:.]*(?:\s*[AP]M)?)\s*$", 1)
+    day = _named_date(F.regexp_replace(text, r"(?i)(?:\s|T)[0-9]{1,2}:[0-9:.]*(?:\s*[AP]M)?\s*$", ""), orders)
+    parsed = parse_clock(clock, kinds)
+    named = F.when(parsed.isNotNull(), at_clock(day, parsed))
+    if allow_date_only:
+        named = F.when(clock == "", day.cast("timestamp_ntz")).otherwise(named)
+    return F.coalesce(_numeric_timestamp(c, orders, kinds, allow_date_only),
+                      F.when(text.rlike("[A-Za-z]{3}"), named))
+
+
 def parse_clock(c: Column | str, kinds: Sequence[str] = CLOCK_KINDS) -> Column:
     """Time of day from ``9:15:22 AM``, ``9:15 AM``, ``14:05:01`` or ``14:05``, on 1970-01-01."""
-    return parse_local_timestamp(F.concat(F.lit("1970-01-01 "), as_col(c)), ("ymd",), kinds)
+    return _numeric_timestamp(F.concat(F.lit("1970-01-01 "), as_col(c)), ("ymd",), kinds, False)
 
 
 def at_clock(day: Column, clock: Column) -> Column:
@@ -112,7 +152,7 @@ def modern_timestamp(c: Column | str) -> Column:
 
 
 def neon_timestamp(c: Column | str) -> Column:
-    """Year first, to the second, the minute or the day."""
+    """Year first, in numbers or with a month name, to the second, the minute or the day."""
     return parse_local_timestamp(c, ("ymd",), ("24h seconds", "24h minutes"),
                                  allow_date_only=True)
 
@@ -128,10 +168,9 @@ def onex_date(c: Column | str) -> Column:
     number = F.floor(_rewrite(c, r"([0-9]+)(?:\.[0-9]+)?", "$1").try_cast("double"))
     serial = F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), number.cast("int"))
     return F.coalesce(
-        parse_date(c, ("ymd",)),
+        parse_date(c, ("ymd", "mdy", "dmy")),
         F.when(number <= _LAST_SERIAL, serial),
-        _rewrite(c, "([0-9]{4})([0-9]{2})([0-9]{2})", "$1-$2-$3").try_cast("date"),
-        parse_date(c, ("mdy", "dmy")))
+        _rewrite(c, "([0-9]{4})([0-9]{2})([0-9]{2})", "$1-$2-$3").try_cast("date"))
 
 
 def export_end(file_name: Column | str) -> Column:

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from cyclebook.functions.text import as_col, blank_to_na
 from cyclebook.operators.ranking import keep_first
-from cyclebook.schema import DEFAULT_CLOSE_DAY
+from cyclebook.schema import DEFAULT_CLOSE_DAY, MAX_DELIVERY_MONTHS
 
 
 def prepare_calendar(raw: DataFrame) -> DataFrame:
-    """One row per delivery month; the first row of a month wins."""
+    """One row per delivery month; the first row of a month wins.
+
+    ``row_ord`` gives the order; a table without it must be a single file (see ``read_lookup``).
+    """
     if "row_ord" not in raw.columns:
         raw = raw.withColumn("row_ord", F.monotonically_increasing_id())
     dates = ("delivery_month", "trade_cycle_start", "trade_cycle_end")
@@ -63,10 +66,15 @@ def estimate_windows(df: DataFrame, calendar: DataFrame) -> DataFrame:
 def backfill_trade_cycle(df: DataFrame, calendar: DataFrame) -> DataFrame:
     """Fill windows missing from the calendar; official rows always win.
 
-    The estimates hold one row per delivery month (see ``MAX_DELIVERY_MONTHS``),
-    which bounds the broadcast whatever the number of trades.
+    The estimates hold one row per delivery month. That a month is given by its first day is
+    checked, so there are at most ``MAX_DELIVERY_MONTHS`` of them whatever the number of trades,
+    which bounds the broadcast.
     """
-    estimates = F.broadcast(estimate_windows(df, calendar))
+    estimates = estimate_windows(df, calendar)
+    first = F.dayofmonth("delivery_month") == 1
+    checked = F.when(first, F.col("delivery_month")).otherwise(F.raise_error(
+        F.lit(f"delivery_month is no first of a month; more than {MAX_DELIVERY_MONTHS} could occur")).cast("date"))
+    estimates = F.broadcast(estimates.withColumn("delivery_month", checked))
     filled = df.join(estimates, "delivery_month", "left").withColumns({
         "trade_cycle_start": F.coalesce("trade_cycle_start", "est_start"),
         "trade_cycle_end": F.coalesce("trade_cycle_end", "est_end"),

@@ -42,30 +42,31 @@ def null_safe_equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str
     return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in pairs])
 
 
-def copy_facts(df: DataFrame, keys: Sequence[str], flag: str, order: Column,
-               only_flagged: bool = True) -> DataFrame:
-    """Row count and first row of every group of copies that has a flagged member."""
-    facts = df.groupBy(*[F.col(k).alias(_FACT + k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.max(flag).alias("has_flag"),
-        F.min(order).alias(_FIRST))
-    return facts.filter("has_flag") if only_flagged else facts
+def flagged_keys(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """The distinct keys of flagged rows, hash-aggregated, under names of their own."""
+    return df.filter(flag).select(*[F.col(k).alias(_FACT + k) for k in keys]).distinct()
+
+
+def split_by_flag(df: DataFrame, keys: Sequence[str], flag: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key has a flagged row, and the others.
+
+    Both joins hash the same exchange of the rows, which runs once; the build side holds each
+    flagged key once, and Spark may split a frequent key of the row side. No row is sorted.
+    """
+    marked = flagged_keys(df, keys, flag).hint("shuffle_hash")
+    same = null_safe_equal(df, marked, [(k, _FACT + k) for k in keys])
+    return df.join(marked, same, "left_semi"), df.join(marked, same, "left_anti")
 
 
 def collapse_copies(df: DataFrame, keys: Sequence[str], flag: str,
                     order: Sequence[Column]) -> DataFrame:
     """Of rows equal on ``keys`` keep one when any of them carries ``flag``.
 
-    Groups without a flagged row keep every row. ``order`` decides the survivor
-    and must tell all rows of a group apart. Only group facts are aggregated;
-    the rows themselves meet them in one join whose row side Spark may split.
+    Groups without a flagged row keep every row and are never ranked. ``order`` decides the
+    survivor of the others; each task cuts a group to its first row before they meet.
     """
-    rank = F.struct(*order)
-    facts = copy_facts(df, keys, flag, rank)
-    pairs = [(k, _FACT + k) for k in keys]
-    joined = df.join(facts, null_safe_equal(df, facts, pairs), "left")
-    keep = F.col(_FIRST).isNull() | rank.eqNullSafe(F.col(_FIRST))
-    return joined.filter(keep).select(*df.columns)
+    copies, rest = split_by_flag(df, keys, flag)
+    return keep_first(copies, keys, order).unionByName(rest)
 
 
 def spread_row_number(df: DataFrame, keys: Sequence[str], classes: Sequence[str], value: str,
@@ -100,5 +101,5 @@ def spread_row_number(df: DataFrame, keys: Sequence[str], classes: Sequence[str]
 
 
 def nulls_last(c: Column) -> list[Column]:
-    """Sort parts that put nulls behind every value inside a struct comparison."""
+    """Sort parts that put nulls behind every value."""
     return [c.isNull(), c]

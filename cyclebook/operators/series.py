@@ -48,8 +48,8 @@ def interpolate_to_grid(df: DataFrame, part: str, x: str, y: str,
         F.lead(F.col(y).cast("double")).over(w).alias("y1"),
         F.row_number().over(w).alias("point"),
         F.count(F.lit(1)).over(Window.partitionBy(part)).alias("points"),
+        low.cast("double").alias("low"), high.cast("double").alias("high"),
     ).filter("points >= 2")
-    seg = seg.withColumns({"low": low.cast("double"), "high": high.cast("double")})
 
     def position(c: str) -> Column:
         return F.ceil((F.col(c) - F.col("low")) / F.lit(step)).cast("int")

@@ -15,13 +15,20 @@ from cyclebook.schema import BROKERS, ENRICHED_SCHEMA, TRADE_SCHEMA
 from cyclebook.sources.conform import empty_table, union_all
 from cyclebook.sources.files import read_sources
 from cyclebook.sources.reference import Reference
-from cyclebook.sources.sinks import read_table, stage, write_grouped, write_table
+from cyclebook.sources.sinks import (
+    drop_staged, is_complete, mark_complete, read_table, stage, write_grouped, write_table,
+)
 
 
-def component_flag(require_grade: bool = True):
-    """Physical trade that counts towards an index; strictly true or false."""
-    flag = (F.col("in_index") & (F.col("itf") == "Trade")
-            & (F.col("swap_leg_outright") == "Outright")
+def component_flag(require_grade: bool = True, any_case: bool = False):
+    """Physical trade that counts towards an index; strictly true or false.
+
+    ``any_case`` compares class and kind without regard to case, as the older tables do.
+    """
+    kind, leg = F.col("itf"), F.col("swap_leg_outright")
+    physical = ((ukey("itf") == "TRADE") & (ukey("swap_leg_outright") == "OUTRIGHT") if any_case
+                else (kind == "Trade") & (leg == "Outright"))
+    flag = (F.col("in_index") & physical
             & (F.col("qty_m3") > 0) & F.col("price").isNotNull())
     if require_grade:
         flag &= F.col("grade").isNotNull()
@@ -56,32 +63,39 @@ def normalize_all(spark: SparkSession, sources: dict[str, DataFrame], ref: Refer
 
 
 def build_dataset(spark: SparkSession, sources: dict[str, DataFrame], ref: Reference,
-                  cache_dir: str | None = None) -> DataFrame:
+                  cache_dir: str | None = None, staging: str | None = None) -> DataFrame:
     """Normalize, unite, backfill and enrich.
 
-    The backfill reads the normalized union twice, so it is staged in between.
-    With ``cache_dir`` the enriched table and the quality tables are stored too.
+    The backfill reads the normalized union twice. With ``staging``, a folder that all machines
+    share, the union is written there first. Without it no job runs while the plan is built. With
+    ``cache_dir`` the enriched table and the quality tables are stored, the staged rows are removed
+    again, and a mark that comes last tells a finished build from one that broke off.
     """
-    combined = stage(normalize_all(spark, sources, ref), "normalized")
+    combined = stage(normalize_all(spark, sources, ref), "normalized", staging)
     enriched = enrich_combined(backfill_trade_cycle(combined, ref.calendar))
     if cache_dir is None:
         return enriched
+    mark_complete(spark, f"{cache_dir}/complete", False)
     write_grouped(enriched, f"{cache_dir}/combined", "index_group")
+    drop_staged(combined)
     stored = read_table(spark, f"{cache_dir}/combined", ENRICHED_SCHEMA)
     for name, report in (("qa_coverage", qa_coverage), ("qa_unmapped", qa_unmapped),
                          ("qa_build", qa_build)):
         write_table(report(stored), f"{cache_dir}/{name}")
+    mark_complete(spark, f"{cache_dir}/complete", True)
     return stored
 
 
 def load_combined(spark: SparkSession, data_dir: str, ref: Reference, cache_dir: str,
-                  rebuild: bool = False, fmt: str = "csv") -> DataFrame:
-    """The stored table, or a new build when it is absent or ``rebuild`` is set.
+                  rebuild: bool = False, fmt: str = "csv", staging: str | None = None,
+                  skip_unreadable: bool = False) -> DataFrame:
+    """The stored table, or a new build when no finished one is there or ``rebuild`` is set.
 
     New exports are not noticed until a rebuild.
     """
-    if not rebuild:
+    if not rebuild and is_complete(spark, f"{cache_dir}/complete"):
         stored = read_table(spark, f"{cache_dir}/combined", ENRICHED_SCHEMA)
         if stored is not None:
             return stored
-    return build_dataset(spark, read_sources(spark, data_dir, fmt), ref, cache_dir)
+    sources = read_sources(spark, data_dir, fmt, skip_unreadable=skip_unreadable)
+    return build_dataset(spark, sources, ref, cache_dir, staging)

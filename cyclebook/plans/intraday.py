@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclebook.functions.measures import minute_of_day, time_bucket, vwap
+from cyclebook.functions.text import as_col
 from cyclebook.operators.series import running
 from cyclebook.plans.filters import Months, in_months, index_components, on_weekdays
 
@@ -68,18 +69,34 @@ def intraday_profile(trades: DataFrame, ig: str = "SW", definition: str = "comm"
             intraday_byseg(trades, by, *args) if by is not None else None)
 
 
+PRICE_STEPS = 1_000_000  # prices are told apart by this fraction where nothing else orders them
+
+
+def order_key(at: Column | str, place: Column | str) -> Column:
+    """One number that orders by wall-clock instant and then by a whole number."""
+    at = as_col(at)
+    seconds = F.extract(F.lit("SECOND"), at).cast("decimal(8,6)")
+    micros = (F.unix_date(at.cast("date")).cast("long") * 86_400_000_000
+              + (F.hour(at) * 60 + F.minute(at)).cast("long") * 60_000_000
+              + (seconds * 1_000_000).cast("long"))
+    return (micros.cast("decimal(18,0)") * F.lit("1" + "0" * 20).cast("decimal(21,0)")
+            + as_col(place).cast("long").cast("decimal(20,0)"))
+
+
 def ohlc_profile(trades: DataFrame, ig: str = "SW", definition: str = "comm",
                  grades: Sequence[str] | None = None, dm: Months = None,
                  bucket: str | int = "day", in_cycle: bool = True,
-                 tie: Sequence[Column | str] = ("source_file", "trade_id")) -> DataFrame:
+                 ordinal: Column | str | None = None) -> DataFrame:
     """Open, high, low, close, volume and VWAP per grade and time bucket.
 
-    Open and close follow the execution instant; ``tie`` orders trades at the
-    same instant. Candles are combined from partial aggregates.
+    Open and close follow the execution instant. Of trades at the same instant the whole number
+    ``ordinal``, the row order of the source, decides; without it the lowest price opens and the
+    highest closes. The order key has a fixed width, so candles are hash-aggregated in parts.
     """
     d = in_months(index_components(trades, ig, definition, grades, in_cycle), dm)
     d = d.dropna(subset=["exec_datetime", "price", "grade"])
-    at = F.struct("exec_datetime", *tie)
+    place = as_col(ordinal) if ordinal is not None else F.floor(F.col("price") * PRICE_STEPS)
+    at = order_key("exec_datetime", place)
     return d.groupBy("grade", time_bucket("exec_datetime", bucket).alias("bkt")).agg(
         F.min_by("price", at).alias("open"), F.max("price").alias("high"),
         F.min("price").alias("low"), F.max_by("price", at).alias("close"),

@@ -37,8 +37,11 @@ def legacy_layout(trades: DataFrame) -> DataFrame:
 
 def vwap_input(trades: DataFrame, index_group: str | None = "SW",
                require_grade: bool = False) -> DataFrame:
-    """In-cycle component trades of one group, or of all; a grade is not required."""
-    kept = trades.filter(component_flag(require_grade)
+    """In-cycle component trades of one group, or of all; a grade is not required.
+
+    Rule sheets of that time wrote class and kind in any case.
+    """
+    kept = trades.filter(component_flag(require_grade, any_case=True)
                          & F.coalesce(F.col("in_trade_cycle"), F.lit(False)))
     return kept if index_group is None else kept.filter(ukey("index_group") == index_group)
 

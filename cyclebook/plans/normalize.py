@@ -1,8 +1,9 @@
 """Raw broker exports to the shared trade layout.
 
 Each normalizer takes the raw text table (with provenance columns) and the
-reference bundle. Only the version choice shuffles trades; rules and calendar
-are small lookups.
+reference bundle. The version choice shuffles trades; besides, ICE shuffles for its spreads and
+OneX for the copies of a trade, while Neon looks up parents on the partitioning that the version
+choice left. Rules and calendar are small lookups.
 """
 
 from __future__ import annotations
@@ -17,13 +18,14 @@ from cyclebook.functions.text import (
 )
 from cyclebook.operators.calendar import attach_trade_cycle
 from cyclebook.operators.ranking import (
-    collapse_copies, copy_facts, file_order, keep_first, null_safe_equal, nulls_last,
+    collapse_copies, file_order, keep_first, null_safe_equal, nulls_last, split_by_flag,
     spread_row_number,
 )
 from cyclebook.operators.rules import MODERN_TIERS, NEON_TIERS, ONE_TIER, match_tiers, neon_rules
 from cyclebook.schema import PROVENANCE, RAW_COLUMNS
 from cyclebook.sources.conform import add_missing_cols, coerce_schema, drop_blank_rows
 from cyclebook.sources.reference import Reference
+from cyclebook.sources.sinks import stage
 
 
 def false_if_null(c: Column) -> Column:
@@ -40,11 +42,18 @@ def latest_modern(raw: DataFrame) -> DataFrame:
     return keep_first(raw, ["trade_number"], file_order())
 
 
-def latest_neon(raw: DataFrame) -> DataFrame:
-    """Blank ids are separate trades."""
+def _latest_neon(raw: DataFrame) -> DataFrame:
+    """Latest versions with ``own_key``, the id or, for a blank id, the row's place."""
     ids = raw.withColumns({"trade_id": squish("trade_id"),
                            "parent_trade_id": F.nullif(squish("parent_trade_id"), F.lit(""))})
-    return keep_first(ids, ["trade_id"], file_order(), ~has_text("trade_id"), PROVENANCE)
+    place = F.concat_ws("\u0000", F.lit(""), *[F.col(c).cast("string") for c in PROVENANCE])
+    own = F.when(has_text("trade_id"), F.col("trade_id")).otherwise(place)
+    return keep_first(ids.withColumn("own_key", own), ["own_key"], file_order())
+
+
+def latest_neon(raw: DataFrame) -> DataFrame:
+    """Blank ids are separate trades."""
+    return _latest_neon(raw).drop("own_key")
 
 
 def latest_onex(raw: DataFrame) -> DataFrame:
@@ -125,20 +134,19 @@ def collapse_spreads(df: DataFrame) -> DataFrame:
                       ~has_text("spread_parent_id"), PROVENANCE)
 
 
-def flag_parents(df: DataFrame) -> DataFrame:
-    """``is_parent``: the trade id occurs as some row's parent id.
+def latest_with_parents(raw: DataFrame) -> DataFrame:
+    """Latest Neon versions with ``is_parent``: the trade id occurs as some row's parent id.
 
-    Blank ids get a key that cannot match, so they do not meet in one task.
+    The rows stay on the partitioning by own key that the version choice gave them, and both
+    sides of the join read its one exchange: only distinct parent ids are shuffled again. Keys of
+    blank ids begin with a character that no id has, so they match nothing.
     """
-    parents = (df.filter(F.col("parent_trade_id").isNotNull())
-               .groupBy(F.col("parent_trade_id").alias("parent_key"))
-               .agg(F.lit(True).alias("is_parent")))
-    own = F.when(has_text("trade_id"), F.col("trade_id")).otherwise(
-        F.concat(F.lit("\u0000"), F.col("source_row").cast("string")))
-    keyed = df.withColumn("own_key", own)
-    return (keyed.join(parents, keyed["own_key"] == parents["parent_key"], "left")
-            .withColumn("is_parent", false_if_null(F.col("is_parent")))
-            .drop("own_key", "parent_key"))
+    rows = _latest_neon(raw)
+    parents = (rows.filter(F.col("parent_trade_id").isNotNull())
+               .select(F.col("parent_trade_id").alias("own_key")).distinct()
+               .withColumn("is_parent", F.lit(True)))
+    return (rows.join(parents.hint("shuffle_hash"), "own_key", "left")
+            .withColumn("is_parent", false_if_null(F.col("is_parent"))).drop("own_key"))
 
 
 ECONOMIC_KEYS = ("exec_date_clean", "exec_time_clean", "k_instrument", "k_period", "qty_m3",
@@ -177,8 +185,12 @@ def collapse_sleeves(df: DataFrame, with_financial: bool = False) -> DataFrame:
     return collapse_copies(df, keys, "sleeved_bool", copy_order())
 
 
-def dropped_sleeves(df: DataFrame, with_financial: bool = True) -> DataFrame:
-    """Audit of the rows ``collapse_sleeves`` removes, with their group's size and their rank."""
+def dropped_sleeves(df: DataFrame, with_financial: bool = True, staging: str | None = None) -> DataFrame:
+    """Audit of the rows ``collapse_sleeves`` removes, with their group's size and their rank.
+
+    Cuts, counts and ranks all read the rows of the groups with a sleeved copy, so with
+    ``staging``, a folder that all machines share, these few are written there once.
+    """
     keys = [*ECONOMIC_KEYS, "is_financial_bool"] if with_financial else list(ECONOMIC_KEYS)
     # Ids are told apart by their number; rows without one by where they were read.
     by_place = F.col("trade_id_num").isNull()
@@ -191,9 +203,11 @@ def dropped_sleeves(df: DataFrame, with_financial: bool = True) -> DataFrame:
         "place_block": F.when(by_place, F.col("source_block")),
         "rank_value": F.coalesce(F.col("trade_id_num"), F.col("source_row").cast("double")),
     })
-    facts = copy_facts(marked, keys, "sleeved_bool", F.struct("source_row")).filter("copies > 1")
+    copies = stage(split_by_flag(marked, keys, "sleeved_bool")[0], "sleeves", staging)
+    sizes = copies.groupBy(*[F.col(k).alias(f"__fact_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     pairs = [(k, f"__fact_{k}") for k in keys]
-    copies = marked.join(facts, null_safe_equal(marked, facts, pairs)).select(
+    copies = copies.join(sizes, null_safe_equal(copies, sizes, pairs)).select(
         *marked.columns, "copies")
     classes = ["sleeved_bool", "by_place", "newest_export", "newest_file", "place", "place_block"]
     ranked = spread_row_number(copies, keys, classes, "rank_value",
@@ -273,7 +287,7 @@ def normalize_modern(raw: DataFrame, ref: Reference) -> DataFrame:
 
 def normalize_neon(raw: DataFrame, ref: Reference) -> DataFrame:
     raw = add_missing_cols(raw, RAW_COLUMNS["Neon"])
-    flagged = flag_parents(latest_neon(raw))
+    flagged = latest_with_parents(raw)
     keyed = flagged.withColumns({f"{c}_key": ukey(c)
                                  for c in ("product", "index", "location", "pipeline")})
     ruled = match_tiers(keyed, neon_rules(ref.rules["Neon"]), NEON_TIERS)

@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cyclebook.functions import dates as D
 from cyclebook.functions.text import has_text
 
+# The raw column that dates a trade, and how it is read.
+DATE_COLUMNS = {
+    "ICE": ("local_datetime", D.ice_local_timestamp),
+    "Modern": ("executed_timestamp", D.modern_timestamp),
+    "Neon": ("trade_time", D.neon_timestamp),
+    "OneX": ("exec_date", D.onex_date),
+}
+
 
 def qa_coverage(trades: DataFrame) -> DataFrame:
     """Per broker: date span, rows, SW rows, components, in-cycle components, unmapped rows."""
@@ -34,6 +43,17 @@ def qa_build(trades: DataFrame) -> DataFrame:
         F.current_timestamp().alias("built_at"), "n_rows")
 
 
+def rejected_dates(raw: DataFrame, broker: str) -> DataFrame:
+    """Per file of a raw export: texts in the execution date or time that no accepted layout fits.
+
+    Such trades have no date and so are in no index. Blank cells are not rejected texts.
+    """
+    column, parse = DATE_COLUMNS[broker]
+    bad = raw.filter(has_text(column) & parse(column).isNull())
+    return bad.groupBy("source_file").agg(F.count(F.lit(1)).alias("rejected")).select(
+        F.lit(broker).alias("broker"), F.lit(column).alias("column"), "source_file", "rejected")
+
+
 def unparsed_month_trades(trades: DataFrame) -> DataFrame:
     """Graded physical trades whose period label gave no delivery month."""
     columns = ("broker", "trade_id", "exec_date", "index_group", "grade", "instrument",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cyclebook.functions.measures import percent_bin
 from cyclebook.operators.series import complete_within, interpolate_to_grid, running
-from cyclebook.plans.filters import Months, in_months, index_components
+from cyclebook.plans.filters import Months, in_months, index_components, recent_months
 
 # Axis choices of the season view and the columns they stand for.
 X_AXES = {"day": "trading_day_rank", "pct": "norm_pct"}
@@ -78,20 +78,19 @@ def cycle_seasonality(trades: DataFrame, ig: str = "SW", definition: str = "comm
 
 def seasonality_bars(season_seg: DataFrame, x: str = "day", y: str = "daily_raw",
                      months: Months = None, bin_width: float = 10,
-                     max_months: int = 8) -> DataFrame:
+                     max_months: int | None = None) -> DataFrame:
     """Stacked-bar values: daily measures add up within a bin, cumulative ones peak.
 
-    Shows the most recent ``max_months`` of the selected months.
+    All selected months, or with ``max_months`` the most recent ones of them.
     """
     xvar, yvar = season_xy(x, y)
     base = F.col(xvar).cast("double") if x == "day" else percent_bin("norm_pct", bin_width)
     value = F.max(yvar) if y.startswith("cum") else F.sum(yvar)
     bars = in_months(season_seg, months).groupBy(
         "delivery_month", base.alias("base"), "seg").agg(value.alias("val"))
-    # Every task keeps its latest months only before they are ranked together.
-    newest = F.dense_rank().over(Window.orderBy(F.col("delivery_month").desc()))
-    return (bars.withColumn("newest", newest).filter(F.col("newest") <= max_months).drop("newest")
-            .orderBy("delivery_month", "base", "seg"))
+    if max_months is not None:
+        bars = recent_months(bars, max_months)
+    return bars.orderBy("delivery_month", "base", "seg")
 
 
 def season_curve(season: DataFrame, x: str = "day", y: str = "daily_raw",
@@ -99,12 +98,22 @@ def season_curve(season: DataFrame, x: str = "day", y: str = "daily_raw",
     """Mean or median curve over all cycles on a common grid; empty for a single cycle."""
     xvar, yvar = season_xy(x, y)
     shown = in_months(season, months).select("delivery_month", xvar, yvar)
+    # Bounds and the number of cycles over the season's rows: a row for each day of a cycle.
+    whole = Window.partitionBy(F.lit(0))
+    ends = Window.partitionBy("delivery_month")
+    marked = shown.withColumns({"first_x": F.min(xvar).over(ends), "last_x": F.max(xvar).over(ends)})
+    per_cycle = marked.groupBy("delivery_month").agg(
+        F.collect_list(F.struct(F.col(xvar).alias("x"), F.col(yvar).alias("y"))).alias("points"),
+        F.first("first_x").alias("first_x"), F.first("last_x").alias("last_x"))
+    # One row for each cycle meets here, so the single task stays small.
+    per_cycle = per_cycle.withColumns({
+        "low": F.min("first_x").over(whole), "high": F.max("last_x").over(whole),
+        "cycles": F.count("delivery_month").over(whole)}).filter("cycles >= 2")
+    rows = per_cycle.select("delivery_month", "low", "high", F.inline("points"))
     if xvar == "norm_pct":
         low, high, step = F.lit(0), F.lit(100), 2.5
     else:
-        bounds = shown.agg(F.min(xvar).alias("low"), F.max(xvar).alias("high"))
-        low, high, step = bounds.select("low").scalar(), bounds.select("high").scalar(), 1.0
-    curves = interpolate_to_grid(shown, "delivery_month", xvar, yvar, low, high, step)
+        low, high, step = F.col("low"), F.col("high"), 1.0
+    curves = interpolate_to_grid(rows, "delivery_month", "x", "y", low, high, step)
     middle = F.median("y") if stat == "median" else F.avg("y")
-    several = shown.agg((F.countDistinct("delivery_month") >= 2).alias("several")).scalar()
-    return curves.filter(several).groupBy("x").agg(middle.alias("y")).orderBy("x")
+    return curves.groupBy("x").agg(middle.alias("y")).orderBy("x")

@@ -1,23 +1,29 @@
-"""Raw broker exports as text tables with provenance columns."""
+"""Raw broker exports as text tables with provenance columns.
+
+Nothing is dropped silently: a damaged file fails the read, and a file that offers no header is an
+error unless the caller asks to skip it, which warns and can be listed by ``skipped_files``.
+"""
 
 from __future__ import annotations
 
 import csv
+import re
 import warnings
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclebook.schema import BROKERS, PREFERRED_TABLE
-from cyclebook.sources.conform import clean_names, union_all
+from cyclebook.sources.conform import clean_names, read_all_sheets, rename_aliases, union_all
 
 EXPORT_GLOB = "*.{[cC][sS][vV],[xX][lL][sS],[xX][lL][sS][xX]}"
 CSV_GLOB = "*.[cC][sS][vV]"
 PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
+GLOBS = {"csv": CSV_GLOB, "parquet": PARQUET_GLOB}
+SHOWN = 5  # files named in a message
 
 _LISTING = T.StructType([
     T.StructField("path", T.StringType()),
@@ -27,17 +33,28 @@ _LISTING = T.StructType([
 ])
 
 
-def list_broker_files(spark: SparkSession, folder: str, glob: str = EXPORT_GLOB) -> DataFrame:
+class UnreadableExport(ValueError):
+    """A listed file would contribute nothing."""
+
+
+def _missing(err: AnalysisException) -> bool:
+    return err.getCondition() == "PATH_NOT_FOUND"
+
+
+def list_broker_files(spark: SparkSession, folder: str, glob: str = EXPORT_GLOB,
+                      recursive: bool = False, quiet: bool = False) -> DataFrame:
     """Files of a folder by extension, any letter case. A missing folder is empty, with a warning.
 
     Only the listing is read: file contents are pruned from the scan.
     """
     try:
-        found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+        found = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+                 .option("recursiveFileLookup", recursive).load(folder))
     except AnalysisException as err:
-        if err.getCondition() != "PATH_NOT_FOUND":
+        if not _missing(err):
             raise
-        warnings.warn(f"Broker folder not found: {folder}", stacklevel=2)
+        if not quiet:
+            warnings.warn(f"Broker folder not found: {folder}", stacklevel=2)
         return spark.createDataFrame([], _LISTING)
     return found.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
                         F.col("modificationTime").alias("modified"), "length")
@@ -56,53 +73,63 @@ def inventory_counts(inventory: DataFrame) -> DataFrame:
         F.max("modified").alias("latest")).orderBy("broker")
 
 
-def _header_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First line of each listed file; null where the file cannot be opened."""
-    from pyarrow import fs
-
-    for batch in batches:
-        lines = []
-        for path in batch["path"]:
-            try:
-                if path.startswith("file:"):
-                    store, name = fs.LocalFileSystem(), path[len("file:"):]
-                else:
-                    store, name = fs.FileSystem.from_uri(path)
-                with store.open_input_file(name) as handle:
-                    chunk = b""
-                    while b"\n" not in chunk and (more := handle.read(65536)):
-                        chunk += more
-                lines.append(chunk.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig"))
-            except (OSError, UnicodeDecodeError):
-                lines.append(None)
-        yield pd.DataFrame({"path": batch["path"], "header": lines})
-
-
-def header_groups(spark: SparkSession, folder: str) -> list[tuple[str, list[str]]]:
-    """CSV paths of a folder grouped by identical header line.
-
-    Headers are read by tasks, one line per file; the driver sees only the file
-    list, as it does for any scan. Unreadable and empty files are skipped with a
-    warning.
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.option("pathGlobFilter", CSV_GLOB).text(paths)
+
+
+def _file_name():
+    """Name of the file a row comes from, as it is listed; Spark gives it in URL form."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
+def header_marks(spark: SparkSession, folder: str) -> DataFrame:
+    """``file_name, mark`` of each CSV file with text: a hash of its first line.
+
+    Both aggregates are numbers, so one hash aggregation over the lines does it, partial in every
+    task; no text is sorted or shuffled and no file list leaves the executors.
     """
-    paths = list_broker_files(spark, folder, CSV_GLOB).select("path")
-    lines = paths.mapInPandas(_header_lines, "path string, header string")
-    groups = (lines.groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("paths"))
-              .orderBy("header").collect())
-    kept = []
-    for row in groups:
-        if row["header"]:
-            kept.append((row["header"], row["paths"]))
-        else:
-            warnings.warn(f"Skipping unreadable or empty files: {row['paths']}", stacklevel=2)
-    return kept
+    lines = _lines(spark, folder).filter(F.col("_metadata.file_block_start") == 0).select(
+        _file_name().alias("file_name"), F.monotonically_increasing_id().alias("line"),
+        F.xxhash64("value").alias("mark"))
+    return lines.groupBy("file_name").agg(F.min_by("mark", "line").alias("mark"))
+
+
+def _header(spark: SparkSession, folder: str, name: str) -> str | None:
+    """First line of one file; None where it is no text."""
+    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", name)
+    row = _lines(spark, f"{folder}/{literal}").select(
+        F.when(F.is_valid_utf8("value") & ~F.contains("value", F.lit("\u0000")), F.col("value")).alias("v")).first()
+    text = row.v.lstrip("﻿") if row and row.v else ""
+    return text if text.strip() else None
+
+
+def _skipped(listed: DataFrame, marks: DataFrame, unreadable: Sequence[int]) -> DataFrame:
+    bad = listed.join(marks.filter(F.col("mark").isin(list(unreadable))), "file_name", "left_semi")
+    return bad.select("path", F.lit("no header").alias("reason"))
+
+
+def _headers(spark: SparkSession, folder: str, marks: DataFrame) -> dict[int, str | None]:
+    """Distinct header lines by their hash; of each only one file is opened."""
+    samples = marks.groupBy("mark").agg(F.min("file_name").alias("name")).orderBy("mark").collect()
+    return {r["mark"]: _header(spark, folder, r["name"]) for r in samples}
+
+
+def skipped_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, reason`` of the CSV files that contribute nothing; empty files are not listed at all."""
+    marks = header_marks(spark, folder)
+    unreadable = [m for m, h in _headers(spark, folder, marks).items() if h is None]
+    return _skipped(_listed(spark, folder), marks, unreadable)
+
+
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    return list_broker_files(spark, folder, CSV_GLOB, quiet=True)
 
 
 def _with_provenance(df: DataFrame) -> DataFrame:
     """Name and age of the file, and the row's position in it."""
     return df.select(
         "*",
-        F.col("_metadata.file_name").alias("source_file"),
+        _file_name().alias("source_file"),
         F.col("_metadata.file_modification_time").alias("source_file_modified"),
         F.col("_metadata.file_block_start").alias("source_block"),
         F.monotonically_increasing_id().alias("source_row"))
@@ -114,65 +141,113 @@ def _cell(name: str, missing: Sequence[str]):
     return F.when(~text.isin(*missing), text)
 
 
-def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame | None:
+def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = False,
+                    skip_unreadable: bool = False, quiet: bool = False) -> DataFrame | None:
     """All CSV exports of a folder as text, aligned by column name.
 
-    Spark binds one ``csv()`` call to a single header by position, so files are
-    read per distinct header and united by name. Returns None without files.
+    Spark binds one ``csv()`` call to a single header by position. A folder whose files agree on
+    their header is read as it is. Otherwise each header reads the folder and keeps the files it
+    belongs to, by a semi-join on the file's name; the driver sees distinct headers only. A file
+    whose first line is no text is an error, or with ``skip_unreadable`` a warning. Returns None
+    without files.
     """
+    listed = list_broker_files(spark, folder, CSV_GLOB, quiet=quiet)
+    if not listed.take(1):
+        return None
+    marks = header_marks(spark, folder)
+    headers = _headers(spark, folder, marks)
+    unreadable = [m for m, h in headers.items() if h is None]
+    if unreadable:
+        skipped = _skipped(listed, marks, unreadable).orderBy("path").take(SHOWN)
+        names = ", ".join(r["path"] for r in skipped)
+        if not skip_unreadable:
+            raise UnreadableExport(f"Unreadable exports in {folder}: {names}")
+        warnings.warn(f"Skipping unreadable files: {names}", stacklevel=2)
     parts = []
-    for header, paths in header_groups(spark, folder):
+    for mark, header in headers.items():
+        if header is None:
+            continue
         names = clean_names(next(csv.reader([header])))
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-               .option("escape", '"').option("multiLine", multi_line)
-               .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-               .csv(paths))
-        parts.append(_with_provenance(raw).withColumns({n: _cell(n, ("", "NA")) for n in names}))
+               .option("escape", '"').option("multiLine", multi_line).option("pathGlobFilter", CSV_GLOB)
+               .csv(folder))
+        part = _with_provenance(raw)
+        if len(headers) > 1:
+            own = marks.filter(F.col("mark") == mark).select(F.col("file_name").alias("source_file"))
+            part = part.join(own, "source_file", "left_semi").select(*part.columns)
+        parts.append(rename_aliases(part.withColumns({n: _cell(n, ("", "NA")) for n in names})))
     return union_all(parts) if parts else None
 
 
-def read_parquet_folder(spark: SparkSession, folder: str) -> DataFrame | None:
+def read_parquet_folder(spark: SparkSession, folder: str, quiet: bool = False) -> DataFrame | None:
     """The same for sheets landed as Parquet; every column becomes text, and NA stays text."""
     try:
-        raw = (spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True)
-               .option("ignoreMissingFiles", True).option("pathGlobFilter", PARQUET_GLOB)
+        raw = (spark.read.option("mergeSchema", True).option("pathGlobFilter", PARQUET_GLOB)
                .parquet(folder))
     except AnalysisException as err:
-        if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if not _missing(err) and err.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
-        warnings.warn(f"Broker folder not found: {folder}", stacklevel=2)
+        if not quiet:
+            warnings.warn(f"Broker folder not found: {folder}", stacklevel=2)
         return None
     names = clean_names(raw.columns)
     tagged = _with_provenance(raw)
-    return tagged.toDF(*names, *tagged.columns[len(names):]).withColumns(
-        {n: _cell(n, ("",)) for n in names})
+    return rename_aliases(tagged.toDF(*names, *tagged.columns[len(names):]).withColumns(
+        {n: _cell(n, ("",)) for n in names}))
+
+
+def _read_folder(spark: SparkSession, folder: str, fmt: str, multi_line: bool,
+                 skip_unreadable: bool, quiet: bool = False) -> DataFrame | None:
+    if fmt == "csv":
+        return read_csv_folder(spark, folder, multi_line, skip_unreadable, quiet)
+    return read_parquet_folder(spark, folder, quiet)
 
 
 def read_source(spark: SparkSession, folder: str, prefer_table: str | None = None,
-                fmt: str = "csv", multi_line: bool = False) -> DataFrame | None:
+                fmt: str = "csv", multi_line: bool = False,
+                skip_unreadable: bool = False) -> DataFrame | None:
     """One broker's raw table.
 
-    A workbook lands as one sub-folder per sheet. ``prefer_table`` is read when
-    it exists, otherwise the folder itself.
+    A workbook lands as one file in a sub-folder per sheet. Files are chosen one by one: a file
+    of the sub-folder ``prefer_table`` takes the place of the one with its name in the folder
+    itself, and all other files of the folder are read as well.
+    """
+    preferred = _read_folder(spark, f"{folder}/{prefer_table}", fmt, multi_line,
+                             skip_unreadable, quiet=True) if prefer_table else None
+    if preferred is None:
+        return _read_folder(spark, folder, fmt, multi_line, skip_unreadable)
+    plain = _read_folder(spark, folder, fmt, multi_line, skip_unreadable, quiet=True)
+    if plain is None:
+        return preferred
+    taken = list_broker_files(spark, f"{folder}/{prefer_table}", GLOBS[fmt]).select(
+        F.col("file_name").alias("source_file"))
+    return union_all([preferred, plain.join(taken, "source_file", "left_anti").select(*plain.columns)])
+
+
+def read_sheets(spark: SparkSession, folder: str, fmt: str = "csv", multi_line: bool = False,
+                skip_unreadable: bool = False) -> DataFrame | None:
+    """All sheets of a source: every sub-folder with files, united and tagged ``source_sheet``.
+
+    Files of the folder itself are a sheet with an empty name.
     """
-    def read(path: str) -> DataFrame | None:
-        if fmt == "csv":
-            return read_csv_folder(spark, path, multi_line)
-        return read_parquet_folder(spark, path)
-
-    if prefer_table:
-        with warnings.catch_warnings():
-            warnings.simplefilter("ignore")
-            preferred = read(f"{folder}/{prefer_table}")
-        if preferred is not None:
-            return preferred
-    return read(folder)
-
-
-def read_sources(spark: SparkSession, data_dir: str, fmt: str = "csv",
-                 multi_line: bool = False) -> dict[str, DataFrame]:
+    listed = list_broker_files(spark, folder, GLOBS[fmt], recursive=True)
+    inside = F.element_at(F.split("path", "/"), -2)
+    sheets = [r[0] for r in listed.select(inside).distinct().collect()]
+    own = folder.rstrip("/").rpartition("/")[2]
+    tables = {}
+    for sheet in sorted(sheets):
+        name, path = ("", folder) if sheet == own else (sheet, f"{folder}/{sheet}")
+        table = _read_folder(spark, path, fmt, multi_line, skip_unreadable)
+        if table is not None:
+            tables[name] = table
+    return read_all_sheets(tables) if tables else None
+
+
+def read_sources(spark: SparkSession, data_dir: str, fmt: str = "csv", multi_line: bool = False,
+                 skip_unreadable: bool = False) -> dict[str, DataFrame]:
     """Raw tables of all brokers that have any files."""
-    tables = {b: read_source(spark, f"{data_dir}/{b}", PREFERRED_TABLE.get(b), fmt, multi_line)
+    tables = {b: read_source(spark, f"{data_dir}/{b}", PREFERRED_TABLE.get(b), fmt, multi_line,
+                             skip_unreadable)
               for b in BROKERS}
     return {b: t for b, t in tables.items() if t is not None}

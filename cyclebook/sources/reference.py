@@ -12,8 +12,8 @@ from cyclebook.operators.rules import prepare_rules
 from cyclebook.schema import CALENDAR_TABLE, RULE_TABLES
 from cyclebook.sources.conform import clean_names
 
-# Lookup tables up to this many rows are broadcast; longer ones join by shuffle.
-BROADCAST_ROWS = 200_000
+# Lookup tables of up to this many bytes are broadcast; larger ones join by shuffle.
+BROADCAST_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -30,21 +30,29 @@ def reference_from_tables(calendar: DataFrame, rules: dict[str, DataFrame]) -> R
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """A reference table landed as CSV or Parquet, headers cleaned."""
+    """A reference table landed as CSV or Parquet, headers cleaned, with the order of its rows.
+
+    Rows are ordered by file name, block and place in the block, however Spark packs the files.
+    """
     if path.lower().endswith(".csv"):
         raw = spark.read.option("header", True).option("escape", '"').csv(path)
     else:
         raw = spark.read.parquet(path)
-    return raw.toDF(*clean_names(raw.columns))
+    names = clean_names(raw.columns)
+    placed = raw.select("*", F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+        F.monotonically_increasing_id()).alias("row_ord"))
+    return placed.toDF(*names, "row_ord").withColumn("rule_ord", F.col("row_ord"))
 
 
-def size_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup for broadcast if a bounded count proves it short; else leave it as it is.
+def size_checked(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a lookup for broadcast if its files prove it small; else leave it as it is.
 
-    A short lookup is also kept in one partition, so preparing it needs no shuffle.
+    The size is that of the scan, which Spark knows from the listing: no job runs. A small lookup
+    is also kept in one partition, so preparing it needs no shuffle. Either way rows are the same.
     """
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df.coalesce(1)) if rows <= max_rows else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df.coalesce(1)) if int(str(size)) <= max_bytes else df
 
 
 def load_reference(spark: SparkSession, folder: str, fmt: str = "csv") -> Reference:

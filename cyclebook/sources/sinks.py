@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -26,19 +27,43 @@ def write_grouped(df: DataFrame, path: str, *parts: str) -> None:
     df.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def staging_folder(spark: SparkSession) -> str | None:
+    """The folder of ``spark.checkpoint.dir``, for callers that want their staging there."""
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def check_shared(spark: SparkSession, folder: str) -> None:
+    """Refuse a folder that is local to each machine of a cluster.
+
+    A plain path or ``file:`` is only shared where one machine runs everything, or where it is the
+    folder that the cluster itself names as shared.
+    """
+    named = staging_folder(spark)
+    local = folder.startswith(("file:", "/")) and not (named and folder.startswith(named))
+    if local and spark.conf.get("spark.master", "local").split("[")[0] not in ("local", "local-cluster"):
+        raise ValueError(f"{folder} is not shared by the machines of this cluster")
+
+
+def stage(df: DataFrame, name: str, folder: str | None) -> DataFrame:
     """Materialize a table that is read more than once, to spare its recomputation.
 
-    Uses the shared folder named by ``spark.checkpoint.dir``. Without one the
-    table stays lazy: slower, but just as right.
+    It goes to a new table in the shared ``folder``; ``drop_staged`` removes what it holds.
+    Without a folder the table stays lazy: slower, but just as right.
     """
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+    if folder is None:
         return df
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    check_shared(spark, folder)
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).withMetadata(df.columns[0], {"staged": path})
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Remove the rows of a staged table once nothing reads it; lazy tables are left alone."""
+    path = df.schema[0].metadata.get("staged")
+    if path:
+        df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -47,7 +72,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         reader = spark.read.schema(schema) if schema is not None else spark.read
         table = reader.parquet(path)
     except AnalysisException as err:
-        if err.getCondition() != "PATH_NOT_FOUND":
+        if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
     return table.select(*schema.fieldNames()) if schema is not None else table
+
+
+def mark_complete(spark: SparkSession, path: str, complete: bool) -> None:
+    """Record whether the tables beside ``path`` belong to one finished build."""
+    spark.range(int(complete)).select(F.col("id").alias("build")).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    mark = read_table(spark, path, T.StructType([T.StructField("build", T.LongType())]))
+    return mark is not None and bool(mark.take(1))

@@ -56,6 +56,13 @@ def test_onex(text_table):
            "46176": DAY.date(), "46176.75": DAY.date(), "20260603": DAY.date(),
            "6/3/26": DAY.date(), "1/2/99": dt.date(1999, 1, 2), "99999999999": None,
            "20269999": None, "": None, None: None})
+    june = DAY.date()
+    named = {"03-Jun-2026": june, "3 June 2026": june, "Jun 3, 2026": june, "JUNE 3rd 2026": june, "2026-Jun-03": june,
+             "2026 jun. 3": june, "3-Jun-26": june, "03jun2026": june, "31-Feb-2026": None, "03-Foo-2026": None,
+             "Jun 2026": None, "26-06-03": june, "06/03/68": dt.date(2068, 6, 3), "06/03/69": dt.date(1969, 6, 3),
+             "06/03/70": dt.date(1970, 6, 3), "68-06-03": dt.date(2068, 6, 3), "69-06-03": dt.date(1969, 6, 3),
+             "25/06/68": dt.date(2068, 6, 25), "25/06/69": dt.date(1969, 6, 25), "1-Jan-69": dt.date(1969, 1, 1)}
+    check(text_table(*named), dates.onex_date("x"), named)
     clock = {"9:15:22 AM": (9, 15, 22), "9:15 PM": (21, 15, 0), "14:05:01": (14, 5, 1),
              "14:05": (14, 5, 0), "12:00 AM": (0, 0, 0), "12:30 PM": (12, 30, 0)}
     check(text_table(*clock, "25:00", "13:00 AM", "noon", None), dates.parse_clock("x"),
@@ -63,6 +70,14 @@ def test_onex(text_table):
            "25:00": None, "13:00 AM": None, "noon": None, None: None})
 
 
+def test_month_names_in_timestamps(text_table):
+    at = {"03-Jun-2026 09:15:22": AT, "Jun 3, 2026 9:15:22 AM": AT, "2026-Jun-03T09:15:22": AT, "3 June 2026": DAY,
+          "03-Jun-2026 25:00:00": None, "03-Jun-2026 noon": None}
+    check(text_table(*at), dates.permissive_timestamp("x"), at)
+    check(text_table("2026-Jun-03 09:15", "26-06-03 09:15:22", "03-Jun-2026 09:15"), dates.neon_timestamp("x"),
+          {"2026-Jun-03 09:15": MIN, "26-06-03 09:15:22": AT, "03-Jun-2026 09:15": None})
+
+
 def test_export_end(text_table):
     check(text_table("onex_2026-06-01_2026-06-30.csv", "onex.csv", "a_2026-06-01_2026-99-30.csv"),
           dates.export_end("x"),

@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -169,3 +170,22 @@ def test_hot_key_with_a_third_of_the_rows(spark):
     assert tuple(facts) == (n // 3, n // 3, 1, n // 3)
     last = ranks.orderBy(F.col("rn").desc()).first()
     assert (last.s, last.id) == (True, 0)
+
+
+def test_copies_are_split_without_sorting_the_rest(spark):
+    df = spark.range(20_000).selectExpr(
+        "IF(id % 3 > 0, 'hot', 'k' || id) AS k", "CAST(id AS STRING) AS v", "id = 4 OR id % 3000 = 0 AS s")
+    out = ranking.collapse_copies(df, ["k"], "s", [F.col("s"), F.col("v")])
+    rows = out.collect()
+    assert sum(r.k == "hot" for r in rows) == 1
+    assert len(rows) == 1 + df.filter("k != 'hot'").count()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "SortMergeJoin" not in plan
+
+
+def test_estimates_need_first_days(spark, calendar_rows):
+    rows = spark.sql("SELECT DATE '2026-07-02' AS delivery_month, DATE '2026-06-03' AS exec_date, CAST(NULL AS DATE) AS"
+                     " trade_cycle_start, CAST(NULL AS DATE) AS trade_cycle_end, FALSE AS in_trade_cycle")
+    cal = calendar.prepare_calendar(calendar_rows(("2026-08-01", "2026-07-01", "2026-07-15")))
+    with pytest.raises(Exception, match="no first of a month"):
+        calendar.backfill_trade_cycle(rows, cal).collect()

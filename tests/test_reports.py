@@ -92,10 +92,29 @@ def test_candles_are_consistent(ticks):
 def test_same_instant_follows_the_tie(small):
     t = small(*[{"exec_datetime": "2026-06-03 10:00:00", "trade_id": str(i), "price": float(p)}
                 for i, p in enumerate((5, 7, 6))])
-    row = intraday.ohlc_profile(t, tie=["trade_id"]).first()
+    row = intraday.ohlc_profile(t, ordinal=F.col("trade_id").cast("long")).first()
     assert (row.open, row.high, row.low, row.close) == (5.0, 7.0, 5.0, 6.0)
 
 
+def test_equal_instants_and_blank_ids_are_stable(small):
+    t = small(*[{"exec_datetime": f"2026-06-03 10:00:0{i % 2}", "trade_id": " ", "price": float(p)}
+                for i, p in enumerate((5, 7, 6, 9, -8, 7))])
+    for n in (1, 2, 5):
+        profile = intraday.ohlc_profile(t.repartition(n))
+        row = profile.first()
+        assert (row.open, row.high, row.low, row.close) == (-8.0, 9.0, -8.0, 9.0)
+    assert "SortAggregate" not in profile._jdf.queryExecution().executedPlan().toString()
+
+
+def test_order_key_is_exact_over_all_years(spark):
+    rows = [("0001-01-01 00:00:00.000001", 0), ("0001-01-01 00:00:00.000002", -5), ("1969-12-31 23:59:59.999999", 9),
+            ("1970-01-01 00:00:00", -(1 << 62)), ("1970-01-01 00:00:00", 1 << 62), ("2026-03-08 02:30:00", 1),
+            ("9999-12-31 23:59:59.999999", 1)]
+    t = spark.createDataFrame(rows, "t string, o long").select(F.col("t").cast("timestamp_ntz").alias("t"), "o")
+    keys = [r.k for r in t.select(intraday.order_key("t", "o").alias("k")).collect()]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys)
+
+
 def test_positions_cover_all_components(trades):
     compare = index.historic_cycle_compare(trades)
     rows = trades.filter("index_group = 'SW' and is_component").count()
@@ -147,6 +166,8 @@ def test_season_of_one_trading_day(small):
         ("2026-06-03", "ICE", 1.0, 1.0), ("2026-07-02", "ICE", 1.0, 1.0),
         ("2026-07-02", "Neon", 0.0, 0.0), ("2026-07-05", "ICE", 0.0, 1.0),
         ("2026-07-05", "Neon", 1.0, 1.0)]
+    everything = seasonality.seasonality_bars(seg, "day", "daily_raw")
+    assert {str(r.delivery_month) for r in everything.collect()} == {"2026-07-01", "2026-08-01"}
     bars = seasonality.seasonality_bars(seg, "day", "daily_raw", max_months=1).collect()
     assert {str(r.delivery_month) for r in bars} == {"2026-08-01"}
 

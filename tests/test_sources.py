@@ -39,7 +39,7 @@ def test_csv_folder_aligns_by_name(spark, tmp_path):
     assert rows["1"].qty == "1,000" and rows["1"].price == "-3.25" and rows["1"].extra is None
     assert rows["2"].qty is None and rows["2"].price is None
     assert rows["3"].price == "9" and rows["3"].extra == "x" and rows["3"].qty is None
-    assert rows["1"].source_file == "a.csv"
+    assert rows["1"].source_file == "a.csv" and rows["3"].source_file == "b file.CSV"
     assert rows["3"].source_file_modified > rows["1"].source_file_modified
     assert [f.dataType.simpleString() for f in df.schema.fields if f.name in
             ("deal_id", "qty", "price", "extra")] == ["string"] * 4
@@ -49,15 +49,47 @@ def test_unreadable_and_missing_files(spark, tmp_path):
     put(tmp_path / "good.csv", "a\n1\n")
     put(tmp_path / "empty.csv", "")
     (tmp_path / "bad.csv").write_bytes(gzip.compress(b"a\n1\n"))
+    with pytest.raises(files.UnreadableExport, match="bad.csv"):
+        files.read_csv_folder(spark, str(tmp_path))
     with pytest.warns(UserWarning, match="Skipping"):
-        df = files.read_csv_folder(spark, str(tmp_path))
+        df = files.read_csv_folder(spark, str(tmp_path), skip_unreadable=True)
     assert [r.a for r in df.collect()] == ["1"]
+    skipped = {r.path.rpartition("/")[2]: r.reason for r in files.skipped_files(spark, str(tmp_path)).collect()}
+    assert skipped == {"bad.csv": "no header"}
     with pytest.warns(UserWarning, match="not found"):
         assert files.read_csv_folder(spark, str(tmp_path / "none")) is None
     with pytest.warns(UserWarning, match="not found"):
         assert files.read_parquet_folder(spark, str(tmp_path / "none")) is None
 
 
+def test_damaged_parquet_fails_loudly(spark, tmp_path):
+    folder = tmp_path / "p"
+    spark.createDataFrame([("1",)], "a string").coalesce(1).write.parquet(str(folder))
+    (folder / "bad.parquet").write_bytes(b"PAR1 this is no table PAR1")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        files.read_parquet_folder(spark, str(folder)).collect()
+
+
+def test_headers_are_read_without_python_or_paths(spark, tmp_path):
+    for i in range(4):
+        put(tmp_path / f"{i}.csv", f"gtcs,x\n{i},a\n")
+    df = files.read_csv_folder(spark, str(tmp_path))
+    assert df.columns[:2] == ["gtc_s", "x"] and df.count() == 4       # alias of an older header
+    plan = files.header_marks(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InPandas" not in plan and "SortAggregate" not in plan
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InPandas" not in plan and "Join" not in plan
+
+
+def test_all_sheets_of_a_source(spark, tmp_path):
+    put(tmp_path / "b" / "x.csv", "a\n0\n")
+    put(tmp_path / "b" / "First" / "x.csv", "a\n1\n")
+    put(tmp_path / "b" / "Second Sheet" / "x.csv", "b,a\n7,2\n")
+    rows = files.read_sheets(spark, str(tmp_path / "b")).collect()
+    assert sorted((r.source_sheet, r.a, r.b) for r in rows) == [
+        ("", "0", None), ("First", "1", None), ("Second Sheet", "2", "7")]
+
+
 def test_inventory(spark, tmp_path):
     put(tmp_path / "ICE" / "a.csv", "a\n")
     put(tmp_path / "ICE" / "b.XLSX", "x")
@@ -78,7 +110,10 @@ def test_preferred_sheet_and_parquet(spark, tmp_path):
     put(tmp_path / "m" / "x.csv", "a\nfirst\n")
     put(tmp_path / "m" / "Trade Report" / "x.csv", "a\nreport\n")
     folder = str(tmp_path / "m")
-    assert files.read_source(spark, folder, "Trade Report").first().a == "report"
+    assert [r.a for r in files.read_source(spark, folder, "Trade Report").collect()] == ["report"]
+    put(tmp_path / "m" / "root.csv", "a\nalone\n")             # a file without that sheet
+    assert sorted(r.a for r in files.read_source(spark, folder, "Trade Report").collect()) == ["alone", "report"]
+    (tmp_path / "m" / "root.csv").unlink()
     assert files.read_source(spark, folder, "Trades").first().a == "first"
     spark.createDataFrame([(7, " "), (8, " NA ")], "`Trade ID` int, x string").write.parquet(
         str(tmp_path / "p"))
@@ -120,7 +155,7 @@ def test_load_reference_is_broadcast(spark, tmp_path):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
-        long = reference.size_checked(spark.range(50).withColumnRenamed("id", "k"), max_rows=49)
+        long = reference.size_checked(spark.range(50).withColumnRenamed("id", "k"), max_bytes=399)
         other = spark.range(5).withColumnRenamed("id", "k").join(long, "k")
         assert "Broadcast" not in other._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -175,15 +210,44 @@ def test_build_cache_and_exports(spark, tmp_path):
     assert (lines("monthly"), lines("refs"), lines("unparsed"), lines("trades")) == (2, 0, 1, 5)
 
 
-def test_stage_uses_the_shared_folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def test_an_unfinished_build_is_no_cache(spark, tmp_path):
+    data, lookup, cache = tmp_path / "data", tmp_path / "ref", tmp_path / "cache"
+    write_reference(lookup)
+    put(data / "ICE" / "a.csv", csv_text([ice_row(deal_id="1")]))
+    put(cache / "combined" / "_temporary" / "0" / "x.parquet", "")
+    ref = reference.load_reference(spark, str(lookup))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        assert dataset.load_combined(spark, str(data), ref, str(cache)).count() == 1
+        sinks.mark_complete(spark, f"{cache}/complete", False)       # a rebuild that broke off
+        put(data / "ICE" / "b.csv", csv_text([ice_row(deal_id="2")]))
+        assert dataset.load_combined(spark, str(data), ref, str(cache)).count() == 2
+
+
+def test_stage_goes_where_it_is_told(spark, tmp_path):
     table = spark.range(3)
-    staged = sinks.stage(table, "t")
-    assert staged.count() == 3
-    if root is None:
-        assert staged is table
-    else:
-        assert root in staged.inputFiles()[0]
+    assert sinks.stage(table, "t", None) is table
+    staged = sinks.stage(table, "t", str(tmp_path))
+    assert staged.count() == 3 and str(tmp_path) in staged.inputFiles()[0]
+    sinks.drop_staged(staged)
+    path = staged.schema[0].metadata["staged"]
+    assert spark.read.parquet(path).count() == 0
+    sinks.drop_staged(table)
+
+
+def test_local_staging_is_refused_on_a_cluster(spark, monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn", "spark.checkpoint.dir": "/mnt/shared"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    sinks.check_shared(Session, "s3a://lake/tmp")
+    sinks.check_shared(Session, "/mnt/shared/x")
+    for folder in ("/tmp/x", "file:/tmp/x"):
+        with pytest.raises(ValueError, match="not shared"):
+            sinks.check_shared(Session, folder)
 
 
 def test_grouped_write_keeps_null_groups(spark, tmp_path):

@@ -239,6 +239,20 @@ def onex_columns(d: SparkSQL) -> dict[str, str]:
     }
 
 
+def dated_columns(d: SparkSQL) -> dict[str, str]:
+    """The ship date as brokers write it: month names, two-digit years, year first or last."""
+    day = "CAST(day(l_shipdate) AS STRING)"
+    year = "CAST(year(l_shipdate) AS STRING)"
+    name = f"substr({d.fmt(SHIP_DAY, 'Mon-Y')}, 1, 3)"
+    month = "CAST(month(l_shipdate) AS STRING)"
+    forms = [f"{day} || '-' || {name} || '-' || {year}", f"{name} || ' ' || {day} || ', ' || {year}",
+             f"{year} || '-' || upper({name}) || '-' || {day}", f"{day} || ' ' || lower({name}) || ' ' || substr({year}, 3, 2)",
+             f"CASE WHEN year(l_shipdate) % 100 > 12 THEN substr({year}, 3, 2) || '-' || {month} || '-' || {day}"
+             f" ELSE {year} || '/' || {month} || '/' || {day} END", f"{month} || '/' || {day} || '/' || substr({year}, 3, 2)"]
+    return {"id": ID, "text": d.pick([f"({f})" for f in forms], "l_partkey % 6"),
+            "timed": d.pick([f"({f}) || ' 9:15:22 AM'" for f in forms], "l_suppkey % 6")}
+
+
 RAW = {"ICE": ice_columns, "Modern": modern_columns, "Neon": neon_columns, "OneX": onex_columns}
 
 _RULE_HEADER = ("raw_product, raw_price_basis, raw_index, raw_location, raw_pipeline, y_n,"

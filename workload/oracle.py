@@ -228,11 +228,11 @@ def season_query(select, by=None):
     return on_trades(select, POSITIONS, season(by))
 
 
-def bars(base, value):
+def bars(base, value, newest=None):
+    recent = (f"""WHERE delivery_month IN (SELECT DISTINCT delivery_month FROM season
+                               ORDER BY 1 DESC LIMIT {newest})""" if newest else "")
     return season_query(f"""SELECT delivery_month, {base} AS base, seg, {value} AS val FROM season
-      WHERE delivery_month IN (SELECT DISTINCT delivery_month FROM season
-                               ORDER BY 1 DESC LIMIT 8)
-      GROUP BY ALL""", "grade")
+      {recent} GROUP BY ALL""", "grade")
 
 
 def curve(x, y, stat, grid):

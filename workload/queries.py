@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +16,8 @@ from cyclebook.operators import calendar as C
 from cyclebook.operators import rules as R
 from cyclebook.plans import dataset, index, intraday, legacy, normalize, quality
 from cyclebook.plans import filters, references, seasonality, views
-from cyclebook.sources.conform import read_all_sheets, union_all
+from cyclebook.sources import files
+from cyclebook.sources.conform import drop_blank_rows, read_all_sheets, union_all
 from cyclebook.sources.reference import Reference, reference_from_tables
 from workload import adapters as A
 from workload import oracle as Q
@@ -121,6 +125,9 @@ on_star("seasonality_bars", lambda t: rounded(seasonality.seasonality_bars(
 on_star("seasonality_bars_cumulative", lambda t: seasonality.seasonality_bars(
     seasonality.cycle_seasonality(t, by="grade"), x="day", y="cum_raw"),
     Q.bars("CAST(trading_day_rank AS DOUBLE)", "max(cum_vol)"))
+on_star("seasonality_bars_recent", lambda t: seasonality.seasonality_bars(
+    seasonality.cycle_seasonality(t, by="grade"), x="day", y="cum_raw", max_months=8),
+    Q.bars("CAST(trading_day_rank AS DOUBLE)", "max(cum_vol)", 8))
 on_star("seasonality_curve_mean", lambda t: rounded(seasonality.season_curve(
     seasonality.cycle_seasonality(t), x="pct", y="cum_pct"), "y"),
     Q.curve("norm_pct", "cum_pct", f"round(avg({Q.AT}), 6)", Q.PCT_GRID))
@@ -135,8 +142,7 @@ on_star("season_label", lambda t: t.filter(F.col("delivery_month").isNotNull()).
       ELSE 'Fall' END AS season, count(*) AS trades, sum(qty_m3) AS vol_m3
       FROM t WHERE delivery_month IS NOT NULL GROUP BY 1"""))
 on_star("recent_months", lambda t: filters.recent_months(
-    filters.component_trades(t), 8).groupBy("delivery_month").agg(
-        F.count(F.lit(1)).alias("trades")),
+    filters.component_trades(t).groupBy("delivery_month").agg(F.count(F.lit(1)).alias("trades")), 8),
     Q.on_trades(f"""SELECT delivery_month, count(*) AS trades FROM t WHERE {Q.SW}
       AND delivery_month IN (SELECT DISTINCT delivery_month FROM t WHERE {Q.SW}
         AND delivery_month IS NOT NULL ORDER BY 1 DESC LIMIT 8) GROUP BY 1"""))
@@ -162,14 +168,27 @@ on_star("intraday_by_broker", lambda t: intraday.intraday_byseg(t, "broker", buc
 on_events("weekday_filter", lambda t: intraday.intraday_total(
     t, dows=[1, 5, 7], in_cycle=False, bucket_min=5),
     Q.on_events(Q.intraday_total(5, "is_component AND isodow(exec_date) IN (1, 5, 7)")))
-on_events("ohlc_day", lambda t: intraday.ohlc_profile(t),
-          Q.on_events(Q.ohlc("date_trunc('day', exec_datetime)::TIMESTAMP", "trade_id")))
-on_events("ohlc_minutes", lambda t: intraday.ohlc_profile(t, bucket=30),
-          Q.on_events(Q.ohlc("time_bucket(INTERVAL 30 MINUTE, exec_datetime)", "trade_id")))
-on_star("ohlc_day_star", lambda t: intraday.ohlc_profile(
-    t, tie=("trade_id", "price", "qty_m3")),
-    Q.on_trades(Q.ohlc("date_trunc('day', exec_datetime)::TIMESTAMP",
-                       "trade_id, price, qty_m3")))
+def event_row():
+    return F.col("trade_id").cast("long")
+
+
+def trade_row():
+    order, line = (F.split_part("trade_id", F.lit("-"), F.lit(i)).cast("long") for i in (1, 2))
+    return order * 8 + line
+
+
+TRADE_ROW_SQL = "CAST(split_part(trade_id, '-', 1) AS BIGINT) * 8 + CAST(split_part(trade_id, '-', 2) AS BIGINT)"
+on_events("ohlc_day", lambda t: intraday.ohlc_profile(t, ordinal=event_row()),
+          Q.on_events(Q.ohlc("date_trunc('day', exec_datetime)::TIMESTAMP", "CAST(trade_id AS BIGINT)")))
+on_events("ohlc_minutes", lambda t: intraday.ohlc_profile(t, bucket=30, ordinal=event_row()),
+          Q.on_events(Q.ohlc("time_bucket(INTERVAL 30 MINUTE, exec_datetime)", "CAST(trade_id AS BIGINT)")))
+on_star("ohlc_day_star", lambda t: intraday.ohlc_profile(t, ordinal=trade_row()),
+    Q.on_trades(Q.ohlc("date_trunc('day', exec_datetime)::TIMESTAMP", TRADE_ROW_SQL)))
+# Many trades at one instant and none with an id: the prices decide.
+on_star("ohlc_equal_instants", lambda t: intraday.ohlc_profile(t.withColumns({
+    "exec_datetime": F.col("exec_date").cast("timestamp_ntz"), "trade_id": F.lit(" ")})),
+    Q.on_trades(Q.ohlc("CAST(exec_date AS TIMESTAMP)", "price").replace(
+        "exec_datetime", "CAST(exec_date AS TIMESTAMP)")))
 
 # --- Trades at a published index ----------------------------------------------
 
@@ -254,7 +273,7 @@ on_raw("latest_version_by_sheet", "OneX",
            order="export_end DESC NULLS LAST, source_file_modified DESC NULLS LAST,"
                  " source_file DESC, source_sheet DESC NULLS LAST, source_block, source_row")))
 on_raw("parent_leg_flag", "Neon",
-       lambda r: normalize.flag_parents(normalize.latest_neon(r)).select(
+       lambda r: normalize.latest_with_parents(r).select(
            "trade_id", "parent_trade_id", "is_parent",
            normalize.neon_leg_kind("is_parent", "parent_trade_id").alias("kind"), *IDS),
        Q.with_(Q.raw("Neon"), Q.neon_versions(), Q.neon_flagged(""),
@@ -451,6 +470,28 @@ on_raw("parse_timestamps", "Modern", lambda r: r.select(
         TRY_STRPTIME(executed_timestamp, '%Y-%m-%d %H:%M')) AS at,
       coalesce(TRY_STRPTIME(executed_timestamp, '%Y-%m-%d %I:%M:%S %p'),
         TRY_STRPTIME(executed_timestamp, '%Y-%m-%d %H:%M:%S')) AS at_permissive FROM raw"""))
+def named_dates(spark: SparkSession, sf: str) -> DataFrame:
+    texts = A.render(A.table(spark, sf, "lineitem"), A.dated_columns(A.SPARK))
+    return texts.select("id", D.onex_date("text").alias("day"), D.permissive_timestamp("timed").alias("at"))
+
+
+register("parse_named_dates", named_dates, f"""SELECT id, CAST(l_shipdate AS DATE) AS day,
+  CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + INTERVAL 33322 SECOND AS at
+  FROM (SELECT *, {A.ID.replace('STRING', 'VARCHAR')} AS id FROM lineitem)""")
+
+
+def rejected(spark: SparkSession, sf: str) -> DataFrame:
+    return union_all([quality.rejected_dates(A.raw_export(spark, sf, b), b) for b in A.RAW])
+
+
+register("rejected_dates", rejected, Q.with_(
+    Q.raw("ICE", "ri"), Q.raw("Modern", "rm"), Q.raw("Neon", "rn"),
+    select=" UNION ALL ".join(
+        f"SELECT '{b}' AS broker, '{c}' AS \"column\", source_file, count(*) AS rejected FROM {r}"
+        f" WHERE {w} GROUP BY source_file" for b, c, r, w in (
+            ("ICE", "local_datetime", "ri", "local_datetime = 'n/a' OR length(local_datetime) = 10"),
+            ("Modern", "executed_timestamp", "rm", "executed_timestamp = 'pending'"),
+            ("Neon", "trade_time", "rn", "trade_time = 'late'")))))
 on_raw("parse_export_dates", "OneX", lambda r: r.select(
     *IDS, D.onex_date("exec_date").alias("day"), D.export_end("source_file").alias("export_end"),
     (F.hour(D.parse_clock("exec_time")) * 3600 + F.minute(D.parse_clock("exec_time")) * 60
@@ -488,11 +529,58 @@ for _name, _broker in zip(Q.NORMALIZED, A.RAW):
         Q.with_(Q.CALENDAR, _fn(_tag), select=f"SELECT {Q.NORMAL} FROM {_tag}n"))
 
 
-def built(spark: SparkSession, sf: str) -> DataFrame:
+def built(spark: SparkSession, sf: str, staging: str | None = None) -> DataFrame:
     sources = {b: A.raw_export(spark, sf, b) for b in A.RAW}
-    return dataset.build_dataset(spark, sources, reference(spark))
+    return dataset.build_dataset(spark, sources, reference(spark), staging=staging)
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for what a query writes and reads back."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="workload-")
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+CSV_COLUMNS = ("deal_id", "is_cancelled", "market", "strip", "local_datetime", "qty", "price", "trade_index")
+
+
+def csv_exports(spark: SparkSession, sf: str) -> DataFrame:
+    """The ICE export written under two headers in another order, read back as one table."""
+    raw, folder = A.raw_export(spark, sf, "ICE").select(*CSV_COLUMNS), run_folder(spark, "exports")
+    titles = {c: c.replace("_", " ").title() for c in CSV_COLUMNS}
+    for rows, names in ((raw.filter("deal_id LIKE '%1'"), CSV_COLUMNS),
+                        (raw.filter("deal_id NOT LIKE '%1'"), CSV_COLUMNS[::-1])):
+        rows.select(*[F.col(c).alias(titles[c]) for c in names]).write.mode("append").option("header", True).csv(folder)
+    return files.read_csv_folder(spark, folder).select(*CSV_COLUMNS)
+
+
+def landed_sheets(spark: SparkSession, sf: str) -> DataFrame:
+    """Two layouts landed as sheets of one source, with blank rows between, read back and cleaned."""
+    folder = run_folder(spark, "sheets")
+    for name, columns in (("Neon", ("trade_id", "product", "price")), ("OneX", ("trade_id", "price", "sleeved"))):
+        rows = A.raw_export(spark, sf, name).select(*columns)
+        blank = rows.select(*[F.lit(" ").alias(c) for c in columns])
+        rows.unionByName(blank).write.parquet(f"{folder}/{name}")
+    return drop_blank_rows(files.read_sheets(spark, folder, fmt="parquet")).select(
+        "trade_id", "product", "price", "sleeved", "source_sheet")
+
+
+def stored_build(spark: SparkSession, sf: str) -> DataFrame:
+    """The build stored with its quality tables and loaded again."""
+    folder = run_folder(spark, "build")
+    sources = {b: A.raw_export(spark, sf, b) for b in A.RAW}
+    dataset.build_dataset(spark, sources, reference(spark), folder, staging=run_folder(spark, "staging"))
+    return dataset.load_combined(spark, folder, reference(spark), folder)
+
+
+CELL = "nullif(trim({0}), '') AS {0}".format
+register("read_csv_exports", csv_exports, Q.with_(
+    Q.raw("ICE"), select=f"SELECT {', '.join(map(CELL, CSV_COLUMNS))} FROM raw"))
+register("read_landed_sheets", landed_sheets, Q.with_(
+    Q.raw("Neon", "a"), Q.raw("OneX", "b"),
+    select=f"""SELECT {CELL('trade_id')}, {CELL('product')}, {CELL('price')}, NULL::VARCHAR AS sleeved,
+      'Neon' AS source_sheet FROM a UNION ALL
+      SELECT {CELL('trade_id')}, NULL, {CELL('price')}, {CELL('sleeved')}, 'OneX' FROM b"""))
+register("stored_build", stored_build, Q.with_(Q.BUILD, select=f"SELECT {Q.ENRICHED} FROM t"))
 register("build_dataset", built, Q.with_(Q.BUILD, select=f"SELECT {Q.ENRICHED} FROM t"))
 register("monthly_index_from_raw", lambda spark, sf: index.monthly_index(built(spark, sf)),
          Q.with_(Q.BUILD, select=f"""SELECT delivery_month, grade, {Q.VWAP} AS vwap,
