@@ -50,8 +50,8 @@ def flagged_keys(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
 def split_by_flag(df: DataFrame, keys: Sequence[str], flag: str) -> tuple[DataFrame, DataFrame]:
     """Rows whose key has a flagged row, and the others.
 
-    Both joins hash the same exchange of the rows, which runs once; the build side holds each
-    flagged key once, and Spark may split a frequent key of the row side. No row is sorted.
+    Hash joins: the build side holds each flagged key once, and Spark may split a frequent key of
+    the row side. No row is sorted. The flagged keys come from a narrower read of the same rows.
     """
     marked = flagged_keys(df, keys, flag).hint("shuffle_hash")
     same = null_safe_equal(df, marked, [(k, _FACT + k) for k in keys])

@@ -74,8 +74,8 @@ def latest_month(trades: DataFrame, ig: str = "SW") -> Column:
 def recent_months(df: DataFrame, n: int) -> DataFrame:
     """Rows of the ``n`` most recent delivery months.
 
-    Meant for tables that are aggregated by month: both sides then share the one aggregation, and
-    the trades below it are read once.
+    Meant for tables that are aggregated by month, so that little is joined. The choice of the
+    months reads the month column a second time.
     """
     months = (df.filter(F.col("delivery_month").isNotNull()).select("delivery_month").distinct()
               .orderBy(F.col("delivery_month").desc()).limit(n))

@@ -137,9 +137,9 @@ def collapse_spreads(df: DataFrame) -> DataFrame:
 def latest_with_parents(raw: DataFrame) -> DataFrame:
     """Latest Neon versions with ``is_parent``: the trade id occurs as some row's parent id.
 
-    The rows stay on the partitioning by own key that the version choice gave them, and both
-    sides of the join read its one exchange: only distinct parent ids are shuffled again. Keys of
-    blank ids begin with a character that no id has, so they match nothing.
+    The rows stay on the partitioning by own key that the version choice gave them; only distinct
+    parent ids are shuffled again. Finding these reads the id columns of the source a second
+    time. Keys of blank ids begin with a character that no id has, so they match nothing.
     """
     rows = _latest_neon(raw)
     parents = (rows.filter(F.col("parent_trade_id").isNotNull())

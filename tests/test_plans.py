@@ -49,9 +49,8 @@ def test_flags_push_down_to_a_stored_table(spark, tmp_path):
 
 
 def test_reports_read_their_trades_once(spark):
-    """Bytes are counted in the plan that ran: scans behind reused exchanges are not run again."""
-    for name in ("seasonality_curve_mean", "seasonality_curve_median", "recent_months", "parent_leg_flag",
-                 "seasonality_bars_recent", "sleeve_collapse"):
+    """Scans are counted in the plan that ran: those behind reused exchanges are not run again."""
+    for name in ("seasonality_curve_mean", "seasonality_curve_median", "cycle_seasonality_by_seg", "ohlc_day_star"):
         df = CATALOG[name][0](spark, SF)
         df.collect()
         text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
