@@ -6,7 +6,7 @@ windows of one anchor form a segment. Three passes over the packs:
 
 1. Hashes of anchors and segments meet by value. An anchor that occurs once rules out all its
    windows; of a segment that occurs often only the first occurrence can hold first windows.
-2. The first occurrences of segments of repeated anchors go to suffix buckets by anchor. There a
+2. The first occurrences of segments whose anchor has several go to suffix buckets by anchor. There a
    difference-cover sort brings equal windows together, one bounded block after the other.
 3. What was found goes back to the packs, which mark the covered bytes.
 
@@ -129,6 +129,8 @@ class Keys:
         self.segments, self.first, self.segment_of = np.unique(pack.segment, return_index=True, return_inverse=True)
         self.several = times > 1
         self.kinds = np.bincount(self.anchor_of[self.first], minlength=len(self.anchors))
+        self.sample = np.zeros(len(self.anchors), np.uint64)  # one of the anchor's segments
+        self.sample[self.anchor_of] = pack.segment
 
 
 def _ask(buckets: int):
@@ -140,7 +142,8 @@ def _ask(buckets: int):
                 keys = Keys(Pack(data, np.array(ends, np.int64)))
                 note = np.minimum(keys.kinds, 32767).astype("<i2") * np.where(keys.several, -1, 1).astype("<i2")
                 for b, at in _by_bucket(keys.anchors, buckets):
-                    rows.append((b, number, 0, keys.anchors[at].tobytes(), note[at].tobytes()))
+                    rows.append((b, number, 0, keys.anchors[at].tobytes(),
+                                 note[at].tobytes() + keys.sample[at].tobytes()))
                 for b, at in _by_bucket(keys.segments, buckets):
                     rows.append((b, number, 1, keys.segments[at].tobytes(), b""))
             if rows:
@@ -153,7 +156,8 @@ def _ask(buckets: int):
 def _answer(hot_segments: int):
     """Pass 1, bucket side: flags for each hash of each row.
 
-    Anchors: 1 occurs more than once, 2 has very many segments. Segments: 1 first in this pack.
+    Anchors: 1 occurs more than once, 2 has very many segments, 4 has more than one. Segments: 1
+    first in this pack.
     """
     def run(key, table):
         rows = sorted(zip(*(table[c].to_pylist() for c in ("pack", "kind", "keys", "note"))), key=lambda r: r[:2])
@@ -169,10 +173,13 @@ def _answer(hot_segments: int):
                 flag = np.zeros(len(keys), np.uint8)
                 flag[first] = 1  # rows are in order of the packs
             else:
-                note = np.concatenate([np.frombuffer(rows[i][3], "<i2") for i in own]).astype(np.int64)
+                sizes = [len(p) for p in parts]
+                note = np.concatenate([np.frombuffer(rows[i][3], "<i2", n) for i, n in zip(own, sizes)]).astype(np.int64)
+                sample = np.concatenate([np.frombuffer(rows[i][3], np.uint64, n, 2 * n) for i, n in zip(own, sizes)])
+                mixed = np.bincount(group, (np.abs(note) > 1) | (sample != sample[first][group])) > 0
                 several = (times > 1) | (np.bincount(group, note < 0) > 0)
                 hot = np.bincount(group, np.abs(note)) > hot_segments
-                flag = (several + 2 * hot).astype(np.uint8)[group]
+                flag = (several + 2 * hot + 4 * mixed).astype(np.uint8)[group]
             for i, part in zip(own, np.split(flag, np.cumsum([len(p) for p in parts])[:-1])):
                 flags[i] = part.tobytes()
         return pa.table({"pack": pa.array([r[0] for r in rows], pa.int64()), "bucket": pa.array([key[0].as_py()] * len(rows), pa.int64()),
@@ -193,11 +200,12 @@ def _plan(pack: Pack, answers: list, buckets: int):
     anchor = flags[0][keys.anchor_of]
     here = np.zeros(len(pack.start), bool)
     here[keys.first] = flags[1].astype(bool)
-    several, hot = (anchor & 1) > 0, (anchor & 2) > 0
+    several, hot, mixed = (anchor & 1) > 0, (anchor & 2) > 0, (anchor & 4) > 0
     gone = _starts(pack, several & ~here)
-    whole = several & here & ~hot
+    # The windows of an anchor's only segment are equal to nothing but that segment's copies.
+    whole = mixed & here & ~hot
     sort = [(pack.anchor[whole], pack.start[whole], pack.count[whole])]
-    single = _starts(pack, several & here & hot)
+    single = _starts(pack, mixed & here & hot)
     if len(single):
         hashes, first = np.unique(pack.hashes(single, LENGTH), return_index=True)
         kept = single[first]
