@@ -38,7 +38,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the SentencePiece ids of the text and the text that they decode to."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return pieces.decode(pieces.encode(docs, model), model)
+    return pieces.encode_and_decode(docs, model)
 
 
 STAGES = [

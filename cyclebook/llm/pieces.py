@@ -194,13 +194,24 @@ def encode(documents: DataFrame, model: str, text: str = "text") -> DataFrame:
     A worker keeps a bounded cache of words; repeated rows and words cost a lookup. A column
     named ids is replaced. An empty table gives an empty one.
     """
+    return add_columns(documents, "ids array<int>",
+                       lambda batch: [_id_lists(pieces(model).encode(texts(batch[text])))])
+
+
+def _id_lists(data: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *(len(d) // 4 for d in data)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(data), "<i4")))
+
+
+def encode_and_decode(documents: DataFrame, model: str, text: str = "text") -> DataFrame:
+    """``encode`` and then ``decode`` in one pass, so that a task needs one Python worker."""
     def compute(batch):
-        data = pieces(model).encode(texts(batch[text]))
-        ends = np.cumsum([0, *(len(d) // 4 for d in data)]).astype(np.int32)
-        flat = np.frombuffer(b"".join(data), "<i4")
-        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+        coder = pieces(model)
+        data = coder.encode(texts(batch[text]))
+        back = [coder.decode(np.frombuffer(d, "<i4").tolist()) for d in data]
+        return [_id_lists(data), pa.array(back, pa.string())]
 
-    return add_columns(documents, "ids array<int>", compute)
+    return add_columns(documents, "ids array<int>, decoded string", compute)
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
@@ -215,7 +226,7 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
 def round_trip(documents: DataFrame, model: str) -> DataFrame:
     """``doc_id, n_ids, ids_hash, decoded_sha256, same`` of every row of ``documents``."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("source_text"))
-    done = decode(encode(rows, model, "source_text"), model)
+    done = encode_and_decode(rows, model, "source_text")
     return done.select(
         "doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -47,6 +47,7 @@ def test_round_trip_of_a_table(spark):
     assert all(r.same for r in got if r.doc_id != TEXTS.index("▁a▁▁b"))
     full = P.decode(P.encode(table, PATH), PATH)
     assert full.columns == ["doc_id", "text", "ids", "decoded"]
+    assert sorted(map(str, full.collect())) == sorted(map(str, P.encode_and_decode(table, PATH).collect()))
     assert {r.doc_id: r.ids for r in full.collect()}[len(TEXTS)] == []
 
 
