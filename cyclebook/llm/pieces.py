@@ -124,28 +124,35 @@ class Pieces:
     def _ids(self, pieces: list[str]) -> bytes:
         return b"".join(map(self.packed.__getitem__, pieces))
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.cache) + len(words) > CACHED_WORDS:
-            self.cache = {"": b""}
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of each word."""
         # Runs of marks tie on score, so the merges themselves decide there.
-        runs = [w for w in words if w.startswith(MARK + MARK)]
-        for w in runs:
-            self.cache[w] = self._ids(self.merged(w))
-        plain = sorted(words.difference(runs))
+        learnt = {w: self._ids(self.merged(w)) for w in words if w.startswith(MARK + MARK)}
+        plain = sorted(words.difference(learnt))
         for w, found in zip(plain, self.segment_sorted(plain)):
-            self.cache[w] = self._ids(found)
+            learnt[w] = self._ids(found)
+        return learnt
+
+    def _table(self, seen: set[str]) -> dict[str, bytes]:
+        """A table with the ids of all words of ``seen``; it is the cache where that has room."""
+        if not (new := seen.difference(self.cache)):
+            return self.cache
+        learnt = self._learn(new)
+        if len(self.cache) + len(learnt) <= CACHED_WORDS:
+            self.cache.update(learnt)
+            return self.cache
+        # The cache starts again from these words; if even they have no room, they serve once.
+        learnt.update((w, self.cache[w]) for w in seen.difference(new))
+        self.cache = learnt if len(learnt) <= CACHED_WORDS else {}
+        return learnt
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         out = []
         for i in range(0, len(batch), 256):
             split = [marked_words(self.model.normalize(t) if t else "", self.stop) for t in batch[i:i + 256]]
-            seen = set().union(*split)
-            while new := seen.difference(self.cache):
-                self._learn(new)
-            out += [b"".join(map(self.cache.__getitem__, s)) for s in split]
-            if len(self.cache) > CACHED_WORDS:
-                self.cache = {"": b""}
+            known = self._table(set().union(*split))
+            out += [b"".join(map(known.__getitem__, s)) for s in split]
         return out
 
     def decode(self, ids: list[int]) -> str:

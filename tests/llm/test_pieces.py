@@ -26,6 +26,15 @@ def test_ids_are_those_of_the_library(coder):
         assert [np.frombuffer(d, "<i4").tolist() for d in coder.encode(texts)] == [library.encode(t) for t in texts]
 
 
+def test_slices_with_more_words_than_the_cache_holds(monkeypatch):
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    monkeypatch.setattr(P, "CACHED_WORDS", 8)
+    coder, many = P.Pieces(PATH), " ".join(f"id{i}" for i in range(50))
+    for batch in (["a b"], ["a b", many], ["b", "a c d e f g h"], TEXTS, [many, "a b"]):
+        assert [np.frombuffer(d, "<i4").tolist() for d in coder.encode(batch)] == [library.encode(t) for t in batch]
+        assert len(coder.cache) <= 8
+
+
 def test_shared_prefixes_change_nothing(coder):
     words = sorted({"▁the", "▁then", "▁theni", "▁thenish", "▁t", "▁tho", "▁zx", "the", "then", "▁été", "▁étét"})
     assert list(coder.segment_sorted(words)) == [coder.merged(w) for w in words]
