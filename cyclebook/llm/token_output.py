@@ -62,32 +62,42 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self.cache) + len(new) > CACHED_WORDS:
-            self.cache = {"": b""}
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of each word."""
+        learnt = {}
         plain = [w for w in new if _PLAIN.fullmatch(w)]
         other = [w for w in new if not _PLAIN.fullmatch(w)]
         for words, got in self._groups(plain, " "):
             ends = np.flatnonzero(self.last[got]) + 1
             if len(ends) == len(words):
-                self._store(words, got, np.concatenate([[0], ends[:-1]]), ends)
+                learnt.update(_spans(words, got, np.concatenate([[0], ends[:-1]]), ends))
             else:
                 other += words
         for w in other:
             if "<" in w:
-                self.cache[w] = np.array(self._ids(w), "<u4").tobytes()
+                learnt[w] = np.array(self._ids(w), "<u4").tobytes()
         for words, got in self._groups([w for w in other if "<" not in w], self.cut_text):
             cuts = np.flatnonzero(got == self.cut)
-            self._store(words, got, np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(got)]]))
+            learnt.update(_spans(words, got, np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(got)]])))
+        return learnt
 
     def _groups(self, words: list[str], gap: str):
         groups = [words[i:i + 512] for i in range(0, len(words), 512)]
         got = self.tokenizer.encode_batch_fast([gap.join(g) for g in groups], add_special_tokens=False)
         return ((g, np.array(e.ids, "<u4")) for g, e in zip(groups, got))
 
-    def _store(self, words: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        spans = map(slice, (starts * 4).tolist(), (ends * 4).tolist())
-        self.cache.update(zip(words, map(ids.tobytes().__getitem__, spans)))
+    def _table(self, seen: set[str]) -> dict[str, bytes]:
+        """A table with the ids of all words of ``seen``; it is the cache where that has room."""
+        if not (new := seen.difference(self.cache)):
+            return self.cache
+        learnt = self._learn(sorted(new))
+        if len(self.cache) + len(learnt) <= CACHED_WORDS:
+            self.cache.update(learnt)
+            return self.cache
+        # The cache starts again from these words; if even they have no room, they serve once.
+        learnt.update((w, self.cache[w]) for w in seen.difference(new))
+        self.cache = learnt if len(learnt) <= CACHED_WORDS else {}
+        return learnt
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -98,16 +108,17 @@ class Encoder:
         for i in range(0, len(batch), 256):
             split = [_STOP.sub(r" \1", t.encode().lower().decode().replace("\n", " ")).split(" ")
                      for t in batch[i:i + 256]]
-            seen = set().union(*split)
-            if new := seen.difference(self.cache):
-                self._learn(sorted(new))
-                # Emptying the cache may have dropped words that this batch needs.
-                if lost := seen.difference(self.cache):
-                    self._learn(sorted(lost))
-            out += [b"".join(map(self.cache.__getitem__, s)) for s in split]
+            known = self._table(set().union(*split))
+            out += [b"".join(map(known.__getitem__, s)) for s in split]
         return out
 
 
+def _spans(words: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """Each word with the bytes of its ids."""
+    spans = map(slice, (starts * 4).tolist(), (ends * 4).tolist())
+    return zip(words, map(ids.tobytes().__getitem__, spans))
+
+
 # Words of these letters are one run of letters before and after normalization.
 _PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 # A full stop or comma between an ASCII letter and a space is a word of its own.

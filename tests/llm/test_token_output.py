@@ -25,6 +25,14 @@ def test_word_cache_gives_the_ids_of_the_library(library):
         assert [np.frombuffer(d, "<u4").tolist() for d in coder.encode(TEXTS)] == [library(t) for t in TEXTS]
 
 
+def test_slices_with_more_words_than_the_cache_holds(library, monkeypatch):
+    monkeypatch.setattr(O, "CACHED_WORDS", 8)
+    coder, many = O.Encoder(PATH), " ".join(f"id{i}" for i in range(50))
+    for batch in (["a b"], ["a b", many], ["b", "a c d e f g h"], TEXTS, [many, "a b"]):
+        assert [np.frombuffer(d, "<u4").tolist() for d in coder.encode(batch)] == [library(t) for t in batch]
+        assert len(coder.cache) <= 8
+
+
 def test_vocabularies_that_keep_white_space_take_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     coder, tokenizer = O.Encoder(path), Tokenizer.from_file(path)
