@@ -24,7 +24,6 @@ from cyclebook.llm.shared import new_folder, open_file, texts, write_file
 MAGIC = b"RPTOK001"
 SHARD_IDS = 1 << 20
 MIN_PAIRS = 32
-ROUNDS = 4
 RULES_PER_ROUND = 4096
 SAMPLE = 128  # symbols between two entries of a shard's position index
 CACHED_WORDS = 800_000
@@ -146,22 +145,18 @@ def _frequent(codes: np.ndarray, most: int, least: int) -> np.ndarray:
     return ordered[edges[:-1][chosen]]
 
 
-def repair(ids: np.ndarray, rounds: int = ROUNDS, least: int = MIN_PAIRS,
-           most: int = RULES_PER_ROUND) -> tuple[np.ndarray, np.ndarray, int]:
+def repair(ids: np.ndarray, least: int = MIN_PAIRS, most: int = RULES_PER_ROUND) -> tuple[np.ndarray, np.ndarray, int]:
     """(symbols, rules, first nonterminal): rule k gives the two symbols of nonterminal first + k.
 
-    Every round replaces all frequent pairs at once, from left to right without overlap. As long
-    as they suffice, symbols stay below 65,536, so that two bytes hold one.
+    Every round replaces the most frequent pairs at once, from left to right without overlap, until
+    no pair is there ``least`` times.
     """
     first = int(ids.max()) + 1 if len(ids) else 0
     symbols, rules = ids.astype(np.int64), []
     nxt = first
-    for _ in range(rounds):
-        room = 65536 - nxt if nxt < 65536 else 0
-        if len(symbols) < 2 or not room:
-            break
+    while len(symbols) > 1:
         codes = (symbols[:-1] << 32) | symbols[1:]
-        chosen = _frequent(codes, min(most, room), least)
+        chosen = _frequent(codes, most, least)
         if not len(chosen):
             break
         # A small hashed table rules out nearly all pairs before the exact search.

@@ -60,6 +60,13 @@ def test_rules_shorten_repetition():
     assert O.expansion_lengths(rules, first).max() >= 4
 
 
+@pytest.mark.parametrize("ids", [[1, 2] * 20_000, [65_535, 5, 6] * 400, [*range(300)] * 40])
+def test_rules_end_when_no_pair_is_frequent(ids):
+    symbols, rules, _ = O.repair(np.array(ids))
+    pairs = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)[1]
+    assert len(rules) and max(pairs, default=0) < O.MIN_PAIRS
+
+
 def brute(rows, library):
     out, start = [], 0
     for key, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
