@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclebook.llm.decontaminate import words
@@ -24,6 +24,8 @@ PREFIX = 5
 MAX_LABELLED = 30_000
 MAX_TERMS = 4096
 FACTORS = 4
+EVIDENCE = 25.0  # nats of a pair; chance reaches them in about one of 10**11 pairs
+CELLS = 1 << 24  # pair counts that a task holds
 
 
 def terms(text: bytes) -> np.ndarray:
@@ -102,6 +104,87 @@ def _choose(features: DataFrame, toxic: int, clean: int, most: int) -> np.ndarra
     return np.array(sorted(r.bucket for r in rows), np.int64)
 
 
+def _able(features: DataFrame) -> np.ndarray:
+    """Buckets that can be in a pair with enough evidence: it is in no more texts than its terms,
+    and its evidence is largest when all of these agree."""
+    r = F.col("t") / F.col("n")
+    counts = (features.select("y", F.explode("terms").alias("bucket")).groupBy("bucket")
+              .agg(F.sum("y").alias("t"), F.count("*").alias("n")).filter("t > 0 and t < n"))
+    able = counts.filter(F.col("n") * -F.log(F.least(r, 1 - r)) >= EVIDENCE).select("bucket")
+    return np.sort(able.toArrow()["bucket"].to_numpy())
+
+
+def _places(features: DataFrame, buckets: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``buckets`` of all rows' terms, where each row's end, and labels; clean rows first."""
+    held = features.sparkSession.sparkContext.broadcast(buckets)
+
+    def place(batches):
+        where = np.full(1 << BITS, -1, "<i4")
+        where[held.value] = np.arange(len(held.value))
+        for batch in batches:
+            at = [(p := where[r.values.to_numpy()])[p >= 0].tobytes() for r in batch["terms"]]
+            yield pa.RecordBatch.from_arrays([batch["y"], pa.array(at, pa.binary())], names=["y", "at"])
+
+    table = features.mapInArrow(place, "y int, at binary").orderBy("y", "at").limit(most).toArrow()
+    ends = np.cumsum([0, *(len(x) // 4 for c in table["at"].chunks for x in c.to_pylist())])
+    at = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x.as_buffer(), "<i4") for c in table["at"].chunks for x in c)])
+    return at, ends, table["y"].to_numpy().astype(float)
+
+
+def _paired(spark: SparkSession, at: np.ndarray, ends: np.ndarray, labels: np.ndarray, size: int) -> np.ndarray:
+    """Places of pairs whose texts are toxic more often, or less often, than those of both terms.
+
+    A term that is as usual in toxic texts as in others can still matter beside another one. All
+    pairs are counted, a block of terms in each task.
+    """
+    if not size or not len(labels):
+        return np.zeros(0, np.int64)
+    toxic = int(ends[int((labels == 0).sum())])
+    rate = np.bincount(at[toxic:], minlength=size) / np.maximum(np.bincount(at, minlength=size), 1)
+    held = spark.sparkContext.broadcast((at, ends, labels > 0, rate))
+    width = max(1, CELLS // size)
+
+    def count(batches):
+        at, ends, toxic, rate = held.value
+        for batch in batches:
+            for low in (batch["id"].to_numpy() * width).tolist():
+                high, wide = min(low + width, size), size - low
+                both, bad = np.zeros((high - low) * wide, np.int32), np.zeros((high - low) * wide, np.int32)
+                for a, b, y in zip(ends[:-1].tolist(), ends[1:].tolist(), toxic.tolist()):
+                    row = at[a:b]
+                    first, last = np.searchsorted(row, (low, high))
+                    if first < last:
+                        own = row[first:last].astype(np.int64) - low
+                        cells = (own[:, None] * wide + (row[first:] - low)).ravel()
+                        both[cells] += 1
+                        if y:
+                            bad[cells] += 1
+                found = np.zeros(size, bool)
+                for k in range(high - low):
+                    line = slice(k * wide, (k + 1) * wide)
+                    other = np.flatnonzero(both[line])
+                    strong = other[_evidence(both[line][other], bad[line][other], rate[low + k],
+                                             rate[low + other]) >= EVIDENCE]
+                    found[low + strong] = True
+                    found[low + k] |= len(strong) > 0
+                yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(found), pa.int64())], names=["place"])
+
+    blocks = -(-size // width)
+    hits = spark.range(0, blocks, 1, blocks).mapInArrow(count, "place long").distinct().collect()
+    held.destroy()
+    return np.array(sorted(r.place for r in hits), np.int64)
+
+
+def _evidence(n: np.ndarray, t: np.ndarray, one: float, other: np.ndarray) -> np.ndarray:
+    """Nats by which t toxic of n texts speak against the nearer of both terms' own rates."""
+    r = t / n
+    high, low = np.maximum(one, other), np.minimum(one, other)
+    p = np.where(r > high, high, np.where(r < low, low, r))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        apart = np.where(r > 0, r * np.log(r / p), 0) + np.where(r < 1, (1 - r) * np.log((1 - r) / (1 - p)), 0)
+    return n * apart
+
+
 def fit(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         label: str = "toxic", max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS) -> Machine:
     """The machine learnt from at most ``max_labelled`` labelled rows, chosen by a hash of the id.
@@ -128,12 +211,15 @@ def fit(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     features = staged(rows.mapInArrow(gather, "y int, terms array<long>"), "labelled-terms")
     toxic, total = features.agg(F.sum("y"), F.count("*")).first()
     chosen = _choose(features, toxic or 0, total - (toxic or 0), max_terms)
-    wanted = F.array(*[F.lit(int(b)) for b in chosen]).cast("array<long>")
-    # At most max_labelled rows of the few chosen terms that a text has.
-    small = features.select("y", F.array_intersect("terms", wanted).alias("terms")).limit(2 * max_labelled).collect()
-    small.sort(key=lambda r: (r.y, r.terms))
-    at = [np.searchsorted(chosen, np.array(r.terms, np.int64)) for r in small]
-    return Machine(*_with_terms(train(at, np.array([r.y for r in small], float), len(chosen)), chosen))
+    wanted = np.union1d(chosen, _able(features))
+    # At most max_labelled rows, and the rows that repeat their ids.
+    at, ends, known_y = _places(features, wanted, 2 * max_labelled)
+    pairs = _paired(documents.sparkSession, at, ends, known_y, len(wanted))
+    chosen = np.union1d(chosen, wanted[pairs])
+    place = np.full(len(wanted), -1, np.int32)
+    place[np.searchsorted(wanted, chosen)] = np.arange(len(chosen))
+    taught = [(p := place[at[a:b]])[p >= 0] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    return Machine(*_with_terms(train(taught, known_y, len(chosen)), chosen))
 
 
 def _with_terms(learnt, chosen: np.ndarray):

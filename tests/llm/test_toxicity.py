@@ -21,6 +21,22 @@ def test_pairs_are_learnt_that_weights_alone_miss():
     assert right > 0.95 > 0.8 > np.mean([(plain.score(r) >= 0.5) == bool(y) for r, y in zip(rows, labels)])
 
 
+def test_pairs_of_terms_that_are_as_usual_in_clean_texts_are_learnt(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abdeiklnorst", k=5)) for _ in range(300)]
+    rows, labels = [], []
+    for i in range(2000):
+        mild, group = rng.random() < 0.5, rng.random() < 0.5
+        text = rng.choices(words, k=20) + ["pests"] * mild + ["folks"] * group
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(mild == group)))
+    out = T.toxicity(spark.createDataFrame(rows, "doc_id long, text string"),
+                     spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    right = [r.predicted == labels[r.doc_id][2] for r in out if r.held_out]
+    assert len(right) > 300 and np.mean(right) > 0.95
+
+
 def test_score_is_the_formula():
     rng = np.random.default_rng(5)
     machine = T.Machine(-0.3, np.array([3, 8, 20]), rng.normal(size=3), rng.normal(size=(3, 4)))
