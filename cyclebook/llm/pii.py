@@ -2,7 +2,7 @@
 
 Regular expressions with checks give the base spans. They seed the bootstrapping: identifier-like
 chunks of a text (runs of words with a digit or an at sign) are instances, the words before a
-chunk with the chunk's shape are lexical patterns. Patterns and instances score each other over a
+chunk with its rough number of digits are lexical patterns. Patterns and instances score each other over a
 few rounds on their graph, and chunks in patterns that nearly always hold one kind of identifier
 are taken for that kind, too.
 """
@@ -119,15 +119,18 @@ def chunk_instances(matches: DataFrame) -> DataFrame:
     seed = F.lit(None).cast("string")
     for kind in reversed(KINDS):
         seed = F.when(_holds(kind), F.lit(kind)).otherwise(seed)
-    shape = F.regexp_replace(F.regexp_replace(F.lower("core"), "[0-9]+", "9"), r"\p{L}+", "a")
+    n_digits = F.length(_digits(F.col("core")))
+    size = F.when(F.contains("core", F.lit("@")), F.lit("@")).otherwise(
+        F.when(n_digits < 4, F.lit("9")).when(n_digits < 8, F.lit("9999")).when(n_digits < 16, F.lit("9{8}"))
+        .otherwise(F.lit("9{16}")))
     words = F.regexp_extract_all(F.lower("before"), F.lit(r"\S+"), F.lit(0))
     one = F.concat(F.lit("1 "), F.element_at("w", -1))
     two = F.concat(F.lit("2 "), F.element_at("w", -2), F.lit(" "), F.element_at("w", -1))
     n = F.size("w")
-    return (chunks.withColumn("seed", seed).withColumn("shape", F.left(shape, F.lit(CONTEXT))).withColumn("w", words)
+    return (chunks.withColumn("seed", seed).withColumn("size", size).withColumn("w", words)
             .withColumn("contexts", F.when(n > 1, F.array(one, two)).when(n == 1, F.array(one)).otherwise(F.array(F.lit("0"))))
-            .select("__id", "__hash", "start", "end", F.left(F.lower("core"), F.lit(2 * CONTEXT)).alias("instance"), "seed",
-                    F.transform("contexts", lambda c: F.concat(c, F.lit(" "), F.col("shape"))).alias("patterns")))
+            .select("__id", "__hash", "start", "end", F.md5(F.lower("core").cast("binary")).alias("instance"), "seed",
+                    F.transform("contexts", lambda c: F.concat(c, F.lit(" "), F.col("size"))).alias("patterns")))
 
 
 def pattern_confidence(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
@@ -135,7 +138,8 @@ def pattern_confidence(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int =
     """``pattern, kind, confidence`` of the patterns to trust, from ``edges(pattern, instance, seed)``.
 
     An instance that is a seed counts fully for its kind. Of the others each counts as much as
-    the trusted patterns it occurs in vouch for it; a pattern's confidence is the mean of its
+    the trusted patterns it occurs in vouch for it, and from ``min_confidence`` on as a seed of the
+    next round, so that patterns without any base match come in; a pattern's confidence is the mean of its
     instances. Each edge is there once, so a pattern or instance with very many occurrences is as
     many rows as it has distinct partners, and sums are partial before they are shuffled.
     """
@@ -154,7 +158,8 @@ def pattern_confidence(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int =
             doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))
             vouched = others.join(trusted, "pattern").groupBy("instance", "kind").agg((1 - doubt).alias("trust"))
             known = seeds.unionAll(others.join(vouched, "instance")
-                                   .select("pattern", "kind", "trust", F.lit(0).alias("is_seed")))
+                                   .select("pattern", "kind", "trust",
+                                           (F.col("trust") >= min_confidence).cast("int").alias("is_seed")))
     return trusted
 
 

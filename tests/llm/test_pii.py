@@ -71,6 +71,21 @@ def test_patterns_of_seeds_find_unseen_identifiers(spark):
     assert rows[81].spans == rows[82].spans == ""
 
 
+def test_other_shapes_than_those_of_the_seeds_are_found(spark):
+    texts = [f"Call phone +1 555 123 {i:04d} today" for i in range(40)]
+    texts += ["Call phone 555-123-4567 today", "Call phone (030) 1234.5678 today", "Call phone 12 today"]
+    rows = P.personal_data(rows_of(spark, texts)).orderBy("doc_id").collect()
+    assert [r.spans for r in rows[40:]] == ["phone:11:23", "phone:11:26", ""] and not any(r.n_phone for r in rows[40:])
+
+
+def test_instances_vouched_for_are_seeds_of_the_next_round(spark):
+    edges = [("p", f"i{k}", "ip") for k in range(190)] + [("p", f"x{k}", None) for k in range(10)]
+    edges += [("q", f"x{k}", None) for k in range(10)] + [("q", "new", None)]
+    table = spark.createDataFrame(edges, "pattern string, instance string, seed string")
+    assert {r.pattern for r in P.pattern_confidence(table, rounds=1).collect()} == {"p"}
+    assert {r.pattern for r in P.pattern_confidence(table, rounds=2).collect()} == {"p", "q"}
+
+
 def test_confidence_is_the_share_of_vouched_instances(spark):
     edges = [("p", f"i{k}", "ip") for k in range(9)] + [("p", "odd", None)]
     edges += [("q", f"i{k}", "ip") for k in range(5)] + [("q", "odd", None), ("q", "new", None)]
