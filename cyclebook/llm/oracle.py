@@ -60,3 +60,69 @@ SELECT v.vec_id, (SELECT count(*) FROM link WHERE link.a = v.vec_id) AS n_links,
   low.component_id, v.vec_id = low.component_id AS kept
 FROM v JOIN low ON low.a = v.vec_id
 """
+
+
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, by the rule of its reflected polynomial."""
+    bits = "x"
+    for _ in range(8):
+        bits = f"list_transform([{bits}], lambda v: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)[1]"
+    step = bits.replace("[x]", "[xor(a, b)]", 1)
+    return (f"xor(4294967295, list_reduce(list_transform(string_split({text}, ''), lambda s: CAST(ascii(s) AS BIGINT)),"
+            f" lambda a, b: {step}, CAST(4294967295 AS BIGINT)))")
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+
+
+def _levels(low: str, tag: str, n: int) -> str:
+    """Relations ``{tag}1`` to ``{tag}n`` over ``{low}(grp, i, h)``: the levels above, and siblings beside each node."""
+    out, below = [], low
+    for k in range(n):
+        run = "PARTITION BY grp, i // 8 ORDER BY i ROWS BETWEEN"
+        out.append(f"""{tag}s{k} AS (SELECT *, count(*) OVER (PARTITION BY grp) AS n,
+          coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+          coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {below})""")
+        below = f"{tag}{k + 1}"
+        out.append(f"""{below} AS (SELECT grp, i // 8 AS i,
+          CASE WHEN n = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h
+          FROM {tag}s{k} GROUP BY grp, i // 8, n)""")
+    return ",\n".join(out)
+
+
+def merkle(levels: int = 7, tops: int = 3) -> str:
+    """Groups of up to ``8 ** levels`` rows, and ``8 ** tops`` groups at most; row ids are unique."""
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    leaf = " || ".join(map(_field, names))
+    lowered = f"translate(text, '{UPPER}', '{LOWER}')"
+    changed = " || ".join(_field(lowered if c == "text" else c) for c in names)
+    joins, proof = [], []
+    steps = [("s", k, "d.grp", "d.i") for k in range(levels)] + [("t", k, "''", "g.i") for k in range(tops)]
+    folds, at = [], "start"
+    for j, (tag, k, grp, i) in enumerate(steps):
+        joins.append(f"JOIN {tag}s{k} AS x{j} ON x{j}.grp = {grp} AND x{j}.i = {i} // {8 ** k}")
+        proof.append(f"x{j}.l || x{j}.r")
+        folds.append(f"""f{j + 1} AS (SELECT * REPLACE (CASE WHEN p[{j + 1}].n = 1 THEN c
+          ELSE sha256(p[{j + 1}].l || c || p[{j + 1}].r) END AS c) FROM {at})""")
+        at = f"f{j + 1}"
+    path = ", ".join(f"{{'n': x{j}.n, 'l': x{j}.l, 'r': x{j}.r}}" for j in range(len(steps)))
+    return f"""WITH d0 AS (SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS grp,
+  sha256({leaf}) AS h, CASE WHEN {crc32('CAST(doc_id AS VARCHAR)')} % 3 = 0 THEN sha256({changed})
+    ELSE sha256({leaf}) END AS c FROM documents),
+d AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST) - 1 AS i FROM d0),
+{_levels("d", "s", levels)},
+g AS (SELECT grp AS lang, h AS subroot, '' AS grp, h, row_number() OVER (ORDER BY CAST(grp AS BLOB)) - 1 AS i FROM s{levels}),
+g0 AS (SELECT grp, i, h FROM g),
+{_levels("g0", "t", tops)},
+start AS (SELECT d.doc_id, d.h AS leaf, g.subroot, d.c, sha256({' || '.join(proof)}) AS proof_sha256, [{path}] AS p
+  FROM d JOIN g ON g.lang = d.grp {' '.join(joins)}),
+{','.join(folds)}
+SELECT doc_id, leaf, subroot, (SELECT h FROM t{tops}) AS root, proof_sha256, c AS folded_root,
+  c = (SELECT h FROM t{tops}) AS verified FROM {at}"""
+
+
+MERKLE = merkle()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclebook.llm import decontaminate, embeddings, pieces, pii, quality, simhash, suffixes
+from cyclebook.llm import decontaminate, embeddings, merkle, pieces, pii, quality, simhash, suffixes
 from cyclebook.llm import token_output, toxicity, warc
 from cyclebook.llm import oracle as Q
 
@@ -62,6 +62,11 @@ def quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.sample_keys(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    return merkle.proofs(merkle.manifest(documents, changed=merkle.tampered_digest(documents)))
+
+
 QUERIES: dict[str, tuple] = {
     "op1_personal_data": (personal_data, None),
     "op2_warc_bundles": (warc_bundles, Q.WARC),
@@ -73,4 +78,5 @@ QUERIES: dict[str, tuple] = {
     "op8_sentencepiece": (sentencepiece_round_trip, None),
     "op9_token_id_output": (token_id_output, None),
     "op10_quality_classifier": (quality_classifier, None),
+    "op13_merkle_manifest": (merkle_manifest, Q.MERKLE),
 }
