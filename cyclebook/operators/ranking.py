@@ -8,13 +8,14 @@ key of their own, and group facts come from partial aggregates.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK, _APART, _FIRST, _FACT = "__rank", "__apart", "__first", "__fact_"
+_PART_BITS = 33  # of monotonically_increasing_id: the row's place in its partition
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
@@ -69,6 +70,26 @@ def collapse_copies(df: DataFrame, keys: Sequence[str], flag: str,
     return keep_first(copies, keys, order).unionByName(rest)
 
 
+def numbered(df: DataFrame, order: Sequence[Column], name: str,
+             keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """``df`` with ``name``, each row's place from 0 in one total order.
+
+    One range partitioning by ``order`` and a sort inside the partitions; then the sizes of the
+    partitions before are added. There is one size for each partition, which bounds the broadcast.
+    Equal rows may swap places. ``keep`` writes a table and reads it again (``stage``), because a range
+    partitioning that ran twice could cut elsewhere.
+    """
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = keep(sorted_.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright(name, _PART_BITS)
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    inside = F.col(name).bitwiseAND(F.lit((1 << _PART_BITS) - 1))
+    return (placed.withColumn("__part", part).join(F.broadcast(offsets), "__part")
+            .withColumn(name, F.col("__offset") + inside).drop("__part", "__offset"))
+
+
 def spread_row_number(df: DataFrame, keys: Sequence[str], classes: Sequence[str], value: str,
                       tie: Sequence[Column], name: str, slices: int = 64) -> DataFrame:
     """``row_number()`` per key in the order of (classes, value, tie), spread over tasks.
