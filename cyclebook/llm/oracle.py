@@ -126,3 +126,19 @@ SELECT doc_id, leaf, subroot, (SELECT h FROM t{tops}) AS root, proof_sha256, c A
 
 
 MERKLE = merkle()
+
+TRIE = f"""WITH t AS (
+  SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS s,
+    CAST({crc32('CAST(conv_id AS VARCHAR)')} % 4 AS INT) AS h FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+r AS (SELECT t.c, list_concat(coalesce(b.s[1:t.h], []), t.s[t.h + 1:]) AS s FROM t LEFT JOIN t b ON b.c = t.c - t.c % 20),
+v AS (SELECT c, s[1:d] AS k, d, len(s) = d AS last FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM r)),
+n AS (SELECT k, d, min(c) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last), '') AS ends,
+    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(k[d].text, '[^\\x20\\x09-\\x0D]+')) END AS own
+  FROM v GROUP BY k, d),
+f AS (SELECT n.*, (SELECT count(*) FROM n x WHERE x.d = n.d + 1 AND x.k[1:n.d] = n.k) AS n_children FROM n)
+SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+  (SELECT count(*) FROM f x WHERE x.d >= f.d AND x.k[1:f.d] = f.k AND x.n_children = 0) AS n_leaves,
+  (SELECT CAST(sum(x.own) AS BIGINT) FROM f x WHERE x.d >= f.d AND x.k[1:f.d] = f.k) AS saved_tokens,
+  sha256(f.ends) AS ends_sha256
+FROM f LEFT JOIN n p ON p.d = f.d - 1 AND p.k = f.k[1:f.d - 1]"""

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclebook.llm import decontaminate, embeddings, merkle, pieces, pii, quality, simhash, suffixes
-from cyclebook.llm import token_output, toxicity, warc
+from cyclebook.llm import decontaminate, embeddings, language, merkle, pieces, pii, quality, simhash, suffixes
+from cyclebook.llm import token_output, toxicity, trie, warc
 from cyclebook.llm import oracle as Q
 
 TOKENS = "word_bpe_49k.json"
@@ -62,6 +62,14 @@ def quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.sample_keys(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, sf, "conversations"))
+
+
+def language_model_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return language.score(language.fit(language.learned(_table(spark, sf, "documents"))))
+
+
 def merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     documents = _table(spark, sf, "documents")
     return merkle.proofs(merkle.manifest(documents, changed=merkle.tampered_digest(documents)))
@@ -78,5 +86,7 @@ QUERIES: dict[str, tuple] = {
     "op8_sentencepiece": (sentencepiece_round_trip, None),
     "op9_token_id_output": (token_id_output, None),
     "op10_quality_classifier": (quality_classifier, None),
+    "op11_conversation_trie": (conversation_trie, Q.TRIE),
+    "op12_language_model": (language_model_scores, None),
     "op13_merkle_manifest": (merkle_manifest, Q.MERKLE),
 }
