@@ -1,13 +1,12 @@
 """Raw broker exports as text tables with provenance columns.
 
-Nothing is dropped silently: a damaged file fails the read, and a file that offers no header is an
-error unless the caller asks to skip it, which warns and can be listed by ``skipped_files``.
+Nothing is dropped silently: a damaged file fails the read, a file that offers no header is an error
+unless the caller asks to skip it, which warns and can be listed by ``skipped_files``, and lines that do
+not fit their header are listed by ``rejected_lines`` and an error beyond a share.
 """
 
 from __future__ import annotations
 
-import csv
-import re
 import warnings
 from collections.abc import Sequence
 
@@ -18,9 +17,11 @@ from pyspark.sql import types as T
 
 from cyclebook.schema import BROKERS, PREFERRED_TABLE
 from cyclebook.sources.conform import clean_names, read_all_sheets, rename_aliases, union_all
+from cyclebook.sources.lines import (
+    CSV_GLOB, MAX_REJECTS, Header, cell, check_rejects, file_name, headers, read_lines, survey, surveyed,
+)
 
 EXPORT_GLOB = "*.{[cC][sS][vV],[xX][lL][sS],[xX][lL][sS][xX]}"
-CSV_GLOB = "*.[cC][sS][vV]"
 PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 GLOBS = {"csv": CSV_GLOB, "parquet": PARQUET_GLOB}
 SHOWN = 5  # files named in a message
@@ -73,111 +74,90 @@ def inventory_counts(inventory: DataFrame) -> DataFrame:
         F.max("modified").alias("latest")).orderBy("broker")
 
 
-def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return spark.read.option("pathGlobFilter", CSV_GLOB).text(paths)
-
-
-def _file_name():
-    """Name of the file a row comes from, as it is listed; Spark gives it in URL form."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-
-
-def header_marks(spark: SparkSession, folder: str) -> DataFrame:
-    """``file_name, mark`` of each CSV file with text: a hash of its first line.
-
-    Both aggregates are numbers, so one hash aggregation over the lines does it, partial in every
-    task; no text is sorted or shuffled and no file list leaves the executors.
-    """
-    lines = _lines(spark, folder).filter(F.col("_metadata.file_block_start") == 0).select(
-        _file_name().alias("file_name"), F.monotonically_increasing_id().alias("line"),
-        F.xxhash64("value").alias("mark"))
-    return lines.groupBy("file_name").agg(F.min_by("mark", "line").alias("mark"))
-
-
-def _header(spark: SparkSession, folder: str, name: str) -> str | None:
-    """First line of one file; None where it is no text."""
-    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", name)
-    row = _lines(spark, f"{folder}/{literal}").select(
-        F.when(F.is_valid_utf8("value") & ~F.contains("value", F.lit("\u0000")), F.col("value")).alias("v")).first()
-    text = row.v.lstrip("﻿") if row and row.v else ""
-    return text if text.strip() else None
-
-
-def _skipped(listed: DataFrame, marks: DataFrame, unreadable: Sequence[int]) -> DataFrame:
-    bad = listed.join(marks.filter(F.col("mark").isin(list(unreadable))), "file_name", "left_semi")
-    return bad.select("path", F.lit("no header").alias("reason"))
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    return list_broker_files(spark, folder, CSV_GLOB, quiet=True)
 
 
-def _headers(spark: SparkSession, folder: str, marks: DataFrame) -> dict[int, str | None]:
-    """Distinct header lines by their hash; of each only one file is opened."""
-    samples = marks.groupBy("mark").agg(F.min("file_name").alias("name")).orderBy("mark").collect()
-    return {r["mark"]: _header(spark, folder, r["name"]) for r in samples}
+def _skipped(listed: DataFrame, files: DataFrame, found: Sequence[Header]) -> DataFrame:
+    bad = files.filter(F.col("mark").isin([h.mark for h in found if h.names is None]))
+    return listed.join(bad, "file_name", "left_semi").select("path", F.lit("no header").alias("reason"))
 
 
 def skipped_files(spark: SparkSession, folder: str) -> DataFrame:
     """``path, reason`` of the CSV files that contribute nothing; empty files are not listed at all."""
-    marks = header_marks(spark, folder)
-    unreadable = [m for m, h in _headers(spark, folder, marks).items() if h is None]
-    return _skipped(_listed(spark, folder), marks, unreadable)
+    files = surveyed(spark, folder)
+    return _skipped(_listed(spark, folder), files, headers(spark, folder, files))
 
 
-def _listed(spark: SparkSession, folder: str) -> DataFrame:
-    return list_broker_files(spark, folder, CSV_GLOB, quiet=True)
+def reject_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """``source_file, lines, too_few, too_many, broken`` of each CSV file: its malformed lines by kind."""
+    return survey(spark, folder).withColumnRenamed("file_name", "source_file").drop("mark", "fields")
 
 
 def _with_provenance(df: DataFrame) -> DataFrame:
     """Name and age of the file, and the row's position in it."""
     return df.select(
         "*",
-        _file_name().alias("source_file"),
+        file_name().alias("source_file"),
         F.col("_metadata.file_modification_time").alias("source_file_modified"),
         F.col("_metadata.file_block_start").alias("source_block"),
         F.monotonically_increasing_id().alias("source_row"))
 
 
 def _cell(name: str, missing: Sequence[str]):
-    """Trimmed text; null for the markers of a missing cell."""
-    text = F.trim(F.col(f"`{name}`").cast("string"))
-    return F.when(~text.isin(*missing), text)
+    return cell(F.col(f"`{name}`").cast("string"), missing)
+
+
+def _read_records(spark: SparkSession, folder: str, files: DataFrame, found: Sequence[Header], one: bool) -> DataFrame:
+    """The same for records whose quoted fields may hold line breaks: each header reads the folder.
+
+    It keeps the files it belongs to by a semi-join on the file's name. Spark fits each record to the
+    header, short ones with nulls and long ones cut.
+    """
+    parts = []
+    for h in found:
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in h.names])
+        raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+               .option("escape", '"').option("multiLine", True).option("pathGlobFilter", CSV_GLOB).csv(folder))
+        part = _with_provenance(raw)
+        if not one:
+            own = files.filter(F.col("mark") == h.mark).select(F.col("file_name").alias("source_file"))
+            part = part.join(own, "source_file", "left_semi").select(*part.columns)
+        parts.append(part.withColumns({n: _cell(n, ("", "NA")) for n in h.names}))
+    return union_all(parts)
 
 
 def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = False,
-                    skip_unreadable: bool = False, quiet: bool = False) -> DataFrame | None:
-    """All CSV exports of a folder as text, aligned by column name.
-
-    Spark binds one ``csv()`` call to a single header by position. A folder whose files agree on
-    their header is read as it is. Otherwise each header reads the folder and keeps the files it
-    belongs to, by a semi-join on the file's name; the driver sees distinct headers only. A file
-    whose first line is no text is an error, or with ``skip_unreadable`` a warning. Returns None
-    without files.
+                    skip_unreadable: bool = False, quiet: bool = False,
+                    max_rejects: float | None = MAX_REJECTS, keep_rejects: bool = True) -> DataFrame | None:
+    """All CSV exports of a folder as text, aligned by column name, from one scan.
+
+    A survey of the folder comes first (see ``lines``): the driver sees the distinct headers and the
+    number of malformed lines, and more than the share ``max_rejects`` of them is an error. Files
+    with other headers are told apart by a broadcast of file names. A file whose first line is no text
+    is an error, or with ``skip_unreadable`` a warning. With ``multi_line`` quoted fields may hold line
+    breaks; then lines are no records, rejects are not looked for and each header reads the folder.
+    Returns None without files.
     """
     listed = list_broker_files(spark, folder, CSV_GLOB, quiet=quiet)
     if not listed.take(1):
         return None
-    marks = header_marks(spark, folder)
-    headers = _headers(spark, folder, marks)
-    unreadable = [m for m, h in headers.items() if h is None]
-    if unreadable:
-        skipped = _skipped(listed, marks, unreadable).orderBy("path").take(SHOWN)
+    files = surveyed(spark, folder)
+    found = headers(spark, folder, files)
+    if any(h.names is None for h in found):
+        skipped = _skipped(listed, files, found).orderBy("path").take(SHOWN)
         names = ", ".join(r["path"] for r in skipped)
         if not skip_unreadable:
             raise UnreadableExport(f"Unreadable exports in {folder}: {names}")
         warnings.warn(f"Skipping unreadable files: {names}", stacklevel=2)
-    parts = []
-    for mark, header in headers.items():
-        if header is None:
-            continue
-        names = clean_names(next(csv.reader([header])))
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-               .option("escape", '"').option("multiLine", multi_line).option("pathGlobFilter", CSV_GLOB)
-               .csv(folder))
-        part = _with_provenance(raw)
-        if len(headers) > 1:
-            own = marks.filter(F.col("mark") == mark).select(F.col("file_name").alias("source_file"))
-            part = part.join(own, "source_file", "left_semi").select(*part.columns)
-        parts.append(rename_aliases(part.withColumns({n: _cell(n, ("", "NA")) for n in names})))
-    return union_all(parts) if parts else None
+    readable = [h for h in found if h.names]
+    if not readable:
+        return None
+    one = len(found) == 1
+    if multi_line:
+        return _read_records(spark, folder, files, readable, one)
+    check_rejects(folder, readable, max_rejects)
+    return read_lines(spark, folder, files, readable, one, keep_rejects)
 
 
 def read_parquet_folder(spark: SparkSession, folder: str, quiet: bool = False) -> DataFrame | None:

@@ -8,7 +8,7 @@ import pytest
 from cyclebook.operators.rules import ONE_TIER, match_tiers
 from cyclebook.plans import dataset, views
 from cyclebook.schema import ENRICHED_SCHEMA, TRADE_SCHEMA
-from cyclebook.sources import conform, files, reference, sinks
+from cyclebook.sources import conform, files, lines, reference, sinks
 from tests.test_normalize import ice_row, onex_row
 
 
@@ -75,12 +75,94 @@ def test_headers_are_read_without_python_or_paths(spark, tmp_path):
         put(tmp_path / f"{i}.csv", f"gtcs,x\n{i},a\n")
     df = files.read_csv_folder(spark, str(tmp_path))
     assert df.columns[:2] == ["gtc_s", "x"] and df.count() == 4       # alias of an older header
-    plan = files.header_marks(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    plan = lines.survey(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InPandas" not in plan and "SortAggregate" not in plan
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InPandas" not in plan and "Join" not in plan
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_three_headers_and_a_blank_first_line_are_one_scan(spark, tmp_path):
+    put(tmp_path / "a.csv", "Deal ID,Qty\n1,10\n")
+    put(tmp_path / "b.csv", "\n \nQty,Deal ID,Note\n20,2,\"x, \"\"y\"\"\"\n")
+    put(tmp_path / "c.csv", "﻿gtcs,Deal ID\nq,3\n\n r ,4\n")
+    df = files.read_csv_folder(spark, str(tmp_path))
+    rows = sorted((r.deal_id, r.qty, r.note, r.gtc_s, r.source_file) for r in df.collect())
+    assert rows == [("1", "10", None, None, "a.csv"), ("2", "20", 'x, "y"', None, "b.csv"),
+                    ("3", None, None, "q", "c.csv"), ("4", None, None, "r", "c.csv")]
+    plan = plan_of(files.read_csv_folder(spark, str(tmp_path)))
+    assert plan.count("FileScan text") == 1 and plan.count("from_csv") == 1 and plan.count("BroadcastHashJoin") == 1
+    assert "Exchange hash" not in plan and "Python" not in plan
+
+
+def test_a_folder_of_very_many_files_keeps_its_survey_on_the_executors(spark, tmp_path, monkeypatch):
+    for i in range(4):
+        put(tmp_path / f"{i}.csv", f"{'a,b' if i % 2 else 'b,a'}\n{i},x\n")
+    monkeypatch.setattr(lines, "MAX_MAPPED_FILES", 3)
+    df = files.read_csv_folder(spark, str(tmp_path))
+    assert sorted((r.a, r.b) for r in df.collect()) == [("1", "x"), ("3", "x"), ("x", "0"), ("x", "2")]
+    assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+
+
+RAGGED = ("Deal ID,Qty,Note\n1,2,a\n2,3\n3,4,b,c\n\n4,5,\"open\n5,\"6,6\",d\n6,7\" pipe,e\nDeal ID,Qty,Note\n"
+          "7,8,\"a\"b\n8,9,\n")
+
+
+def test_malformed_lines_are_listed_with_file_and_number(spark, tmp_path):
+    put(tmp_path / "r.csv", RAGGED)
+    put(tmp_path / "good.csv", "x\n1\n2\n")
+    got = sorted(map(tuple, lines.rejected_lines(spark, str(tmp_path)).collect()))
+    assert got == [("r.csv", 3, "too few fields", "2,3"), ("r.csv", 4, "too many fields", "3,4,b,c"),
+                   ("r.csv", 6, "broken quote", '4,5,"open'), ("r.csv", 9, "repeated header", "Deal ID,Qty,Note"),
+                   ("r.csv", 10, "broken quote", '7,8,"a"b')]
+    counts = {r.source_file: r[1:] for r in files.reject_counts(spark, str(tmp_path)).collect()}
+    assert counts == {"r.csv": (9, 1, 1, 2), "good.csv": (2, 0, 0, 0)}
+
+
+def test_too_many_malformed_lines_are_an_error(spark, tmp_path):
+    put(tmp_path / "r.csv", RAGGED)
+    with pytest.raises(lines.MalformedExport, match="4 of 9 lines"):
+        files.read_csv_folder(spark, str(tmp_path))
+    kept = files.read_csv_folder(spark, str(tmp_path), max_rejects=0.5)
+    rows = {r.deal_id: (r.qty, r.note) for r in kept.collect()}
+    assert rows["2"] == ("3", None) and rows["3"] == ("4", "b") and rows["5"] == ("6,6", "d") and len(rows) == 8
+    assert rows["6"] == ('7" pipe', "e") and rows["8"] == ("9", None)
+    whole = files.read_csv_folder(spark, str(tmp_path), max_rejects=None, keep_rejects=False)
+    assert sorted(r.deal_id for r in whole.collect()) == ["1", "5", "6", "8"]
+
+
+def test_line_numbers_in_files_of_several_blocks(spark, tmp_path):
+    text = "id,v\n" + "".join(f"{i},{'x' * (i % 50)}\n" if i % 40 else f"{i}\n" for i in range(1, 2001))
+    put(tmp_path / "big.csv", text)
+    put(tmp_path / "other.csv", text)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        got = lines.rejected_lines(spark, str(tmp_path)).collect()
+        assert lines.raw_lines(spark, str(tmp_path)).select("block").distinct().count() > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert sorted((r.source_file, r.line_number, r.line) for r in got) == sorted(
+        (f, i + 1, str(i)) for f in ("big.csv", "other.csv") for i in range(40, 2001, 40))
+
+
+def test_latin_letters_of_other_encodings(spark, tmp_path):
+    put(tmp_path / "l.csv", "Name,Ort\nJürgen,Zürich\n", encoding="latin-1")
+    put(tmp_path / "u.csv", "Name,Ort\nRené,Genève\n")
+    rows = sorted((r.name, r.ort) for r in files.read_csv_folder(spark, str(tmp_path)).collect())
+    assert rows == [("Jürgen", "Zürich"), ("René", "Genève")]
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    put(tmp_path / "a.csv", 'a,b\n1,"x\ny"\n')
+    put(tmp_path / "b.csv", "b,a\n2,3\n")
+    rows = sorted((r.a, r.b) for r in files.read_csv_folder(spark, str(tmp_path), multi_line=True).collect())
+    assert rows == [("1", "x\ny"), ("3", "2")]
+
+
 def test_all_sheets_of_a_source(spark, tmp_path):
     put(tmp_path / "b" / "x.csv", "a\n0\n")
     put(tmp_path / "b" / "First" / "x.csv", "a\n1\n")

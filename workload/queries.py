@@ -16,7 +16,7 @@ from cyclebook.operators import calendar as C
 from cyclebook.operators import rules as R
 from cyclebook.plans import dataset, index, intraday, legacy, normalize, quality
 from cyclebook.plans import filters, references, seasonality, views
-from cyclebook.sources import files
+from cyclebook.sources import files, lines, sinks
 from cyclebook.sources.conform import drop_blank_rows, read_all_sheets, union_all
 from cyclebook.sources.reference import Reference, reference_from_tables
 from workload import adapters as A
@@ -536,7 +536,10 @@ def built(spark: SparkSession, sf: str, staging: str | None = None) -> DataFrame
 
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder for what a query writes and reads back."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="workload-")
+    root = sinks.staging_folder(spark)
+    if root is None:
+        root = tempfile.mkdtemp(prefix="workload-")
+        sinks.check_shared(spark, root)
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
@@ -553,6 +556,39 @@ def csv_exports(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_csv_folder(spark, folder).select(*CSV_COLUMNS)
 
 
+def put_lines(lines: DataFrame, header: str, folder: str) -> None:
+    """The column ``line`` as it is, under a header line."""
+    (lines.select(F.col("line").alias(header)).write.mode("append").option("header", True).option("sep", "\u0001")
+     .option("quote", "\u0000").csv(folder))
+
+
+RAGGED_COLUMNS = ("deal_id", "market", "qty", "price")
+# What is wrong with a line: the last field is missing, one is too many, or a quote stays open.
+RAGGED_KIND = ("CASE WHEN deal_id LIKE '%73' THEN 'too few fields' WHEN deal_id LIKE '%41' THEN 'too many fields'"
+               " WHEN deal_id LIKE '%92' THEN 'broken quote' END")
+RAGGED_LINE = ("deal_id || ',\"' || coalesce(market, '') || '\",\"' || qty || CASE WHEN deal_id LIKE '%73' THEN '\"'"
+               " WHEN deal_id LIKE '%41' THEN '\",' || price || ',more' WHEN deal_id LIKE '%92' THEN '\",\"' || price"
+               " ELSE '\",' || price END")
+
+
+def ragged_exports(spark: SparkSession, sf: str) -> str:
+    """The ICE export as CSV lines of which three in a hundred are malformed; the folder."""
+    folder = run_folder(spark, "ragged")
+    put_lines(A.raw_export(spark, sf, "ICE").select(F.expr(RAGGED_LINE).alias("line")), "Deal ID,Market,Qty,Price", folder)
+    return folder
+
+
+def three_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Three exports with headers of their own, one of them with an older name, read in one scan."""
+    raw, folder = A.raw_export(spark, sf, "ICE"), run_folder(spark, "headers")
+    layouts = (("1", "Deal ID,Price,Qty", "deal_id || ',' || price || ',\"' || qty || '\"'"),
+               ("3", "Qty,gtcs,Deal ID", "'\"' || qty || '\",' || hub_name || ',' || deal_id"),
+               ("[^13]", "Strip,Deal ID", "strip || ',' || deal_id"))
+    for digit, header, line in layouts:
+        put_lines(raw.filter(F.col("deal_id").rlike(digit + "$")).select(F.expr(line).alias("line")), header, folder)
+    return files.read_csv_folder(spark, folder).select("deal_id", "price", "qty", "gtc_s", "strip")
+
+
 def landed_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """Two layouts landed as sheets of one source, with blank rows between, read back and cleaned."""
     folder = run_folder(spark, "sheets")
@@ -575,6 +611,24 @@ def stored_build(spark: SparkSession, sf: str) -> DataFrame:
 CELL = "nullif(trim({0}), '') AS {0}".format
 register("read_csv_exports", csv_exports, Q.with_(
     Q.raw("ICE"), select=f"SELECT {', '.join(map(CELL, CSV_COLUMNS))} FROM raw"))
+register("read_three_headers", three_headers, Q.with_(
+    Q.raw("ICE"), "d AS (SELECT *, right(deal_id, 1) AS digit FROM raw)",
+    select="""SELECT deal_id, CASE WHEN digit = '1' THEN price END AS price,
+      CASE WHEN digit IN ('1', '3') THEN qty END AS qty, CASE WHEN digit = '3' THEN hub_name END AS gtc_s,
+      CASE WHEN digit NOT IN ('1', '3') THEN strip END AS strip FROM d"""))
+register("rejected_lines", lambda spark, sf: lines.rejected_lines(spark, ragged_exports(spark, sf)).select("reason", "line"),
+         Q.with_(Q.raw("ICE"), select=f"SELECT {RAGGED_KIND} AS reason, {RAGGED_LINE} AS line FROM raw"
+                 f" WHERE {RAGGED_KIND} IS NOT NULL"))
+register("reject_counts", lambda spark, sf: files.reject_counts(spark, ragged_exports(spark, sf)).agg(
+    *[F.sum(c).alias(c) for c in ("lines", "too_few", "too_many", "broken")]),
+    Q.with_(Q.raw("ICE"), f"k AS (SELECT {RAGGED_KIND} AS kind FROM raw)", select="""SELECT count(*) AS lines,
+      count(*) FILTER (WHERE kind = 'too few fields') AS too_few,
+      count(*) FILTER (WHERE kind = 'too many fields') AS too_many,
+      count(*) FILTER (WHERE kind = 'broken quote') AS broken FROM k"""))
+register("read_ragged", lambda spark, sf: files.read_csv_folder(
+    spark, ragged_exports(spark, sf), max_rejects=0.05).filter("deal_id NOT LIKE '%92'").select(*RAGGED_COLUMNS),
+    Q.with_(Q.raw("ICE"), select=f"""SELECT deal_id, {CELL('market')}, qty,
+      CASE WHEN deal_id NOT LIKE '%73' THEN price END AS price FROM raw WHERE deal_id NOT LIKE '%92'"""))
 register("read_landed_sheets", landed_sheets, Q.with_(
     Q.raw("Neon", "a"), Q.raw("OneX", "b"),
     select=f"""SELECT {CELL('trade_id')}, {CELL('product')}, {CELL('price')}, NULL::VARCHAR AS sleeved,
