@@ -2,100 +2,62 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from cyclebook.functions.labels import weekday_label, weekday_number
-from cyclebook.functions.measures import to_bbl
-from cyclebook.functions.text import blank_to_na, derive_index_type, ukey
-from cyclebook.operators.calendar import backfill_trade_cycle
+from cyclebook.operators.ordinal import ROW_ORDER, with_row_order
+from cyclebook.plans import store
+from cyclebook.plans.enrich import component_flag, enrich_combined
 from cyclebook.plans.normalize import NORMALIZERS
-from cyclebook.plans.quality import qa_build, qa_coverage, qa_unmapped
-from cyclebook.schema import BROKERS, ENRICHED_SCHEMA, TRADE_SCHEMA
+from cyclebook.schema import BROKERS, TRADE_SCHEMA
 from cyclebook.sources.conform import empty_table, union_all
-from cyclebook.sources.files import read_sources
 from cyclebook.sources.reference import Reference
-from cyclebook.sources.sinks import (
-    drop_staged, is_complete, mark_complete, read_table, stage, write_grouped, write_table,
-)
-
-
-def component_flag(require_grade: bool = True, any_case: bool = False):
-    """Physical trade that counts towards an index; strictly true or false.
-
-    ``any_case`` compares class and kind without regard to case, as the older tables do.
-    """
-    kind, leg = F.col("itf"), F.col("swap_leg_outright")
-    physical = ((ukey("itf") == "TRADE") & (ukey("swap_leg_outright") == "OUTRIGHT") if any_case
-                else (kind == "Trade") & (leg == "Outright"))
-    flag = (F.col("in_index") & physical
-            & (F.col("qty_m3") > 0) & F.col("price").isNotNull())
-    if require_grade:
-        flag &= F.col("grade").isNotNull()
-    return F.coalesce(flag, F.lit(False))
-
+from cyclebook.sources.sinks import scratch_folder, stage
 
-def enrich_combined(trades: DataFrame) -> DataFrame:
-    cleaned = trades.withColumns({"index_group": ukey("index_group"),
-                                  "grade": blank_to_na("grade")})
-    return (
-        cleaned.withColumns({
-            "exec_dow": weekday_label("exec_date"),
-            "exec_dow_num": weekday_number("exec_date"),
-            "qty_bbl": to_bbl("qty_m3"),
-            "is_component": component_flag(),
-            "is_index_ref": F.coalesce(F.col("itf") == "Index", F.lit(False)),
-        })
-        .withColumns({
-            "is_component_in_cycle":
-                F.col("is_component") & F.coalesce(F.col("in_trade_cycle"), F.lit(False)),
-            "index_type": F.when(F.col("is_index_ref"),
-                                 derive_index_type("instrument", "price_basis")),
-        })
-        .select(*ENRICHED_SCHEMA.fieldNames())
-    )
+__all__ = ["build_dataset", "component_flag", "enrich_combined", "load_combined", "normalize_all"]
 
 
-def normalize_all(spark: SparkSession, sources: dict[str, DataFrame], ref: Reference) -> DataFrame:
+def normalize_all(spark: SparkSession, sources: dict[str, DataFrame], ref: Reference,
+                  row_order: bool = False) -> DataFrame:
     """Union of the normalized sources that are present."""
-    parts = [NORMALIZERS[b](sources[b], ref) for b in BROKERS if b in sources]
+    parts = [_normalized(b, sources[b], ref, row_order) for b in BROKERS if b in sources]
     return union_all(parts) if parts else empty_table(spark, TRADE_SCHEMA)
 
 
+def _normalized(broker: str, raw: DataFrame, ref: Reference, row_order: bool) -> DataFrame:
+    raw = with_row_order(raw, BROKERS.index(broker)) if row_order else raw.drop(ROW_ORDER)
+    return NORMALIZERS[broker](raw, ref)
+
+
 def build_dataset(spark: SparkSession, sources: dict[str, DataFrame], ref: Reference,
-                  cache_dir: str | None = None, staging: str | None = None) -> DataFrame:
+                  cache_dir: str | None = None, staging: str | None = None, row_order: bool = False) -> DataFrame:
     """Normalize, unite, backfill and enrich.
 
-    The backfill reads the normalized union twice. With ``staging``, a folder that all machines
-    share, the union is written there first. Without it no job runs while the plan is built. With
-    ``cache_dir`` the enriched table and the quality tables are stored, the staged rows are removed
-    again, and a mark that comes last tells a finished build from one that broke off.
+    The backfill reads the normalized union twice, so that is written first and the normalizers run
+    once: with ``cache_dir`` to the store, whose next version the build becomes, else to ``staging`` or the
+    session's scratch folder. Only a cluster without any shared folder computes it twice. With
+    ``row_order`` a column numbers the rows in the order they were read, for candles.
     """
-    combined = stage(normalize_all(spark, sources, ref), "normalized", staging)
-    enriched = enrich_combined(backfill_trade_cycle(combined, ref.calendar))
-    if cache_dir is None:
-        return enriched
-    mark_complete(spark, f"{cache_dir}/complete", False)
-    write_grouped(enriched, f"{cache_dir}/combined", "index_group")
-    drop_staged(combined)
-    stored = read_table(spark, f"{cache_dir}/combined", ENRICHED_SCHEMA)
-    for name, report in (("qa_coverage", qa_coverage), ("qa_unmapped", qa_unmapped),
-                         ("qa_build", qa_build)):
-        write_table(report(stored), f"{cache_dir}/{name}")
-    mark_complete(spark, f"{cache_dir}/complete", True)
-    return stored
+    if cache_dir is not None:
+        build, parts = uuid.uuid4().hex, {}
+        for broker in (b for b in BROKERS if b in sources):
+            parts[broker] = _normalized(broker, sources[broker], ref, True)
+        store.publish_build(spark, cache_dir, build, parts, ref)
+        return store.load(spark, cache_dir, row_order=row_order)
+    folder = staging or scratch_folder(spark)
+    combined = stage(normalize_all(spark, sources, ref, row_order), "normalized", folder)
+    return store.combine([combined], ref)
 
 
 def load_combined(spark: SparkSession, data_dir: str, ref: Reference, cache_dir: str,
-                  rebuild: bool = False, fmt: str = "csv", staging: str | None = None,
-                  skip_unreadable: bool = False) -> DataFrame:
-    """The stored table, or a new build when no finished one is there or ``rebuild`` is set.
+                  rebuild: bool = False, fmt: str = "csv", skip_unreadable: bool = False,
+                  row_order: bool = False) -> DataFrame:
+    """The stored table, brought up to date with the exports that are there now.
 
-    New exports are not noticed until a rebuild.
+    New exports alone are read; without a change the stored version is returned as it is. ``rebuild``
+    reads everything again.
     """
-    if not rebuild and is_complete(spark, f"{cache_dir}/complete"):
-        stored = read_table(spark, f"{cache_dir}/combined", ENRICHED_SCHEMA)
-        if stored is not None:
-            return stored
-    sources = read_sources(spark, data_dir, fmt, skip_unreadable=skip_unreadable)
-    return build_dataset(spark, sources, ref, cache_dir, staging)
+    if store.update(spark, data_dir, ref, cache_dir, fmt, rebuild, skip_unreadable) is None:
+        build_dataset(spark, {}, ref, cache_dir)
+    return store.load(spark, cache_dir, row_order=row_order)

@@ -17,6 +17,7 @@ from cyclebook.functions.text import (
     parse_delivery_month, squish, ukey,
 )
 from cyclebook.operators.calendar import attach_trade_cycle
+from cyclebook.operators.ordinal import ROW_ORDER
 from cyclebook.operators.ranking import (
     collapse_copies, file_order, keep_first, null_safe_equal, nulls_last, split_by_flag,
     spread_row_number,
@@ -28,6 +29,11 @@ from cyclebook.sources.reference import Reference
 from cyclebook.sources.sinks import stage
 
 
+def row_order(raw: DataFrame) -> list[str]:
+    """The number for the order of rows, where the raw table has it."""
+    return [c for c in raw.columns if c == ROW_ORDER]
+
+
 def false_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
@@ -250,7 +256,7 @@ def normalize_ice(raw: DataFrame, ref: Reference) -> DataFrame:
         F.col("hub_name").alias("location"),
         F.lit(None).cast("string").alias("pipeline"),
         F.col("trade_index").alias("price_basis"),
-        "source_file")
+        "source_file", *row_order(raw))
     return coerce_schema(attach_trade_cycle(out, ref.calendar))
 
 
@@ -281,7 +287,7 @@ def normalize_modern(raw: DataFrame, ref: Reference) -> DataFrame:
         "location",
         F.col("pipeline_terminal").alias("pipeline"),
         "price_basis",
-        "source_file")
+        "source_file", *row_order(raw))
     return coerce_schema(attach_trade_cycle(out, ref.calendar))
 
 
@@ -312,7 +318,7 @@ def normalize_neon(raw: DataFrame, ref: Reference) -> DataFrame:
         "location",
         "pipeline",
         F.col("index").alias("price_basis"),
-        "source_file")
+        "source_file", *row_order(raw))
     return coerce_schema(attach_trade_cycle(out, ref.calendar))
 
 
@@ -343,9 +349,10 @@ def normalize_onex(raw: DataFrame, ref: Reference) -> DataFrame:
         "location",
         "pipeline",
         F.col("buyer_pays").alias("price_basis"),
-        "source_file")
+        "source_file", *row_order(raw))
     return coerce_schema(attach_trade_cycle(out, ref.calendar))
 
 
+LATEST = {"ICE": latest_ice, "Modern": latest_modern, "Neon": latest_neon, "OneX": latest_onex}
 NORMALIZERS = {"ICE": normalize_ice, "Modern": normalize_modern,
                "Neon": normalize_neon, "OneX": normalize_onex}

@@ -99,4 +99,6 @@ RAW_COLUMNS = {
 
 # Where a raw row came from; the reader adds these and the version order uses them.
 PROVENANCE = ("source_file", "source_file_modified", "source_block", "source_row")
+# Numbers for the order of rows: over all sources, and in a file; tables may do without.
+ROW_PLACES = ("row_ord", "source_line")
 # -----------------------------------------------------------------------------

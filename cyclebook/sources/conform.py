@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclebook.functions.text import has_text
-from cyclebook.schema import PROVENANCE, TRADE_SCHEMA
+from cyclebook.schema import PROVENANCE, ROW_PLACES, TRADE_SCHEMA
 
 # Older spellings of one header, per target name.
 HEADER_ALIASES = {"gtc_s": ("gtcs", "g_t_c_s")}
@@ -55,16 +55,20 @@ def add_missing_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def drop_blank_rows(df: DataFrame) -> DataFrame:
     """Drop rows that are blank in every data column (provenance does not count)."""
-    data = [c for c in df.columns if c not in (*PROVENANCE, "source_sheet", "broker")]
+    data = [c for c in df.columns if c not in (*PROVENANCE, *ROW_PLACES, "source_sheet", "broker")]
     return df.filter(reduce(lambda a, b: a | b, [has_text(f"`{c}`") for c in data]))
 
 
 def coerce_schema(df: DataFrame, schema: T.StructType = TRADE_SCHEMA) -> DataFrame:
-    """Exactly the columns of ``schema``, in order and typed; bad values become null."""
+    """Exactly the columns of ``schema``, in order and typed; bad values become null.
+
+    The number for the order of rows stays behind them where the table has it.
+    """
+    kept = [c for c in ROW_PLACES[:1] if c in df.columns and c not in schema.fieldNames()]
     return df.select(*[
         (F.col(f.name) if df.schema[f.name].dataType == f.dataType
          else F.col(f.name).try_cast(f.dataType)).alias(f.name)
-        for f in schema.fields])
+        for f in schema.fields], *kept)
 
 
 def empty_table(spark: SparkSession, schema: T.StructType = TRADE_SCHEMA) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from cyclebook.schema import BROKERS, PREFERRED_TABLE
 from cyclebook.sources.conform import clean_names, read_all_sheets, rename_aliases, union_all
 from cyclebook.sources.lines import (
-    CSV_GLOB, MAX_REJECTS, Header, cell, check_rejects, file_name, headers, read_lines, survey, surveyed,
+    CSV_GLOB, MAX_REJECTS, Header, Source, cell, check_rejects, file_name, headers, literal, read_lines, survey, surveyed,
 )
 
 EXPORT_GLOB = "*.{[cC][sS][vV],[xX][lL][sS],[xX][lL][sS][xX]}"
@@ -89,9 +89,9 @@ def skipped_files(spark: SparkSession, folder: str) -> DataFrame:
     return _skipped(_listed(spark, folder), files, headers(spark, folder, files))
 
 
-def reject_counts(spark: SparkSession, folder: str) -> DataFrame:
+def reject_counts(spark: SparkSession, folder: Source, files: DataFrame | None = None) -> DataFrame:
     """``source_file, lines, too_few, too_many, broken`` of each CSV file: its malformed lines by kind."""
-    return survey(spark, folder).withColumnRenamed("file_name", "source_file").drop("mark", "fields")
+    return (survey(spark, folder) if files is None else files).withColumnRenamed("file_name", "source_file").drop("mark", "fields")
 
 
 def _with_provenance(df: DataFrame) -> DataFrame:
@@ -142,13 +142,20 @@ def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = False,
     listed = list_broker_files(spark, folder, CSV_GLOB, quiet=quiet)
     if not listed.take(1):
         return None
-    files = surveyed(spark, folder)
+    return read_surveyed(spark, folder, surveyed(spark, folder), listed, multi_line, skip_unreadable,
+                         max_rejects, keep_rejects)
+
+
+def read_surveyed(spark: SparkSession, folder: Source, files: DataFrame, listed: DataFrame, multi_line: bool = False,
+                  skip_unreadable: bool = False, max_rejects: float | None = MAX_REJECTS,
+                  keep_rejects: bool = True) -> DataFrame | None:
+    """The table of a folder, or of listed paths, whose survey is there."""
     found = headers(spark, folder, files)
     if any(h.names is None for h in found):
         skipped = _skipped(listed, files, found).orderBy("path").take(SHOWN)
         names = ", ".join(r["path"] for r in skipped)
         if not skip_unreadable:
-            raise UnreadableExport(f"Unreadable exports in {folder}: {names}")
+            raise UnreadableExport(f"Unreadable exports: {names}")
         warnings.warn(f"Skipping unreadable files: {names}", stacklevel=2)
     readable = [h for h in found if h.names]
     if not readable:
@@ -160,11 +167,12 @@ def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = False,
     return read_lines(spark, folder, files, readable, one, keep_rejects)
 
 
-def read_parquet_folder(spark: SparkSession, folder: str, quiet: bool = False) -> DataFrame | None:
+def read_parquet_folder(spark: SparkSession, folder: Source, quiet: bool = False) -> DataFrame | None:
     """The same for sheets landed as Parquet; every column becomes text, and NA stays text."""
+    paths = [folder] if isinstance(folder, str) else [literal(p) for p in folder]
     try:
         raw = (spark.read.option("mergeSchema", True).option("pathGlobFilter", PARQUET_GLOB)
-               .parquet(folder))
+               .parquet(*paths))
     except AnalysisException as err:
         if not _missing(err) and err.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
@@ -172,7 +180,7 @@ def read_parquet_folder(spark: SparkSession, folder: str, quiet: bool = False) -
             warnings.warn(f"Broker folder not found: {folder}", stacklevel=2)
         return None
     names = clean_names(raw.columns)
-    tagged = _with_provenance(raw)
+    tagged = _with_provenance(raw.select("*", F.col("_metadata.row_index").alias("source_line")))
     return rename_aliases(tagged.toDF(*names, *tagged.columns[len(names):]).withColumns(
         {n: _cell(n, ("",)) for n in names}))
 

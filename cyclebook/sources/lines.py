@@ -53,11 +53,20 @@ def file_name() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
-def raw_lines(spark: SparkSession, folder: str, blank: bool = False) -> DataFrame:
+Source = str | Sequence[str]  # a folder, or paths of files whose names differ
+
+
+def literal(path: str) -> str:
+    """A path in which no character is a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def raw_lines(spark: SparkSession, folder: Source, blank: bool = False) -> DataFrame:
     """``line, file_name, block, place`` and ``modified`` of every line; blank lines only where asked for."""
     text = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(
         F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
-    lines = spark.read.option("pathGlobFilter", CSV_GLOB).text(folder).select(
+    paths = folder if isinstance(folder, str) else [literal(p) for p in folder]
+    lines = spark.read.option("pathGlobFilter", CSV_GLOB).text(paths).select(
         text.alias("line"), file_name().alias("file_name"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
         F.col("_metadata.file_modification_time").alias("modified"))
@@ -74,7 +83,7 @@ def broken_quote(line: Column) -> Column:
     return line.contains('"') & ~line.rlike(_WELL_FORMED)
 
 
-def survey(spark: SparkSession, folder: str) -> DataFrame:
+def survey(spark: SparkSession, folder: Source) -> DataFrame:
     """``file_name, mark, fields, lines, too_few, too_many, broken`` of each CSV file with text.
 
     ``mark`` is a hash of the header and ``lines`` counts the lines after it. All aggregates are
@@ -100,17 +109,17 @@ def survey(spark: SparkSession, folder: str) -> DataFrame:
         lines_that(F.col("broken")).alias("broken"))
 
 
-def surveyed(spark: SparkSession, folder: str) -> DataFrame:
+def surveyed(spark: SparkSession, folder: Source) -> DataFrame:
     """The survey as a table of the driver, so that it runs once; of very many files it stays a plan."""
     files = survey(spark, folder)
     few = files.limit(MAX_MAPPED_FILES + 1).toArrow()
     return files if few.num_rows > MAX_MAPPED_FILES else spark.createDataFrame(few, files.schema)
 
 
-def _header_line(spark: SparkSession, folder: str, name: str, mark: int) -> str:
+def _header_line(spark: SparkSession, folder: Source, name: str, mark: int) -> str:
     """The header itself, from one of its files."""
-    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", name)
-    return raw_lines(spark, f"{folder}/{literal}").filter(F.xxhash64("line") == mark).first()["line"]
+    path = [f"{folder}/{name}"] if isinstance(folder, str) else [p for p in folder if p.rpartition("/")[2] == name]
+    return raw_lines(spark, path).filter(F.xxhash64("line") == mark).first()["line"]
 
 
 def _aliased(names: list[str]) -> list[str]:
@@ -122,7 +131,7 @@ def _aliased(names: list[str]) -> list[str]:
     return names
 
 
-def headers(spark: SparkSession, folder: str, files: DataFrame) -> list[Header]:
+def headers(spark: SparkSession, folder: Source, files: DataFrame) -> list[Header]:
     """Distinct headers of a surveyed folder; the driver sees these, not the files."""
     bad = F.col("too_few") + F.col("too_many") + F.col("broken")
     rows = files.groupBy("mark").agg(
@@ -137,10 +146,11 @@ def headers(spark: SparkSession, folder: str, files: DataFrame) -> list[Header]:
     return found
 
 
-def check_rejects(folder: str, found: Sequence[Header], max_rejects: float | None) -> None:
+def check_rejects(folder: Source, found: Sequence[Header], max_rejects: float | None) -> None:
     lines, bad = (sum(h[k] for h in found if h.names) for k in (5, 6))
     if max_rejects is not None and bad > max_rejects * lines:
-        raise MalformedExport(f"{bad} of {lines} lines in {folder} do not fit their header, more than {max_rejects:.1%};"
+        where = folder if isinstance(folder, str) else ", ".join(folder[:5])
+        raise MalformedExport(f"{bad} of {lines} lines in {where} do not fit their header, more than {max_rejects:.1%};"
                               " see rejected_lines")
 
 
@@ -153,7 +163,7 @@ def _by_header(found: Sequence[Header], value) -> Column:
     return out
 
 
-def marked_lines(spark: SparkSession, folder: str, files: DataFrame, found: Sequence[Header]) -> DataFrame:
+def marked_lines(spark: SparkSession, folder: Source, files: DataFrame, found: Sequence[Header]) -> DataFrame:
     """The lines of the files with these headers, with ``mark`` where there are several."""
     lines = raw_lines(spark, folder)
     own = files.filter(F.col("mark").isin([h.mark for h in found])).select("file_name", "mark")
@@ -168,7 +178,7 @@ def cell(text: Column, missing: Sequence[str]) -> Column:
     return F.when(~text.isin(*missing), text)
 
 
-def read_lines(spark: SparkSession, folder: str, files: DataFrame, found: Sequence[Header], one: bool,
+def read_lines(spark: SparkSession, folder: Source, files: DataFrame, found: Sequence[Header], one: bool,
                keep_rejects: bool = True) -> DataFrame:
     """The table of all files with these headers from one scan, aligned by column name.
 
@@ -195,7 +205,7 @@ def read_lines(spark: SparkSession, folder: str, files: DataFrame, found: Sequen
                          F.col("place").alias("source_row"))
 
 
-def rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
+def rejected_lines(spark: SparkSession, folder: Source) -> DataFrame:
     """``source_file, line_number, reason, line`` of the malformed lines, the file's first line being 1.
 
     A line's number is its place in its block plus the lines of the blocks before; nothing is sorted

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -32,6 +33,19 @@ def staging_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+_local_scratch: list[str] = []
+
+
+def scratch_folder(spark: SparkSession) -> str | None:
+    """The session's staging folder; where one machine runs everything, a temporary one will do."""
+    named = staging_folder(spark)
+    if named is None and spark.conf.get("spark.master", "local").split("[")[0] == "local":
+        if not _local_scratch:
+            _local_scratch.append(tempfile.mkdtemp(prefix="cyclebook-"))
+        return _local_scratch[0]
+    return named
+
+
 def check_shared(spark: SparkSession, folder: str) -> None:
     """Refuse a folder that is local to each machine of a cluster.
 
@@ -76,13 +90,3 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
             raise
         return None
     return table.select(*schema.fieldNames()) if schema is not None else table
-
-
-def mark_complete(spark: SparkSession, path: str, complete: bool) -> None:
-    """Record whether the tables beside ``path`` belong to one finished build."""
-    spark.range(int(complete)).select(F.col("id").alias("build")).coalesce(1).write.mode("overwrite").parquet(path)
-
-
-def is_complete(spark: SparkSession, path: str) -> bool:
-    mark = read_table(spark, path, T.StructType([T.StructField("build", T.LongType())]))
-    return mark is not None and bool(mark.take(1))

@@ -6,7 +6,7 @@ import warnings
 import pytest
 
 from cyclebook.operators.rules import ONE_TIER, match_tiers
-from cyclebook.plans import dataset, views
+from cyclebook.plans import dataset, store, views
 from cyclebook.schema import ENRICHED_SCHEMA, TRADE_SCHEMA
 from cyclebook.sources import conform, files, lines, reference, sinks
 from tests.test_normalize import ice_row, onex_row
@@ -273,17 +273,18 @@ def test_build_cache_and_exports(spark, tmp_path):
     assert rows["ICE", "1"].exec_dow == "Wed" and rows["ICE", "1"].qty_bbl == 6289.81077
     june = rows["OneX", "900"]                       # window estimated from the close day
     assert (june.trade_cycle_start, june.trade_cycle_end) == (dt.date(2025, 5, 1), dt.date(2025, 5, 15))
-    coverage = sinks.read_table(spark, f"{cache}/qa_coverage")
+    coverage = store.report(spark, cache, "qa_coverage")
     assert [(r.broker, r.rows) for r in coverage.orderBy("broker").collect()] == [("ICE", 3), ("OneX", 1)]
-    assert sinks.read_table(spark, f"{cache}/qa_build").first().n_rows == 4
+    assert store.report(spark, cache, "qa_build").first().n_rows == 4
 
     put(data / "ICE" / "later.csv", csv_text([ice_row(deal_id="77")]))
-    assert dataset.load_combined(spark, str(data), ref, cache).count() == 4      # not noticed
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
+        assert dataset.load_combined(spark, str(data), ref, cache).count() == 5      # noticed
         assert dataset.load_combined(spark, str(data), ref, cache, rebuild=True).count() == 5
+    assert store.load(spark, cache, 1).count() == 4 and store.head(spark, cache).number == 3
 
-    trades = sinks.read_table(spark, f"{cache}/combined", ENRICHED_SCHEMA)
+    trades = store.load(spark, cache)
     for name, export in (("monthly", views.export_monthly), ("refs", views.export_index_refs),
                          ("unparsed", views.export_unparsed), ("trades", views.export_trades)):
         export(trades, str(tmp_path / name))
@@ -292,20 +293,6 @@ def test_build_cache_and_exports(spark, tmp_path):
     assert (lines("monthly"), lines("refs"), lines("unparsed"), lines("trades")) == (2, 0, 1, 5)
 
 
-def test_an_unfinished_build_is_no_cache(spark, tmp_path):
-    data, lookup, cache = tmp_path / "data", tmp_path / "ref", tmp_path / "cache"
-    write_reference(lookup)
-    put(data / "ICE" / "a.csv", csv_text([ice_row(deal_id="1")]))
-    put(cache / "combined" / "_temporary" / "0" / "x.parquet", "")
-    ref = reference.load_reference(spark, str(lookup))
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore")
-        assert dataset.load_combined(spark, str(data), ref, str(cache)).count() == 1
-        sinks.mark_complete(spark, f"{cache}/complete", False)       # a rebuild that broke off
-        put(data / "ICE" / "b.csv", csv_text([ice_row(deal_id="2")]))
-        assert dataset.load_combined(spark, str(data), ref, str(cache)).count() == 2
-
-
 def test_stage_goes_where_it_is_told(spark, tmp_path):
     table = spark.range(3)
     assert sinks.stage(table, "t", None) is table
