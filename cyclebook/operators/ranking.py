@@ -15,8 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK, _APART, _FIRST, _FACT = "__rank", "__apart", "__first", "__fact_"
+_KEY = ["__key_a", "__key_b"]
+MAX_MARKS = 500_000  # fixed-width keys that are broadcast: some 30 MB
 _PART_BITS = 33  # of monotonically_increasing_id: the row's place in its partition
 
+Keep = Callable[[DataFrame, str], DataFrame]  # writes a table to a shared folder and reads it again
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                apart: Column | None = None, row_id: Sequence[str] = ()) -> DataFrame:
@@ -43,35 +47,76 @@ def null_safe_equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str
     return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in pairs])
 
 
-def flagged_keys(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
-    """The distinct keys of flagged rows, hash-aggregated, under names of their own."""
-    return df.filter(flag).select(*[F.col(k).alias(_FACT + k) for k in keys]).distinct()
+def key_hash(columns: Sequence[str]) -> dict[str, Column]:
+    """A fixed-width 128-bit key of the columns, nulls and their places included, as two whole numbers.
+
+    Two rows that differ share it with a chance of 2^-128; shuffles, joins and aggregates on it move and
+    compare two numbers instead of all texts.
+    """
+    nulls = F.lit(0)
+    for i, c in enumerate(columns):
+        nulls = nulls + F.when(F.col(c).isNull(), 1 << i).otherwise(0)
+    return {_KEY[0]: F.xxhash64(nulls, *columns), _KEY[1]: F.xxhash64(F.lit("2"), *columns, nulls)}
+
+
+def mark_rows(df: DataFrame, keys: Sequence[str], marks: DataFrame, name: str, counted: bool) -> DataFrame:
+    """``df`` with ``name``: whether its keys are among the distinct keys of ``marks``.
+
+    Where counting them is cheap (``counted``), up to ``MAX_MARKS`` fixed-width keys are broadcast, so that no
+    row moves; more, or uncounted ones, meet the rows in a shuffled hash join, whose row side Spark
+    may split.
+    """
+    few = counted and marks.limit(MAX_MARKS + 1).count() <= MAX_MARKS
+    flagged = marks.select(*[F.col(k).alias(_FACT + k) for k in keys], F.lit(True).alias(name))
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(_FACT + k) for k in keys])
+    out = df.join(flagged.hint("broadcast" if few else "shuffle_hash"), same, "left")
+    return out.withColumn(name, F.coalesce(name, F.lit(False))).drop(*[_FACT + k for k in keys])
 
 
-def split_by_flag(df: DataFrame, keys: Sequence[str], flag: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key has a flagged row, and the others.
+def split_by_flag(df: DataFrame, keys: Sequence[str], flag: str,
+                  keep: Keep | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key has a flagged row, and the others, both with a 128-bit key.
 
-    Hash joins: the build side holds each flagged key once, and Spark may split a frequent key of
-    the row side. No row is sorted. The flagged keys come from a narrower read of the same rows.
+    With ``keep`` the rows are written once and read again: their narrow keys for the flagged set, and the
+    rows themselves, of which none is shuffled as long as the set is small. Without it all of it is
+    computed anew for each.
     """
-    marked = flagged_keys(df, keys, flag).hint("shuffle_hash")
-    same = null_safe_equal(df, marked, [(k, _FACT + k) for k in keys])
-    return df.join(marked, same, "left_semi"), df.join(marked, same, "left_anti")
+    keyed = df.withColumns(key_hash(keys))
+    if keep is not None:
+        keyed = keep(keyed, "copies")
+    marks = keyed.filter(flag).select(*_KEY).distinct()
+    marked = mark_rows(keyed, _KEY, marks, _FIRST, keep is not None)
+    return marked.filter(_FIRST).drop(_FIRST), marked.filter(~F.col(_FIRST)).drop(_FIRST)
 
 
 def collapse_copies(df: DataFrame, keys: Sequence[str], flag: str,
-                    order: Sequence[Column]) -> DataFrame:
+                    order: Sequence[Column], keep: Keep | None = None) -> DataFrame:
     """Of rows equal on ``keys`` keep one when any of them carries ``flag``.
 
-    Groups without a flagged row keep every row and are never ranked. ``order`` decides the
+    Groups without a flagged row keep every row and are never ranked or moved. ``order`` decides the
     survivor of the others; each task cuts a group to its first row before they meet.
     """
-    copies, rest = split_by_flag(df, keys, flag)
-    return keep_first(copies, keys, order).unionByName(rest)
+    copies, rest = split_by_flag(df, keys, flag, keep)
+    return keep_first(copies, _KEY, order).unionByName(rest).drop(*_KEY)
+
+
+def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: str, size: str,
+                keep: Keep) -> DataFrame:
+    """``row_number()`` and row count per key, for keys of any size.
+
+    All rows are numbered in the order of (keys, order), which spreads a key over as many tasks as its
+    rows need; a key's ranks begin at its first number.
+    """
+    placed = numbered(df, [*[F.col(k) for k in keys], *order], rank, keep)
+    firsts = placed.groupBy(*[F.col(k).alias(_FACT + k) for k in keys]).agg(
+        F.min(rank).alias("__from"), F.count(F.lit(1)).alias(size))
+    same = null_safe_equal(placed, firsts, [(k, _FACT + k) for k in keys])
+    return (placed.join(firsts, same).withColumn(rank, F.col(rank) - F.col("__from") + 1)
+            .drop("__from", *[_FACT + k for k in keys]))
 
 
 def numbered(df: DataFrame, order: Sequence[Column], name: str,
-             keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+             keep: Keep) -> DataFrame:
     """``df`` with ``name``, each row's place from 0 in one total order.
 
     One range partitioning by ``order`` and a sort inside the partitions; then the sizes of the
@@ -90,37 +135,6 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str,
             .withColumn(name, F.col("__offset") + inside).drop("__part", "__offset"))
 
 
-def spread_row_number(df: DataFrame, keys: Sequence[str], classes: Sequence[str], value: str,
-                      tie: Sequence[Column], name: str, slices: int = 64) -> DataFrame:
-    """``row_number()`` per key in the order of (classes, value, tie), spread over tasks.
-
-    A plain window would rank a frequent key in one task. Here every (key,
-    class) is cut into slices at approximate quantiles of the numeric ``value``,
-    rows are ranked within their slice, and the row counts of the earlier slices
-    are added. The cuts only balance the work; the ranks are exact.
-    """
-    group = [*keys, *classes]
-    shares = [i / slices for i in range(1, slices)]
-    cuts = df.groupBy(*[F.col(c).alias(_FACT + c) for c in group]).agg(
-        F.percentile_approx(value, shares, 10_000).alias("__cuts"))
-    cut = df.join(cuts, null_safe_equal(df, cuts, [(c, _FACT + c) for c in group]), "left")
-    before = F.size(F.filter("__cuts", lambda q: q < F.col(value)))
-    sliced = cut.withColumn("__slice", F.greatest(before, F.lit(0))).select(*df.columns, "__slice")
-
-    order = [F.col(c).asc() for c in (*classes, "__slice")]
-    counts = sliced.groupBy(*group, "__slice").agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(c).alias(_FACT + c) for c in (*group, "__slice")],
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
-    local = Window.partitionBy(*group, "__slice").orderBy(F.col(value).asc(), *tie)
-    ranked = sliced.withColumn(_RANK, F.row_number().over(local))
-    pairs = [(c, _FACT + c) for c in (*group, "__slice")]
-    return (ranked.join(offsets, null_safe_equal(ranked, offsets, pairs), "left")
-            .withColumn(name, F.col("__offset") + F.col(_RANK))
-            .select(*df.columns, name))
-
-
 def nulls_last(c: Column) -> list[Column]:
     """Sort parts that put nulls behind every value."""
     return [c.isNull(), c]

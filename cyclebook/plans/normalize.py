@@ -1,9 +1,10 @@
 """Raw broker exports to the shared trade layout.
 
 Each normalizer takes the raw text table (with provenance columns) and the
-reference bundle. The version choice shuffles trades; besides, ICE shuffles for its spreads and
-OneX for the copies of a trade, while Neon looks up parents on the partitioning that the version
-choice left. Rules and calendar are small lookups.
+reference bundle. The version choice shuffles trades, and ICE shuffles again for its spreads. Neon and
+OneX write the chosen rows to the scratch folder once; what marks a row, as a parent or as one of
+several copies, is a small set of fixed-width keys that comes to the rows. Rules and calendar are
+small lookups.
 """
 
 from __future__ import annotations
@@ -19,14 +20,13 @@ from cyclebook.functions.text import (
 from cyclebook.operators.calendar import attach_trade_cycle
 from cyclebook.operators.ordinal import ROW_ORDER
 from cyclebook.operators.ranking import (
-    collapse_copies, file_order, keep_first, null_safe_equal, nulls_last, split_by_flag,
-    spread_row_number,
+    collapse_copies, file_order, keep_first, key_hash, mark_rows, nulls_last, rank_within, split_by_flag,
 )
 from cyclebook.operators.rules import MODERN_TIERS, NEON_TIERS, ONE_TIER, match_tiers, neon_rules
 from cyclebook.schema import PROVENANCE, RAW_COLUMNS
 from cyclebook.sources.conform import add_missing_cols, coerce_schema, drop_blank_rows
 from cyclebook.sources.reference import Reference
-from cyclebook.sources.sinks import stage
+from cyclebook.sources.sinks import scratch
 
 
 def row_order(raw: DataFrame) -> list[str]:
@@ -48,18 +48,13 @@ def latest_modern(raw: DataFrame) -> DataFrame:
     return keep_first(raw, ["trade_number"], file_order())
 
 
-def _latest_neon(raw: DataFrame) -> DataFrame:
-    """Latest versions with ``own_key``, the id or, for a blank id, the row's place."""
+def latest_neon(raw: DataFrame) -> DataFrame:
+    """Blank ids are separate trades: each is a key of its own, the row's place."""
     ids = raw.withColumns({"trade_id": squish("trade_id"),
                            "parent_trade_id": F.nullif(squish("parent_trade_id"), F.lit(""))})
     place = F.concat_ws("\u0000", F.lit(""), *[F.col(c).cast("string") for c in PROVENANCE])
     own = F.when(has_text("trade_id"), F.col("trade_id")).otherwise(place)
-    return keep_first(ids.withColumn("own_key", own), ["own_key"], file_order())
-
-
-def latest_neon(raw: DataFrame) -> DataFrame:
-    """Blank ids are separate trades."""
-    return _latest_neon(raw).drop("own_key")
+    return keep_first(ids.withColumn("own_key", own), ["own_key"], file_order()).drop("own_key")
 
 
 def latest_onex(raw: DataFrame) -> DataFrame:
@@ -143,16 +138,18 @@ def collapse_spreads(df: DataFrame) -> DataFrame:
 def latest_with_parents(raw: DataFrame) -> DataFrame:
     """Latest Neon versions with ``is_parent``: the trade id occurs as some row's parent id.
 
-    The rows stay on the partitioning by own key that the version choice gave them; only distinct
-    parent ids are shuffled again. Finding these reads the id columns of the source a second
-    time. Keys of blank ids begin with a character that no id has, so they match nothing.
+    Versions are chosen once: the chosen rows go to the session's scratch folder, and their parent ids,
+    a narrow read of them, mark the rows. A blank id is no row's parent.
     """
-    rows = _latest_neon(raw)
-    parents = (rows.filter(F.col("parent_trade_id").isNotNull())
-               .select(F.col("parent_trade_id").alias("own_key")).distinct()
-               .withColumn("is_parent", F.lit(True)))
-    return (rows.join(parents.hint("shuffle_hash"), "own_key", "left")
-            .withColumn("is_parent", false_if_null(F.col("is_parent"))).drop("own_key"))
+    keep = scratch(raw.sparkSession)
+    rows = latest_neon(raw)
+    rows = rows.withColumns(key_hash(["trade_id"]))
+    if keep is not None:
+        rows = keep(rows, "neon")
+    named = rows.filter(F.col("parent_trade_id").isNotNull()).select("parent_trade_id").distinct()
+    ids = named.select(F.col("parent_trade_id").alias("trade_id")).withColumns(key_hash(["trade_id"]))
+    keys = list(key_hash(["trade_id"]))
+    return mark_rows(rows, keys, ids.select(*keys), "is_parent", keep is not None).drop(*keys)
 
 
 ECONOMIC_KEYS = ("exec_date_clean", "exec_time_clean", "k_instrument", "k_period", "qty_m3",
@@ -185,43 +182,31 @@ def copy_order() -> list[Column]:
             F.col("source_file"), F.col("source_block"), F.col("source_row")]
 
 
+def _copy_keys(with_financial: bool) -> list[str]:
+    return [*ECONOMIC_KEYS, "is_financial_bool"] if with_financial else list(ECONOMIC_KEYS)
+
+
 def collapse_sleeves(df: DataFrame, with_financial: bool = False) -> DataFrame:
     """Keep one of several equal trades when at least one of them is sleeved."""
-    keys = [*ECONOMIC_KEYS, "is_financial_bool"] if with_financial else list(ECONOMIC_KEYS)
-    return collapse_copies(df, keys, "sleeved_bool", copy_order())
+    return collapse_copies(df, _copy_keys(with_financial), "sleeved_bool", copy_order(), scratch(df.sparkSession))
 
 
-def dropped_sleeves(df: DataFrame, with_financial: bool = True, staging: str | None = None) -> DataFrame:
+def dropped_sleeves(df: DataFrame, with_financial: bool = True) -> DataFrame:
     """Audit of the rows ``collapse_sleeves`` removes, with their group's size and their rank.
 
-    Cuts, counts and ranks all read the rows of the groups with a sleeved copy, so with
-    ``staging``, a folder that all machines share, these few are written there once.
+    A group may hold any share of the rows: ranks come from one range partitioning. Needs a scratch
+    folder that all machines share.
     """
-    keys = [*ECONOMIC_KEYS, "is_financial_bool"] if with_financial else list(ECONOMIC_KEYS)
-    # Ids are told apart by their number; rows without one by where they were read.
-    by_place = F.col("trade_id_num").isNull()
-    marked = df.withColumns({
-        "by_place": by_place,
-        "newest_export": F.when(by_place, -F.unix_date("export_end")),
-        "newest_file": F.when(by_place,
-                              -F.unix_micros(F.col("source_file_modified").cast("timestamp"))),
-        "place": F.when(by_place, F.col("source_file")),
-        "place_block": F.when(by_place, F.col("source_block")),
-        "rank_value": F.coalesce(F.col("trade_id_num"), F.col("source_row").cast("double")),
-    })
-    copies = stage(split_by_flag(marked, keys, "sleeved_bool")[0], "sleeves", staging)
-    sizes = copies.groupBy(*[F.col(k).alias(f"__fact_{k}") for k in keys]).agg(
-        F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-    pairs = [(k, f"__fact_{k}") for k in keys]
-    copies = copies.join(sizes, null_safe_equal(copies, sizes, pairs)).select(
-        *marked.columns, "copies")
-    classes = ["sleeved_bool", "by_place", "newest_export", "newest_file", "place", "place_block"]
-    ranked = spread_row_number(copies, keys, classes, "rank_value",
-                               copy_order(), "economic_keep_rank")
+    keep = scratch(df.sparkSession)
+    if keep is None:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    copies = split_by_flag(df, _copy_keys(with_financial), "sleeved_bool", keep)[0]
+    ranked = rank_within(copies, list(key_hash(["trade_id"])), copy_order(), "economic_keep_rank",
+                         "economic_row_count", keep)
     return ranked.filter("economic_keep_rank > 1").select(
         "trade_id", "exec_date", "exec_time", "instrument", "period", "qty", "unit", "price",
         "pipeline", "buyer_pays", "buyer_receives", "cancelled", "sleeved", "swap_trade",
-        "is_financial", F.col("copies").alias("economic_row_count"),
+        "is_financial", "economic_row_count",
         F.lit(True).alias("group_has_sleeved_trade"), "economic_keep_rank", "source_file",
     ).orderBy("exec_date", "exec_time", "instrument", "period", "price", "qty", "trade_id")
 

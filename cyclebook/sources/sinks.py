@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,12 @@ def scratch_folder(spark: SparkSession) -> str | None:
     return named
 
 
+def scratch(spark: SparkSession) -> Callable[[DataFrame, str], DataFrame] | None:
+    """Writes a table to the scratch folder and reads it again; None where there is no such folder."""
+    folder = scratch_folder(spark)
+    return None if folder is None else lambda df, name: stage(df, name, folder)
+
+
 def check_shared(spark: SparkSession, folder: str) -> None:
     """Refuse a folder that is local to each machine of a cluster.
 

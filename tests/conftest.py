@@ -10,6 +10,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 from cyclebook.schema import RAW_COLUMNS, RULE_COLUMNS  # noqa: E402
 from cyclebook.session import local_session  # noqa: E402
+from cyclebook.sources import sinks  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 EARLY, LATE = dt.datetime(2026, 6, 1), dt.datetime(2026, 6, 30)
@@ -23,6 +24,12 @@ def spark():
     session.stop()
 
 
+@pytest.fixture
+def keep(tmp_path):
+    """Writes a table and reads it again."""
+    return lambda df, name: sinks.stage(df, name, str(tmp_path))
+
+
 @pytest.fixture(scope="session")
 def text_table(spark):
     """One text column ``x`` with the given values."""

@@ -36,15 +36,39 @@ def test_collapse_copies(spark):
         ("v", 1), ("w", 7), ("x", 1), ("y", 4), ("z", 1), ("z", 2)]
 
 
-def test_spread_row_number_equals_window(spark):
-    rng = random.Random(7)
-    rows = [("hot" if rng.random() < 0.4 else rng.choice("abc"), rng.random() < 0.5,
-             rng.choice([None, 1, 2]), float(rng.randrange(300)), i) for i in range(3000)]
-    df = spark.createDataFrame(rows, "k string, c boolean, n int, v double, t int")
-    got = ranking.spread_row_number(df, ["k"], ["c", "n"], "v", [F.col("t")], "rn", slices=16)
-    window = Window.partitionBy("k").orderBy("c", "n", "v", "t")
-    want = df.withColumn("rn", F.row_number().over(window))
-    assert by(got, "t", "rn") == by(want, "t", "rn")
+def test_rank_within_equals_window(spark, keep):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "a", "a", "b", None, f"k{i}"]), rng.randrange(9), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, v int, t int").repartition(7)
+    got = ranking.rank_within(df, ["k"], [F.col("v").desc(), F.col("t")], "rn", "n", keep)
+    w = Window.partitionBy("k")
+    want = df.withColumns({"rn": F.row_number().over(w.orderBy(F.col("v").desc(), "t")).cast("long"), "n": F.count("*").over(w)})
+    assert sorted(map(str, got.select("k", "v", "t", "rn", "n").collect())) == sorted(map(str, want.collect()))
+
+
+def test_numbered_is_one_sort_over_all_rows(spark, keep):
+    df = spark.range(10_000).selectExpr("id * 7919 % 10007 AS v").repartition(9)
+    rows = ranking.numbered(df, [F.col("v").desc()], "at", keep).orderBy("at").collect()
+    assert [r["at"] for r in rows] == list(range(10_000))
+    assert all(a.v > b.v for a, b in zip(rows, rows[1:]))
+
+
+def test_key_hash_tells_nulls_and_places_apart(spark):
+    values = [None, "", "a", "b", "ab", "\u0000"]
+    df = spark.createDataFrame([(x, y, z) for x in values for y in values for z in (None, 0.0, 1.5)], "x string, y string, z double")
+    for part in ranking.key_hash(["x", "y", "z"]).values():
+        assert df.select(part).distinct().count() == df.count()
+    signed = spark.createDataFrame([(0.0,), (-0.0,)], "z double")
+    assert signed.select(*ranking.key_hash(["z"]).values()).distinct().count() == 1
+
+
+@pytest.mark.parametrize("most, hint", [(500_000, "BroadcastHashJoin"), (10, "ShuffledHashJoin")])
+def test_marks_are_broadcast_up_to_a_bound(spark, monkeypatch, most, hint):
+    monkeypatch.setattr(ranking, "MAX_MARKS", most)
+    df, marks = spark.range(2000).withColumnRenamed("id", "k"), spark.range(0, 2000, 40).withColumnRenamed("id", "k")
+    out = ranking.mark_rows(df, ["k"], marks, "hit", True)
+    assert hint in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.k for r in out.filter("hit").collect()) == list(range(0, 2000, 40)) and out.count() == 2000
 
 
 def test_interval_flag(spark):
@@ -151,7 +175,7 @@ def test_interpolation_matches_numpy(spark):
         assert np.allclose([y for _, y in mine], want)
 
 
-def test_hot_key_with_a_third_of_the_rows(spark):
+def test_hot_key_with_a_third_of_the_rows(spark, keep):
     """One key, and one group of copies, holds a third of the rows."""
     n = 60_000
     df = spark.range(n).select(
@@ -161,11 +185,11 @@ def test_hot_key_with_a_third_of_the_rows(spark):
     assert newest.count() == 1 + n * 2 // 3
     assert newest.filter("k = 0").first().id == n - 3
 
-    single = ranking.collapse_copies(df, ["k"], "s", [F.col("s"), F.col("v")])
+    single = ranking.collapse_copies(df, ["k"], "s", [F.col("s"), F.col("v")], keep)
     assert single.count() == 1 + n * 2 // 3
     assert single.filter("k = 0").first().id == n - 3
 
-    ranks = ranking.spread_row_number(df, ["k"], ["s"], "v", [F.col("id")], "rn").filter("k = 0")
+    ranks = ranking.rank_within(df, ["k"], [F.col("s"), F.col("v"), F.col("id")], "rn", "n", keep).filter("k = 0")
     facts = ranks.agg(F.count("rn"), F.countDistinct("rn"), F.min("rn"), F.max("rn")).first()
     assert tuple(facts) == (n // 3, n // 3, 1, n // 3)
     last = ranks.orderBy(F.col("rn").desc()).first()

@@ -37,6 +37,7 @@ def provenance(d: SparkSQL, prefix: str) -> dict[str, str]:
         "source_file_modified": "l_shipdate",
         "source_block": "l_orderkey",
         "source_row": "l_partkey * 8 + l_linenumber",
+        "source_line": "l_orderkey * 8 + l_linenumber",
     }
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from cyclebook.functions import text as X
 from cyclebook.operators import calendar as C
 from cyclebook.operators import rules as R
 from cyclebook.plans import dataset, index, intraday, legacy, normalize, quality
-from cyclebook.plans import filters, references, seasonality, views
+from cyclebook.plans import filters, references, seasonality, store, views
+from cyclebook.schema import PROVENANCE, ROW_PLACES
 from cyclebook.sources import files, lines, sinks
 from cyclebook.sources.conform import drop_blank_rows, read_all_sheets, union_all
 from cyclebook.sources.reference import Reference, reference_from_tables
@@ -604,10 +606,52 @@ def stored_build(spark: SparkSession, sf: str) -> DataFrame:
     """The build stored with its quality tables and loaded again."""
     folder = run_folder(spark, "build")
     sources = {b: A.raw_export(spark, sf, b) for b in A.RAW}
-    dataset.build_dataset(spark, sources, reference(spark), folder, staging=run_folder(spark, "staging"))
+    dataset.build_dataset(spark, sources, reference(spark), folder)
     return dataset.load_combined(spark, folder, reference(spark), folder)
 
 
+def store_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A store before and after a second export, which adds deals and reprices others; both versions read."""
+    folder = run_folder(spark, "store")
+    raw = normalize.latest_ice(A.raw_export(spark, sf, "ICE")).drop(*PROVENANCE, *ROW_PLACES)
+    data, ref = f"{folder}/exports", reference(spark, "ICE")
+    later = raw.filter("deal_id LIKE '%2'").unionByName(raw.filter("deal_id LIKE '%1'").withColumn("price", F.lit("7")))
+    for rows in (raw.filter("deal_id NOT LIKE '%2'"), later):
+        rows.write.mode("append").option("header", True).csv(f"{data}/ICE")
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")  # the other brokers have no folder
+            store.update(spark, data, ref, f"{folder}/store")
+    return union_all([store.load(spark, f"{folder}/store", v).withColumn("version", F.lit(v)) for v in (1, 2)]).drop("source_file")
+
+
+def version_sql(number: int, tag: str, rows: str) -> tuple[str, str]:
+    chain = Q.normalize_ice(tag).replace(f"FROM {tag}raw QUALIFY", f"FROM ({rows.format(f'{tag}raw')}) QUALIFY")
+    return (",\n".join([chain, Q.backfill(f"{tag}n", f"{tag}b"), Q.enrich(f"{tag}b", f"{tag}e")]),
+            f"SELECT * EXCLUDE (source_file), {number} AS version FROM (SELECT {Q.ENRICHED} FROM {tag}e)")
+
+
+VERSION_1 = version_sql(1, "va", "SELECT * FROM {} WHERE deal_id NOT LIKE '%2'")
+VERSION_2 = version_sql(2, "vb", "SELECT * REPLACE (CASE WHEN deal_id LIKE '%1' THEN '7' ELSE price END AS price) FROM {}")
+
+
+def built_candles(spark: SparkSession, sf: str) -> DataFrame:
+    """Candles of built tables, many trades at one instant: the order of the rows decides."""
+    sources = {b: A.raw_export(spark, sf, b) for b in ("ICE", "OneX")}
+    trades = dataset.build_dataset(spark, sources, reference(spark, *sources), row_order=True)
+    return intraday.ohlc_profile(trades, definition="1a", ordinal="row_ord")
+
+
+def with_line(chain: str) -> str:
+    """A normalizer's relations that keep the place of a row in its file."""
+    return chain.replace(" AS price_basis, source_file", " AS price_basis, source_file, source_line").replace(
+        f"SELECT {Q.NORMAL} FROM (SELECT s.*", f"SELECT {Q.NORMAL}, source_line FROM (SELECT s.*")
+
+
+CANDLES = Q.with_(
+    Q.CALENDAR, with_line(Q.normalize_ice()), with_line(Q.normalize_onex()),
+    "al AS (SELECT * FROM icn UNION ALL BY NAME SELECT * FROM oxn)", Q.backfill("al", "bf"), Q.enrich("bf"),
+    select=Q.ohlc("date_trunc('day', exec_datetime)::TIMESTAMP", "broker, source_file DESC, source_line").replace(Q.COMM, Q.ONE_A))
+
 CELL = "nullif(trim({0}), '') AS {0}".format
 register("read_csv_exports", csv_exports, Q.with_(
     Q.raw("ICE"), select=f"SELECT {', '.join(map(CELL, CSV_COLUMNS))} FROM raw"))
@@ -634,6 +678,9 @@ register("read_landed_sheets", landed_sheets, Q.with_(
     select=f"""SELECT {CELL('trade_id')}, {CELL('product')}, {CELL('price')}, NULL::VARCHAR AS sleeved,
       'Neon' AS source_sheet FROM a UNION ALL
       SELECT {CELL('trade_id')}, NULL, {CELL('price')}, {CELL('sleeved')}, 'OneX' FROM b"""))
+register("store_versions", store_versions, Q.with_(
+    Q.CALENDAR, VERSION_1[0], VERSION_2[0], select=f"{VERSION_1[1]} UNION ALL {VERSION_2[1]}"))
+register("built_candles", built_candles, CANDLES)
 register("stored_build", stored_build, Q.with_(Q.BUILD, select=f"SELECT {Q.ENRICHED} FROM t"))
 register("build_dataset", built, Q.with_(Q.BUILD, select=f"SELECT {Q.ENRICHED} FROM t"))
 register("monthly_index_from_raw", lambda spark, sf: index.monthly_index(built(spark, sf)),
