@@ -2,8 +2,9 @@
 
 Everything ends in DATE or TIMESTAMP_NTZ, so results never depend on
 ``spark.sql.session.timeZone``, and text that does not parse gives null rather
-than an error under ANSI mode. Each accepted layout costs one regular
-expression that rewrites the text to ISO form (or to nothing) and one cast.
+than an error under ANSI mode. Each accepted layout is one regular expression
+that rewrites the text to ISO form (or to nothing) and one cast; it only runs on
+texts whose first characters have its shape.
 """
 
 from __future__ import annotations
@@ -63,6 +64,22 @@ def _instant(text: Column | str, pattern: str, to: str) -> Column:
     return _rewrite(text, pattern, to).try_cast("timestamp_ntz")
 
 
+def _may_fit(c: Column | str, pattern: str) -> Column:
+    """Cheap test of a text's first characters that no text which fits a date pattern fails.
+
+    A year of four digits has its separator in the fifth place, a shorter first number in the second or
+    third. Texts that begin with something else than an ASCII digit or letter, such as white space, are
+    left to the pattern.
+    """
+    text, separators = as_col(c), ("-", "/", ".")
+    first = F.substring(text, 1, 1)
+    places = (5,) if pattern.startswith("([0-9]{4})") else (2, 3)
+    placed = F.lit(False)
+    for place in places:
+        placed |= F.substring(text, place, 1).isin(*separators)
+    return placed | (first < "0") | (first > "z")
+
+
 def _named_date(c: Column | str, orders: Sequence[str]) -> Column:
     """Date with a month name by the first order that fits; only looked for in text with letters."""
     tries = [F.try_to_timestamp(_rewrite(c, pattern, iso), F.lit("y-MMM-d")).cast("date")
@@ -72,7 +89,7 @@ def _named_date(c: Column | str, orders: Sequence[str]) -> Column:
 
 def parse_date(c: Column | str, orders: Sequence[str] = ("ymd",)) -> Column:
     """Date by the first field order that gives a valid one, with numbers or a month name."""
-    return F.coalesce(*[_rewrite(c, pattern, iso).try_cast("date")
+    return F.coalesce(*[F.when(_may_fit(c, pattern), _rewrite(c, pattern, iso).try_cast("date"))
                         for order in orders for pattern, iso in _DATE_ORDERS[order]],
                       _named_date(c, orders))
 
@@ -90,17 +107,22 @@ def _numeric_timestamp(c: Column | str, orders: Sequence[str], kinds: Sequence[s
     if half_tail:
         plain += [rf"((?:0?[1-9]|1[01]){half_tail})\s*AM", rf"(12{half_tail})\s*PM"]
     clock = "".join(f"${4 + i}" for i in range(len(plain)))
+    # Every clock has a colon and every half of a day an M, which spares most texts most patterns.
+    text = as_col(c)
+    timed, halved = text.contains(":"), text.contains("M") | text.contains("m")
     tries = []
     for order in orders:
         for day, iso in _DATE_ORDERS[order]:
-            tries.append(_instant(c, rf"{day}{_GAP}(?:{'|'.join(plain)})", f"{iso} {clock}"))
+            may = _may_fit(c, day)
+            tries.append(F.when(may & timed, _instant(c, rf"{day}{_GAP}(?:{'|'.join(plain)})", f"{iso} {clock}")))
             if half_tail:
                 midnight = rf"{day}{_GAP}12({half_tail})\s*AM"
                 afternoon = rf"{day}{_GAP}((?:0?[1-9]|1[01]){half_tail})\s*PM"
-                tries.append(_instant(c, midnight, f"{iso} 0$4"))
-                tries.append(_instant(c, afternoon, f"{iso} $4") + F.expr("INTERVAL 12 HOURS"))
+                half = may & timed & halved
+                tries.append(F.when(half, _instant(c, midnight, f"{iso} 0$4")))
+                tries.append(F.when(half, _instant(c, afternoon, f"{iso} $4") + F.expr("INTERVAL 12 HOURS")))
             if allow_date_only:
-                tries.append(_instant(c, day, iso))
+                tries.append(F.when(may & ~timed, _instant(c, day, iso)))
     return F.coalesce(*tries)
 
 

@@ -54,8 +54,11 @@ def blank_to_na(c: Column | str) -> Column:
 
 def ukey(c: Column | str) -> Column:
     """Matching key: squished, dashes unified, upper case, empty becomes null."""
-    dashed = F.translate(squish(c), UNICODE_DASHES, "-" * len(UNICODE_DASHES))
-    return F.nullif(F.upper(dashed), F.lit(""))
+    text = as_col(c).cast("string")
+    dashed = F.translate(text, UNICODE_DASHES, "-" * len(UNICODE_DASHES))
+    if isinstance(c, str):  # ASCII text has no such dash, and a column's own value costs nothing to look at
+        dashed = F.when(F.octet_length(text) == F.char_length(text), text).otherwise(dashed)
+    return F.nullif(F.upper(squish(dashed)), F.lit(""))
 
 
 def clean_num(c: Column | str) -> Column:

@@ -18,7 +18,7 @@ def component_flag(require_grade: bool = True, any_case: bool = False):
     ``any_case`` compares class and kind without regard to case, as the older tables do.
     """
     kind, leg = F.col("itf"), F.col("swap_leg_outright")
-    physical = ((ukey("itf") == "TRADE") & (ukey("swap_leg_outright") == "OUTRIGHT") if any_case
+    physical = ((F.upper(F.trim(kind)) == "TRADE") & (F.upper(F.trim(leg)) == "OUTRIGHT") if any_case
                 else (kind == "Trade") & (leg == "Outright"))
     flag = (F.col("in_index") & physical
             & (F.col("qty_m3") > 0) & F.col("price").isNotNull())

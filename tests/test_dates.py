@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from cyclebook.functions import dates
 from tests.test_text import check
 
@@ -94,3 +96,24 @@ def test_session_zone_does_not_matter(spark, text_table):
               {"2026-03-08 02:30:00": dt.datetime(2026, 3, 8, 2, 30)})
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_shapes_leave_every_layout_to_its_pattern(text_table, monkeypatch):
+    """The cheap look at a text's first characters never changes what is parsed."""
+    days = ["2026-06-03", "2026/6/3", "2026.06.03", "26-06-03", "69-1-2", "13-1-2", "12-1-2", "06/03/2026", "6.3.2026", "31/12/99",
+            "1/2/03", "45000", "45000.5", "20260603", "3-Jun-2026", "Jun 3, 2026", "2026-JUN-3", "", "-", "/2/3", "2026-13-40",
+            "2026-6", "1-2", "12345-1-1", "99-99-99", "x2026-06-03", "2026x06x03", "٢٠٢٦-06-03"]
+    clocks = ["", " 9:15", " 09:15:22", "T23:59:59.123456", " 12:00 AM", " 12:01:02 pm", "  1:02 PM", " 25:00", " 7", " 9:15x", " 9:15:22\tam"]
+    texts = [lead + d + c for d in days for c in clocks for lead in ("", " ", "\u00a0", "\t")]
+    table = text_table(None, *texts)
+
+    def parsed():
+        orders = ("ymd", "mdy", "dmy")
+        columns = [dates.parse_date("x", orders), dates.parse_date("x", ("mdy",)), dates.onex_date("x"), dates.modern_timestamp("x"),
+                   dates.neon_timestamp("x"), dates.permissive_timestamp("x"), dates.ice_local_timestamp("x"), dates.ice_local_date("x"),
+                   dates.parse_clock("x")]
+        return [sorted(map(str, table.select("x", c.alias("c")).collect())) for c in columns]
+
+    looked = parsed()
+    monkeypatch.setattr(dates, "_may_fit", lambda c, pattern: F.lit(True))
+    assert parsed() == looked

@@ -17,10 +17,10 @@ from cyclebook.operators import calendar as C
 from cyclebook.operators import rules as R
 from cyclebook.plans import dataset, index, intraday, legacy, normalize, quality
 from cyclebook.plans import filters, references, seasonality, store, views
-from cyclebook.schema import PROVENANCE, ROW_PLACES
+from cyclebook.schema import CALENDAR_TABLE, PROVENANCE, ROW_PLACES, RULE_TABLES
 from cyclebook.sources import files, lines, sinks
 from cyclebook.sources.conform import drop_blank_rows, read_all_sheets, union_all
-from cyclebook.sources.reference import Reference, reference_from_tables
+from cyclebook.sources.reference import Reference, load_reference, reference_from_tables
 from workload import adapters as A
 from workload import oracle as Q
 
@@ -312,11 +312,11 @@ on_raw("sleeve_dropped_audit", "OneX",
 
 def rule_query(broker: str, keys: dict[str, str]):
     """Rule outcome of every raw row."""
-    def run(spark, sf):
+    def run(spark, sf, ref=None):
         raw = A.raw_export(spark, sf, broker)
         if broker == "ICE":
             raw = raw.withColumn("product", X.market_without_strip("market"))
-        rules = reference(spark, broker).rules[broker]
+        rules = (ref or reference(spark, broker)).rules[broker]
         tiers = {"ICE": R.ONE_TIER, "Modern": R.MODERN_TIERS, "Neon": R.NEON_TIERS}[broker]
         rules = R.neon_rules(rules) if broker == "Neon" else rules
         keyed = raw.withColumns({k: X.ukey(c) for k, c in keys.items()})
@@ -336,7 +336,8 @@ def rule_query(broker: str, keys: dict[str, str]):
     return run, sql
 
 
-register("rule_match_1tier", *rule_query("ICE", {"product_key": "product"}))
+RULES_1 = rule_query("ICE", {"product_key": "product"})
+register("rule_match_1tier", *RULES_1)
 register("rule_match_2tier", *rule_query(
     "Modern", {"product_key": "product", "price_basis_key": "price_basis"}))
 register("rule_match_4tier", *rule_query(
@@ -652,6 +653,26 @@ CANDLES = Q.with_(
     "al AS (SELECT * FROM icn UNION ALL BY NAME SELECT * FROM oxn)", Q.backfill("al", "bf"), Q.enrich("bf"),
     select=Q.ohlc("date_trunc('day', exec_datetime)::TIMESTAMP", "broker, source_file DESC, source_line").replace(Q.COMM, Q.ONE_A))
 
+def exported(export, table):
+    """A CSV export of a report read back with the report's types."""
+    def run(trades: DataFrame) -> DataFrame:
+        spark = trades.sparkSession
+        folder = run_folder(spark, "export")
+        export(trades, folder)
+        return spark.read.schema(table(trades).schema).option("header", True).option("escape", '"').csv(folder)
+    return run
+
+
+def loaded_reference(spark: SparkSession, sf: str) -> DataFrame:
+    """Calendar and rule sheets written as CSV and loaded as one bundle, whose rules then classify every row."""
+    folder = run_folder(spark, "reference")
+    sheets = {CALENDAR_TABLE: A.calendar(spark), **{
+        name: spark.sql(A.rules_sql(b)).orderBy("rule_ord").drop("rule_ord") for b, name in RULE_TABLES.items()}}
+    for name, sheet in sheets.items():
+        sheet.coalesce(1).write.option("header", True).csv(f"{folder}/{name}.csv")
+    return RULES_1[0](spark, sf, load_reference(spark, folder))
+
+
 CELL = "nullif(trim({0}), '') AS {0}".format
 register("read_csv_exports", csv_exports, Q.with_(
     Q.raw("ICE"), select=f"SELECT {', '.join(map(CELL, CSV_COLUMNS))} FROM raw"))
@@ -678,6 +699,16 @@ register("read_landed_sheets", landed_sheets, Q.with_(
     select=f"""SELECT {CELL('trade_id')}, {CELL('product')}, {CELL('price')}, NULL::VARCHAR AS sleeved,
       'Neon' AS source_sheet FROM a UNION ALL
       SELECT {CELL('trade_id')}, NULL, {CELL('price')}, {CELL('sleeved')}, 'OneX' FROM b"""))
+register("load_reference", loaded_reference, RULES_1[1])
+on_star("export_monthly", exported(views.export_monthly, index.monthly_compare_full),
+        Q.on_trades("SELECT * FROM wide", Q.WIDE))
+on_star("export_index_refs", exported(views.export_index_refs, references.index_ref_trades),
+        Q.on_trades(f"SELECT {Q.ENRICHED} FROM t WHERE {Q.REFS}"))
+on_star("export_unparsed", exported(views.export_unparsed, quality.unparsed_month_trades), Q.on_trades(
+    f"""SELECT broker, trade_id, exec_date, index_group, grade, instrument, period, price, qty_m3,
+        source_file FROM t WHERE {Q.UNPARSED}"""))
+on_star("export_trades", exported(views.export_trades, views.group_trades),
+        Q.on_trades(f"SELECT {Q.ENRICHED} FROM t WHERE index_group = 'SW'"))
 register("store_versions", store_versions, Q.with_(
     Q.CALENDAR, VERSION_1[0], VERSION_2[0], select=f"{VERSION_1[1]} UNION ALL {VERSION_2[1]}"))
 register("built_candles", built_candles, CANDLES)
