@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclebook.functions.text import blank_to_na, has_text, squish, ukey
 from cyclebook.operators.ranking import keep_first
 from cyclebook.schema import LOWEST_PRIORITY, RULE_COLUMNS
-from cyclebook.sources.conform import add_missing_cols
+from cyclebook.sources.conform import add_missing_cols, union_all
 
 RULE_KEYS = ("raw_product_key", "raw_price_basis_key", "raw_index_key",
              "raw_location_key", "raw_pipeline_key")
+PRODUCT = "raw_product_key"
 OUTCOMES = ("itf", "index_group", "key_id", "y_n")
 
+Tiers = Sequence[tuple[dict[str, str], Sequence[str]]]
+
 
 def active_flag(c: str):
     """Yes-words and blanks are active; everything else is not."""
@@ -56,24 +59,48 @@ def tier_table(rules: DataFrame, keys: Sequence[str], absent: Sequence[str], tag
                        *[F.col(c).alias(f"{tag}_{c}") for c in OUTCOMES])
 
 
-def match_tiers(df: DataFrame, rules: DataFrame,
-                tiers: Sequence[tuple[dict[str, str], Sequence[str]]]) -> DataFrame:
+def product_rules(rules: DataFrame, tiers: Tiers) -> DataFrame:
+    """One row per product: the best rules of all tiers, the most specific tier first."""
+    more = [k for k in RULE_KEYS if k != PRODUCT and any(k in on for on, _ in tiers)]
+    parts = []
+    for i, (on, absent) in enumerate(tiers):
+        table = tier_table(rules, list(on), absent, "t")
+        parts.append(table.select(F.col(f"t_{PRODUCT}").alias("r_product"), F.struct(
+            F.lit(i).alias("tier"),
+            *[(F.col(f"t_{k}") if k in on else F.lit(None).cast("string")).alias(k) for k in more],
+            *[F.col(f"t_{c}").alias(c) for c in OUTCOMES]).alias("rule")))
+    return union_all(parts).groupBy("r_product").agg(F.sort_array(F.collect_list("rule")).alias("r_rules"))
+
+
+def match_tiers(df: DataFrame, rules: DataFrame, tiers: Tiers) -> DataFrame:
     """Attach ``itf, index_group, key_id, y_n`` from the most specific tier that has each.
 
-    A tier maps rule keys to trade columns and lists the rule keys that must be
-    absent. Every outcome is taken on its own, so a trade may mix two rules.
-    Each tier holds one row per key, so the joins never multiply trades; the
-    rule side is small enough for Catalyst to broadcast, or carries a checked
-    hint from ``load_reference``.
+    A tier maps rule keys to trade columns and lists the rule keys that must be absent; the product is
+    a key of every tier. Every outcome is taken on its own, so a trade may mix two rules. The trades
+    meet the rules once, by product, and look through the few rules of theirs; a tier holds one rule per
+    key combination, so trades are never multiplied. The rule side is small enough for Catalyst to
+    broadcast, or carries a checked hint from ``load_reference``; else the trades move once, not once
+    for each tier.
     """
-    out = df
-    for i, (on, absent) in enumerate(tiers):
-        table = tier_table(rules, list(on), absent, f"t{i}")
-        cond = [out[trade] == table[f"t{i}_{rule}"] for rule, trade in on.items()]
-        out = out.join(table, cond, "left").drop(*[f"t{i}_{rule}" for rule in on])
+    product = tiers[0][0][PRODUCT]
+    lookup = product_rules(rules, tiers)
+    out = df.join(lookup, df[product] == lookup["r_product"], "left")
+
+    def fits(rule: Column) -> Column:
+        found = F.lit(False)
+        for i, (on, _) in enumerate(tiers):
+            same = rule["tier"] == i
+            for key, trade in on.items():
+                if key != PRODUCT:
+                    same &= rule[key] == F.col(trade)
+            found |= F.coalesce(same, F.lit(False))
+        return found
+
+    if any(len(on) > 1 for on, _ in tiers):
+        out = out.withColumn("r_rules", F.filter("r_rules", fits))
     return out.withColumns({
-        f"r_{c}": F.coalesce(*[F.col(f"t{i}_{c}") for i in range(len(tiers))]) for c in OUTCOMES
-    }).drop(*[f"t{i}_{c}" for i in range(len(tiers)) for c in OUTCOMES])
+        f"r_{c}": F.try_element_at(F.filter(F.col(f"r_rules.{c}"), lambda x: x.isNotNull()), F.lit(1)) for c in OUTCOMES
+    }).drop("r_product", "r_rules")
 
 
 ONE_TIER = [({"raw_product_key": "product_key"}, ())]

@@ -143,6 +143,8 @@ def test_tiers_coalesce_per_column(spark, rule_rows):
     got = [tuple(r) for r in rules.match_tiers(df, table, rules.NEON_TIERS).orderBy(
         "product_key", "index_key").select("r_itf", "r_index_group", "r_key_id", "r_y_n").collect()]
     assert got == [("Trade", "SW", "K3", "N"), (None, None, "K4", "N"), (None, None, None, None)]
+    plan = rules.match_tiers(df, table, rules.NEON_TIERS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
 
 
 def test_complete_within(spark):
