@@ -44,6 +44,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def apart(df: DataFrame, *own: str) -> DataFrame:
+    """``df`` with all columns but ``own`` under names that no operator uses; ``toDF`` gives the old ones back."""
+    return df.toDF(*[c if c in own else f"__column_{i}" for i, c in enumerate(df.columns)])
+
+
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a folder or file name as Spark writes it."""
     if uri.startswith("file:"):

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cyclebook.llm.components import connected_components, local_stars
-from cyclebook.llm.shared import add_columns, staged, utf8
+from cyclebook.llm.shared import add_columns, apart, staged, utf8
 
 SEED = 42
 _hash = partial(xxhash.xxh64_intdigest, seed=SEED)
@@ -146,22 +146,34 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
                     F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
 
 
+MAX_FATES = 1_000_000  # ids that are broadcast: 16 bytes each, some 60 MB as a hash table
+
+
 def keep_first(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
                radius: int = 2) -> DataFrame:
     """The rows of ``documents`` whose id is the smallest of its component.
 
     Rows without an id stay. Of rows that share an id, the one with the least hash of its text
-    stays; such ids are few, and only their rows are ranked.
+    stays; such ids are few, and only their rows are ranked. Columns of any name are kept. An empty
+    table gives an empty one. What is joined to the documents are only the ids that go or that repeat.
+    Up to ``MAX_FATES`` of them, counted, are broadcast and no text moves; more meet the documents in one
+    shuffle, in which rows without an id are spread by their text.
     """
-    names = documents.columns
-    found = near_duplicates(documents, doc_id, text, shingle, radius).filter("doc_id is not null")
+    rows = apart(documents, doc_id, text)
+    names = rows.columns
+    found = near_duplicates(rows, doc_id, text, shingle, radius).filter("doc_id is not null")
     ids = found.groupBy("doc_id").agg(F.min("component_id").alias("low"), F.count("*").alias("rows"))
-    ids = staged(ids, "components")
-    rows = documents.withColumn("__id", F.col(doc_id).cast("long"))
-    gone = ids.filter("doc_id != low").select(F.col("doc_id").alias("__id"))
-    several = ids.filter("doc_id = low and rows > 1").select(F.col("doc_id").alias("__id"))
-    single = rows.join(gone.unionAll(several), "__id", "left_anti").select(*names)
-    order = Window.partitionBy("__id").orderBy(F.xxhash64(text), F.col(text))
-    first = (rows.join(several, "__id", "left_semi").withColumn("__place", F.row_number().over(order))
-             .filter("__place = 1").select(*names))
-    return single.unionAll(first)
+    fates = staged(ids.filter("doc_id != low or rows > 1").select(
+        F.col("doc_id").alias("__id"), F.lit(0).alias("__salt"), (F.col("doc_id") != F.col("low")).alias("__gone")), "fates")
+    counts = fates.agg(F.count("*").alias("n"), F.count_if(~F.col("__gone")).alias("several")).first()
+    few = counts["n"] <= MAX_FATES
+    number = F.col(doc_id).cast("long")
+    salt = F.when(number.isNull(), F.pmod(F.xxhash64(text), F.lit(4096)) + 1).otherwise(0).cast("int")
+    keyed = rows.withColumns({"__id": F.coalesce(number, F.lit(0)), "__salt": salt})
+    met = keyed.join(F.broadcast(fates) if few else fates, ["__id", "__salt"], "left")
+    kept = met.filter(F.col("__gone").isNull()).select(*names)
+    if counts["several"]:
+        order = Window.partitionBy("__id").orderBy(F.xxhash64(text), F.col(text))
+        first = met.filter(~F.col("__gone")).withColumn("__place", F.row_number().over(order)).filter("__place = 1")
+        kept = kept.unionAll(first.select(*names))
+    return kept.toDF(*documents.columns)
