@@ -90,7 +90,7 @@ def _corpus_counts(rows: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
 
 def benchmark_hits(documents: DataFrame, benchmark: DataFrame, text: str = "text",
                    item_id: str = "item_id", item_text: str = "text", window: int = 10,
-                   block_bytes: int = 32 << 20) -> DataFrame:
+                   block_bytes: int = 4 << 20) -> DataFrame:
     """``documents`` with ``n_words``, ``hit_spans`` (word ranges) and ``hit_items``.
 
     The benchmark is a stated query set that goes against all documents in blocks: a block holds
@@ -119,7 +119,7 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, text: str = "text
 
         def compute(batch, index=index):
             n, spans, hits = [], [], []
-            old = zip(batch["old_spans"].to_pylist(), batch["old_items"].to_pylist())
+            old = zip(batch["__old_spans"].to_pylist(), batch["__old_items"].to_pylist())
             for t, (old_spans, old_items) in zip(utf8(batch[text]), old):
                 length, more, found_items = find(t, index.value)
                 n.append(length)
@@ -129,9 +129,9 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, text: str = "text
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             return [pa.array(n, pa.int64()), pa.array(spans, kind), pa.array(hits, pa.list_(pa.string()))]
 
-        found = found.withColumnsRenamed({"hit_spans": "old_spans", "hit_items": "old_items"})
+        found = found.withColumnsRenamed({"hit_spans": "__old_spans", "hit_items": "__old_items"})
         found = add_columns(found, "n_words long, hit_spans array<struct<start:int,end:int>>,"
-                            " hit_items array<string>", compute).drop("old_spans", "old_items")
+                            " hit_items array<string>", compute).drop("__old_spans", "__old_items")
         if k + 1 < blocks:
             found = staged(found, "benchmark-hits")
     return found

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cyclebook.llm.shared import staged
+from cyclebook.llm.shared import apart, staged
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -221,8 +221,9 @@ def redact(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """``documents`` with every span of personal data replaced by its kind in brackets.
 
     Overlapping spans are replaced as one, by the kind of the first. Nulls stay null; all columns
-    keep their names and order.
+    keep their names, whatever these are, and order.
     """
+    names, documents = documents.columns, apart(documents, doc_id, text)
     spans = (find_spans(documents, doc_id, text).groupBy("__id", "__hash")
              .agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("__spans")))
     t = F.col(text)
@@ -235,4 +236,4 @@ def redact(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     joined = _keyed(documents, doc_id, text).join(spans, ["__id", "__hash"], "left").withColumn("__w", walked)
     rest = F.substring(t, (F.col("__w.at") + 1).cast("int"), F.length(t))
     clean = F.when(F.col("__spans").isNull(), t).otherwise(F.concat(F.array_join("__w.out", ""), rest))
-    return joined.select(*[clean.alias(c) if c == text else F.col(c) for c in documents.columns])
+    return joined.select(*[clean.alias(c) if c == text else F.col(c) for c in documents.columns]).toDF(*names)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclebook.llm.shared import add_columns, staged, utf8
+from cyclebook.llm.shared import add_columns, apart, staged, utf8
 
 BUCKETS = 1 << 14
 MAX_LABELLED = 40_000
@@ -137,7 +137,8 @@ def _fit(documents: DataFrame, labels: DataFrame, doc_id: str, text: str,
     keyed = staged(_weights(rows, ratio).drop("text").withColumn("sample_key", _key("doc_id")), "weights")
     spark = documents.sparkSession
     marks = spark.createDataFrame(list(sample.items()), "doc_id long, y int")
-    known = keyed.join(F.broadcast(marks), "doc_id").select("log_weight", "y").limit(2 * max_labelled).toPandas()
+    # One row for each labelled id: its least weight where rows share it.
+    known = keyed.join(F.broadcast(marks), "doc_id").groupBy("doc_id", "y").agg(F.min("log_weight").alias("log_weight")).toPandas()
     cut = best_cut(known["log_weight"].to_numpy(float), known["y"].to_numpy() == 1) if len(known) else float("-inf")
     k = keyed.filter(F.col("log_weight") >= cut).count()
     return ratio, (kth_largest(keyed, "sample_key", k) if k else None), cut, keyed
@@ -162,8 +163,9 @@ def sample_keys(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
 def resample(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
              max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """The rows of ``documents`` that ``sample_keys`` keeps, with their own columns only."""
-    ratio, last, _, _ = _fit(documents, labels, doc_id, text, max_labelled)
-    work = documents.withColumns({"__id": F.col(doc_id).cast("long"), "__text": F.col(text)})
-    scored = _weights(work.select("__id", "__text", F.struct(*documents.columns).alias("__row")), ratio, "__text")
-    return (scored.withColumn("sample_key", _key("__id")).filter(_kept(last)).select("__row.*"))
+    """The rows of ``documents`` that ``sample_keys`` keeps, with their own columns only, of any names."""
+    rows = apart(documents, doc_id, text)
+    ratio, last, _, _ = _fit(rows, labels, doc_id, text, max_labelled)
+    work = rows.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).alias("__text"), F.struct(*rows.columns).alias("__row"))
+    scored = _weights(work, ratio, "__text")
+    return scored.withColumn("sample_key", _key("__id")).filter(_kept(last)).select("__row.*").toDF(*documents.columns)
