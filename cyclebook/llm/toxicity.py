@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,8 +115,11 @@ def _able(features: DataFrame) -> np.ndarray:
     return np.sort(able.toArrow()["bucket"].to_numpy())
 
 
-def _places(features: DataFrame, buckets: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places in ``buckets`` of all rows' terms, where each row's end, and labels; clean rows first."""
+def _places(features: DataFrame, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``buckets`` of all rows' terms, where each row's end, and labels; clean rows first.
+
+    ``features`` has at most as many rows as ids teach.
+    """
     held = features.sparkSession.sparkContext.broadcast(buckets)
 
     def place(batches):
@@ -125,7 +129,7 @@ def _places(features: DataFrame, buckets: np.ndarray, most: int) -> tuple[np.nda
             at = [(p := where[r.values.to_numpy()])[p >= 0].tobytes() for r in batch["terms"]]
             yield pa.RecordBatch.from_arrays([batch["y"], pa.array(at, pa.binary())], names=["y", "at"])
 
-    table = features.mapInArrow(place, "y int, at binary").orderBy("y", "at").limit(most).toArrow()
+    table = features.mapInArrow(place, "y int, at binary").orderBy("y", "at").toArrow()
     ends = np.cumsum([0, *(len(x) // 4 for c in table["at"].chunks for x in c.to_pylist())])
     at = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x.as_buffer(), "<i4") for c in table["at"].chunks for x in c)])
     return at, ends, table["y"].to_numpy().astype(float)
@@ -205,15 +209,20 @@ def fit(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
             if picked:
                 found = utf8(batch["text"].take(pa.array(picked)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([known.value[ids[i]] for i in picked], pa.int32()),
-                     pa.array([terms(t) for t in found], pa.list_(pa.int64()))], names=["y", "terms"])
-
-    features = staged(rows.mapInArrow(gather, "y int, terms array<long>"), "labelled-terms")
+                    [pa.array([ids[i] for i in picked], pa.int64()),
+                     pa.array([xxhash.xxh64_intdigest(t) >> 1 for t in found], pa.int64()),
+                     pa.array([known.value[ids[i]] for i in picked], pa.int32()),
+                     pa.array([terms(t) for t in found], pa.list_(pa.int64()))], names=["doc_id", "print", "y", "terms"])
+
+    rows = rows.mapInArrow(gather, "doc_id long, print long, y int, terms array<long>")
+    rows = staged(rows.withColumn("place", F.monotonically_increasing_id()), "labelled-terms")
+    # A labelled id teaches once, by its text with the least hash: at most max_labelled places.
+    once = rows.groupBy("doc_id").agg(F.min_by("place", "print").alias("place")).select("place")
+    features = staged(rows.join(F.broadcast(once), "place", "left_semi").select("y", "terms"), "taught-terms")
     toxic, total = features.agg(F.sum("y"), F.count("*")).first()
     chosen = _choose(features, toxic or 0, total - (toxic or 0), max_terms)
     wanted = np.union1d(chosen, _able(features))
-    # At most max_labelled rows, and the rows that repeat their ids.
-    at, ends, known_y = _places(features, wanted, 2 * max_labelled)
+    at, ends, known_y = _places(features, wanted)
     pairs = _paired(documents.sparkSession, at, ends, known_y, len(wanted))
     chosen = np.union1d(chosen, wanted[pairs])
     place = np.full(len(wanted), -1, np.int32)

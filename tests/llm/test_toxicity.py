@@ -37,6 +37,26 @@ def test_pairs_of_terms_that_are_as_usual_in_clean_texts_are_learnt(spark):
     assert len(right) > 300 and np.mean(right) > 0.95
 
 
+def test_repeating_every_row_changes_no_score(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abdeiklnorst", k=5)) for _ in range(200)]
+    rows, labels = [], []
+    for i in range(700):
+        bad = i % 4 == 0
+        rows.append((i, " ".join(rng.choices(words, k=15) + ["vile"] * bad)))
+        labels.append((i, 1, int(bad)))
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+    def scores(table):
+        docs = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+        machine = T.fit(docs, marks, max_labelled=600)
+        return {r.doc_id: r.score for r in T.score(docs, machine).collect()}
+
+    once = scores(rows)
+    assert once[0] > 0.9 > 0.1 > once[1]
+    assert scores(rows * 4) == once
+
+
 def test_score_is_the_formula():
     rng = np.random.default_rng(5)
     machine = T.Machine(-0.3, np.array([3, 8, 20]), rng.normal(size=3), rng.normal(size=(3, 4)))
