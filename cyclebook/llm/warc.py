@@ -200,6 +200,7 @@ def read_archives(index: DataFrame) -> DataFrame:
     are those of the payload that was read; a revisit has those of the response it refers to.
     """
     files = index.select("file").distinct()
+    files = files.repartition(max(1, files.count()))  # a few names, but each is a bundle to unpack
 
     def read(batches):
         for batch in batches:
