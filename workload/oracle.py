@@ -420,9 +420,8 @@ def normalize_modern(tag="mo"):
 
 
 def neon_flagged(tag):
-    return f"""{tag}f AS (SELECT *, coalesce(trade_id <> '' AND trade_id IN (
-      SELECT parent_trade_id FROM {tag}v WHERE parent_trade_id IS NOT NULL), FALSE) AS is_parent
-      FROM {tag}v)"""
+    return f"""{tag}p AS (SELECT DISTINCT parent_trade_id AS named FROM {tag}v WHERE parent_trade_id IS NOT NULL),
+{tag}f AS (SELECT {tag}v.*, named IS NOT NULL AS is_parent FROM {tag}v LEFT JOIN {tag}p ON trade_id = named)"""
 
 
 def normalize_neon(tag="ne"):
