@@ -16,6 +16,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ MIN_PAIRS = 32
 RULES_PER_ROUND = 4096
 SAMPLE = 128  # symbols between two entries of a shard's position index
 CACHED_WORDS = 800_000
+SLICE = 4 << 20  # characters whose words are looked up together
 
 
 class Encoder:
@@ -103,13 +105,36 @@ class Encoder:
         if not self.by_word:
             return [np.array(e.ids, "<u4").tobytes()
                     for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
-        out = []
-        for i in range(0, len(batch), 256):
-            split = [_STOP.sub(r" \1", t.encode().lower().decode().replace("\n", " ")).split(" ")
-                     for t in batch[i:i + 256]]
-            known = self._table(set().union(*split))
-            out += [b"".join(map(known.__getitem__, s)) for s in split]
-        return out
+        out, start, filled = [], 0, 0
+        for i, text in enumerate(batch):
+            if i > start and filled + len(text) > SLICE:
+                out += self._slice(batch[start:i])
+                start, filled = i, 0
+            filled += len(text)
+        return out + self._slice(batch[start:])
+
+    def _slice(self, batch: list[str]) -> list[bytes]:
+        """The same for some texts, whose distinct words are looked up once."""
+        low = pc.replace_substring(pc.ascii_lower(pa.array(batch, pa.large_string())), "\n", " ")
+        words = pc.split_pattern(pc.replace_substring_regex(low, _STOP, r"\1 \2 "), " ")
+        coded = words.flatten().dictionary_encode()
+        seen = coded.dictionary.to_pylist()
+        known = self._table(set(seen))
+        spans = [known[w] for w in seen]
+        ids = np.frombuffer(b"".join(spans), "<u4")
+        sizes = np.fromiter(map(len, spans), np.int64, len(spans)) >> 2
+        ends, got = _runs(np.cumsum(sizes) - sizes, sizes, coded.indices.to_numpy(), ids)
+        cuts = (4 * np.concatenate([[0], ends])[words.offsets.to_numpy()]).tolist()
+        raw = got.tobytes()
+        return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray, which: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``values`` that ``which`` names, one behind the other, and where each ends."""
+    counts = sizes[which]
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    return ends, values[np.repeat(starts[which] - (ends - counts), counts) + np.arange(total)]
 
 
 def _spans(words: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -121,7 +146,7 @@ def _spans(words: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarr
 # Words of these letters are one run of letters before and after normalization.
 _PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 # A full stop or comma between an ASCII letter and a space is a word of its own.
-_STOP = re.compile("(?<=[a-z])([.,])(?= )")
+_STOP = "([a-z])([.,]) "
 
 _encoders: dict[str, Encoder] = {}
 
@@ -159,13 +184,14 @@ def repair(ids: np.ndarray, least: int = MIN_PAIRS, most: int = RULES_PER_ROUND)
         chosen = _frequent(codes, most, least)
         if not len(chosen):
             break
-        # A small hashed table rules out nearly all pairs before the exact search.
-        slot = lambda c: ((c.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).view(np.int64)
-        table = np.zeros(1 << 22, bool)
-        table[slot(chosen)] = True
-        at = np.flatnonzero(table[slot(codes)])
-        place = np.searchsorted(chosen, codes[at])
-        place[place == len(chosen)] = 0
+        # A hashed table names the pair that may be at a place. Of chosen pairs that share a slot only the
+        # last is replaced; the others are as frequent in the next round.
+        slot = lambda c: ((c.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).view(np.int64)
+        table = np.full(1 << 18, -1, np.int16 if len(chosen) < 1 << 15 else np.int32)
+        table[slot(chosen)] = np.arange(len(chosen))
+        found = table[slot(codes)]
+        at = np.flatnonzero(found >= 0)
+        place = found[at].astype(np.int64)
         hit = chosen[place] == codes[at]
         at, place = at[hit], place[hit]
         if len(at) > 1:  # of overlapping pairs every second one, counted from the first of the run
@@ -192,8 +218,9 @@ def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
     return lengths[first:]
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """The ids of a run of symbols, all nonterminals replaced level by level."""
+def rule_expansions(rules: np.ndarray, first: int) -> np.ndarray:
+    """The ids of all rules, one rule behind the other, replaced level by level."""
+    symbols = rules.ravel()
     while (deep := symbols >= first).any():
         width = np.where(deep, 2, 1)
         ends = np.cumsum(width)
@@ -205,6 +232,17 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
     return symbols
 
 
+def expand(symbols: np.ndarray, rules: np.ndarray, first: int, lengths: np.ndarray | None = None,
+           whole: np.ndarray | None = None) -> np.ndarray:
+    """The ids of a run of symbols; a nonterminal is copied from the expansion of its rule."""
+    lengths = expansion_lengths(rules, first) if lengths is None else lengths
+    whole = rule_expansions(rules, first) if whole is None else whole
+    values = np.concatenate([np.arange(first), whole])
+    sizes = np.concatenate([np.ones(first, np.int64), lengths])
+    starts = np.concatenate([np.arange(first), first + np.cumsum(lengths) - lengths])
+    return _runs(starts, sizes, symbols, values)[1]
+
+
 def pack_shard(ids: np.ndarray) -> bytes:
     """Header, rules, expansion lengths, position index and symbols of one shard."""
     symbols, rules, first = repair(ids)
@@ -234,13 +272,19 @@ class Shard:
         self.lengths = take("<u4", rules)
         self.index = take("<u4", -(-symbols // SAMPLE))
         self.symbols = take(f"<u{width}", symbols)
+        self.whole: np.ndarray | None = None  # the rules' expansions, once they are needed
+
+    def expand(self, symbols: np.ndarray) -> np.ndarray:
+        if self.whole is None:
+            self.whole = rule_expansions(self.rules, self.first)
+        return expand(symbols, self.rules, self.first, self.lengths, self.whole)
 
     def ids(self, start: int, stop: int) -> np.ndarray:
         if stop <= start:
             return np.zeros(0, np.int64)
         block = int(np.searchsorted(self.index, start, "right")) - 1
         last = int(np.searchsorted(self.index, stop, "left"))
-        part = expand(self.symbols[block * SAMPLE:last * SAMPLE], self.rules, self.first)
+        part = self.expand(self.symbols[block * SAMPLE:last * SAMPLE])
         shift = int(self.index[block])
         return part[start - shift:stop - shift]
 
@@ -269,7 +313,7 @@ def read_documents(uri: str):
         for k in range(n_shards):
             src.seek(int(offsets[k]))
             shard = Shard(src.read(int(offsets[k + 1] - offsets[k])))
-            whole = expand(shard.symbols, shard.rules, shard.first)
+            whole = shard.expand(shard.symbols)
             for row, _, start, count in table[table[:, 1] == k].tolist():
                 yield row, whole[start:start + count]
 
