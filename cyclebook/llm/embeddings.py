@@ -26,10 +26,16 @@ MAX_PIVOTS = 4096
 
 
 def usable(vector: str):
-    """Whether a vector has a direction: every component finite and a finite length above zero."""
+    """Whether a vector has a direction: every component finite and one of them not zero."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    square = F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x)
-    return F.coalesce(finite, F.lit(False)) & F.coalesce((square > 0) & (square < float("inf")), F.lit(False))
+    return F.coalesce(finite, F.lit(False)) & F.coalesce(F.exists(vector, lambda x: x != 0), F.lit(False))
+
+
+def in_range(vector: str):
+    """The vector, divided by its largest component where squares would overflow or vanish."""
+    largest = F.array_max(F.transform(vector, lambda x: F.abs(x)))
+    extreme = (largest > 0) & ~largest.between(1e-100, 1e100)
+    return F.when(extreme, F.transform(vector, lambda x: x / largest)).otherwise(F.col(vector))
 
 
 def _pivots(unique: DataFrame) -> dict[str, np.ndarray]:
@@ -127,6 +133,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
                           F.col(embedding).cast("array<double>").alias("vec"), F.col(label).alias("label"))
     ok = usable("vec") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     rows = rows.withColumn("group", F.when(ok, F.concat_ws(":", F.col("label").cast("string"), F.size("vec"))))
+    rows = rows.withColumn("vec", F.when(F.col("group").isNotNull(), in_range("vec")))
     unique = staged(rows.filter("group is not null").groupBy("group", "vec")
                     .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "vectors")
     radius = float(np.sqrt(max(0.0, 2 - 2 * cosine)))

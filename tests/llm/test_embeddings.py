@@ -76,3 +76,11 @@ def test_rows_without_id_or_shared_ids(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert E.near_duplicates(empty).collect() == []
+
+
+def test_very_large_and_very_small_components(spark):
+    rows = [(1, [1e200, 1e200], 1), (2, [2e200, 2e200], 1), (3, [1e-200, 1e-200], 1), (4, [1e300, -1e300], 1), (5, [5e-324, 0.0], 1),
+            (6, [1.0, 1.0], 1), (7, [0.0, 0.0], 1), (8, [3.0, 0.0], 1), (9, [float("inf"), 1.0], 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.near_duplicates(table).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 6: (3, 1), 4: (0, 4), 5: (1, 5), 8: (1, 5), 7: (0, 7), 9: (0, 9)}
