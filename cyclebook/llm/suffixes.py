@@ -16,6 +16,7 @@ number, which the answers join without moving a text.
 
 from __future__ import annotations
 
+import secrets
 import uuid
 
 import numpy as np
@@ -28,8 +29,10 @@ from cyclebook.llm.suffix_sort import LENGTH, repeated_windows
 
 PACK_BYTES = 2 << 20
 GRAM = 32
+WORD = 8
 SPAN = LENGTH - GRAM + 1  # 32-grams in a window
 HOT_SEGMENTS = 4096  # different segments from which an anchor's windows go out one by one
+BUCKET_BYTES = 16 << 20  # text of the corpus for which there is one bucket
 BLOCK_BYTES = 4 << 20  # segment bytes that are sorted at a time
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -65,17 +68,22 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
 class Pack:
     """The windows of a pack, as segments: maximal runs of windows with one anchor."""
 
-    def __init__(self, data: bytes, ends: np.ndarray) -> None:
+    def __init__(self, data: bytes, ends: np.ndarray, key: int = 0) -> None:
         self.bytes = np.frombuffer(data, np.uint8)
         n = len(self.bytes)
         self.start = self.count = np.zeros(0, np.int64)
         self.anchor = self.segment = np.zeros(0, np.uint64)
         if n < LENGTH:
             return
+        # Every eight bytes are scrambled under the run's secret key before they enter a polynomial, so no
+        # pair of texts is made to collide and equal hashes of different texts are a matter of chance.
+        words = np.ndarray((n - WORD + 1,), "<u8", data, 0, (1,))
         power, self.inverse = _power_tables(n + 1)
-        self.prefix = np.concatenate([[np.uint64(0)], np.cumsum(
-            (self.bytes.astype(np.uint64) + np.uint64(1)) * power[:n], dtype=np.uint64)])
-        grams = _mix((self.prefix[GRAM:] - self.prefix[:-GRAM]) * self.inverse[:n - GRAM + 1])
+        self.prefix = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(_mix(words ^ np.uint64(key)) * power[:len(words)], dtype=np.uint64, out=self.prefix[1:])
+        inside = GRAM - WORD + 1
+        grams = (self.prefix[inside:] - self.prefix[:-inside]) * self.inverse[:n - GRAM + 1]
+        grams ^= grams >> np.uint64(32)
         least = _sliding(grams, SPAN, np.minimum)
         valid = np.ones(len(least), bool)
         for end in ends[ends < n].tolist():  # windows that would cross into the next document
@@ -104,7 +112,7 @@ class Pack:
         self.segment = self.hashes(self.start, self.count + LENGTH - 1)
 
     def hashes(self, start: np.ndarray, length) -> np.ndarray:
-        raw = (self.prefix[start + length] - self.prefix[start]) * self.inverse[start]
+        raw = (self.prefix[start + length - WORD + 1] - self.prefix[start]) * self.inverse[start]
         return _mix(raw + np.asarray(length, np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -133,13 +141,13 @@ class Keys:
         self.sample[self.anchor_of] = pack.segment
 
 
-def _ask(buckets: int):
+def _ask(buckets: int, secret: int):
     """Pass 1, pack side: a row for each bucket with the hashes that belong there."""
     def run(batches):
         for batch in batches:
             rows = []
             for number, ends, data in zip(*(batch[c].to_pylist() for c in ("pack", "ends", "data"))):
-                keys = Keys(Pack(data, np.array(ends, np.int64)))
+                keys = Keys(Pack(data, np.array(ends, np.int64), secret))
                 note = np.minimum(keys.kinds, 32767).astype("<i2") * np.where(keys.several, -1, 1).astype("<i2")
                 for b, at in _by_bucket(keys.anchors, buckets):
                     rows.append((b, number, 0, keys.anchors[at].tobytes(),
@@ -221,13 +229,13 @@ def _starts(pack: Pack, chosen: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - count), count)
 
 
-def _send(buckets: int):
+def _send(buckets: int, secret: int):
     """Pass 2, pack side: the segments to sort, a row for each bucket."""
     def run(batches):
         for batch in batches:
             rows = []
             for number, ends, data, answers in zip(*(batch[c].to_pylist() for c in ("pack", "ends", "data", "answers"))):
-                pack = Pack(data, np.array(ends, np.int64))
+                pack = Pack(data, np.array(ends, np.int64), secret)
                 if not len(pack.start):
                     continue
                 _, keys, start, count = _plan(pack, answers, buckets)
@@ -289,7 +297,7 @@ def _sort_bucket(key, table):
         "starts": pa.array([starts[a:b].astype("<i4").tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())})
 
 
-def _mark(buckets: int, with_text: bool):
+def _mark(buckets: int, with_text: bool, secret: int):
     """Pass 3: a row for each document with its removed spans and what is kept."""
     import hashlib
 
@@ -298,7 +306,7 @@ def _mark(buckets: int, with_text: bool):
             names = ("pack", "ids", "ends", "data", "answers", "found")
             for _, ids, ends, data, answers, found in zip(*(batch[c].to_pylist() for c in names)):
                 ends = np.array(ends, np.int64)
-                pack = Pack(data, ends)
+                pack = Pack(data, ends, secret)
                 change = np.zeros(len(data) + 1, np.int32)
                 if len(pack.start):
                     gone = _plan(pack, answers, buckets)[0]
@@ -350,18 +358,23 @@ def _pack_documents(batches, pack_bytes: int):
 
 def repeated_passages(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       with_text: bool = False, pack_bytes: int = PACK_BYTES,
-                      hot_segments: int = HOT_SEGMENTS) -> DataFrame:
+                      hot_segments: int = HOT_SEGMENTS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``doc_id, n_bytes, spans, kept_sha256`` of each row, and ``kept`` (binary) ``with_text``.
 
     Spans are the maximal runs of UTF-8 bytes covered by a string of ``LENGTH`` bytes that also begins
     at a smaller doc_id, or earlier in the same document. Null texts are empty; null ids come
     first; rows that share an id are in the order of a hash of their texts. Documents shorter than
     the length keep everything. A string that a third of all documents hold is sent once by
-    each pack. An empty table gives an empty one; other columns are not read. ``pack_bytes`` and
-    ``hot_segments`` set how the work is cut and never change the result.
+    each pack. An empty table gives an empty one; other columns are not read. ``pack_bytes``,
+    ``hot_segments`` and ``bucket_bytes``, the text for which there is a bucket, set how the work is cut
+    and never change the result.
+
+    What is told apart by hashes alone is told apart by 64 bits under a key that is drawn for each run.
     """
     spark = documents.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    secret = secrets.randbits(64)
+    size = documents.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = (rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
                .withColumn("part", F.spark_partition_id().cast("long")))
@@ -370,18 +383,18 @@ def repeated_passages(documents: DataFrame, doc_id: str = "doc_id", text: str =
      .write.bucketBy(buckets, "pack").option("path", new_folder(spark, "packs")).saveAsTable(name))
     try:
         packs = spark.table(name)
-        asked = packs.mapInArrow(_ask(buckets), "bucket long, pack long, kind int, keys binary, note binary")
+        asked = packs.mapInArrow(_ask(buckets, secret), "bucket long, pack long, kind int, keys binary, note binary")
         flags = staged(asked.groupBy("bucket").applyInArrow(
             _answer(hot_segments), "pack long, bucket long, kind int, flags binary"), "flags")
         answers = flags.groupBy("pack").agg(F.collect_list(F.struct("kind", "bucket", "flags")).alias("answers"))
         known = packs.join(answers, "pack", "left")
         sent = known.select("pack", "ends", "data", "answers").mapInArrow(
-            _send(buckets), "bucket long, pack long, keys binary, starts binary, counts binary, text binary")
+            _send(buckets, secret), "bucket long, pack long, keys binary, starts binary, counts binary, text binary")
         found = staged(sent.groupBy("bucket").applyInArrow(_sort_bucket, "pack long, starts binary"), "repeats")
         found = found.groupBy("pack").agg(F.collect_list("starts").alias("found"))
         ddl = "doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept_sha256 string"
         marked = known.join(found, "pack", "left").mapInArrow(
-            _mark(buckets, with_text), ddl + (", kept binary" if with_text else ""))
+            _mark(buckets, with_text, secret), ddl + (", kept binary" if with_text else ""))
         return staged(marked, "passages")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -111,3 +111,27 @@ def test_null_and_shared_ids(spark):
 
 def test_empty_table(spark):
     assert X.repeated_passages(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+# Two texts that a polynomial hash of their bytes modulo 2^64 takes for one.
+A = "ruavlnqhxbijpkdbaddzeptfjlgzewvwckrlsrnfznviixibkqdwihpxtwhavsqadnilvfqhhvdiddgtnlftvgbjetnmhnzftahy"
+B = "qvbummphzbglnkfbabeyershgkhyhxtugkooortbxpxgkvefisdwkfnxxwharsuaamjkygllhtdidfippleutgehdumnimxhtaix"
+
+
+@pytest.mark.parametrize("texts, removed", [((A, B, B), (0, 0, 100)), ((A, A, B, B), (0, 100, 0, 100)),
+                                            (("z" + A, B, "x" + B + A), (0, 0, 200))])
+def test_texts_made_to_collide_are_told_apart(spark, texts, removed):
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(X.passage_digest(table).collect())
+    assert tuple(r.n_removed for r in got) == removed
+
+
+def test_the_key_and_the_number_of_buckets_change_nothing(spark, monkeypatch):
+    rng = random.Random(9)
+    parts = ["".join(rng.choices("ab c", k=150)) for _ in range(12)]
+    docs = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(6)))) for i in range(60)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    want = sorted(map(str, X.repeated_passages(table).collect()))
+    for key in (0, 1, 2 ** 64 - 1):
+        monkeypatch.setattr(X.secrets, "randbits", lambda bits, key=key: key)
+        assert sorted(map(str, X.repeated_passages(table, bucket_bytes=2000).collect())) == want
