@@ -653,6 +653,44 @@ CANDLES = Q.with_(
     "al AS (SELECT * FROM icn UNION ALL BY NAME SELECT * FROM oxn)", Q.backfill("al", "bf"), Q.enrich("bf"),
     select=Q.ohlc("date_trunc('day', exec_datetime)::TIMESTAMP", "broker, source_file DESC, source_line").replace(Q.COMM, Q.ONE_A))
 
+FILE_ROWS = 10_000
+
+
+def put_export(rows: DataFrame, folder: str) -> None:
+    """CSV files of at most ``FILE_ROWS`` rows."""
+    rows.coalesce(1).write.option("header", True).option("maxRecordsPerFile", FILE_ROWS).csv(folder)
+
+
+def inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Files and bytes of two brokers' exports, counted without reading them."""
+    folder = run_folder(spark, "inventory")
+    put_export(A.raw_export(spark, sf, "ICE").select(*CSV_COLUMNS), f"{folder}/ICE")
+    put_export(A.raw_export(spark, sf, "OneX").select("trade_id", "qty").filter("trade_id LIKE '%1'"), f"{folder}/OneX")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # the other brokers have no folder
+        found = files.inventory_counts(files.source_inventory(spark, folder))
+    return found.select("broker", "files", (F.col("bytes") > 0).alias("filled"), F.col("latest").isNotNull().alias("dated"))
+
+
+def file_provenance(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by the file they were read from."""
+    folder = run_folder(spark, "provenance")
+    put_export(A.raw_export(spark, sf, "ICE").select(*CSV_COLUMNS), folder)
+    rows = files.read_csv_folder(spark, folder).groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("source_file_modified").alias("ages"),
+        F.countDistinct("source_block", "source_row").alias("places"))
+    return rows.agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("rows"), F.max("n").alias("most"),
+                    F.max("ages").alias("ages"), F.sum("places").alias("places"))
+
+
+def preferred_sheet(spark: SparkSession, sf: str) -> DataFrame:
+    """A workbook's preferred sheet, and files of the folder that have no such sheet."""
+    folder, raw = run_folder(spark, "sheets"), A.raw_export(spark, sf, "Modern").select("trade_number", "product", "volume")
+    put_export(raw.filter("trade_number LIKE '%1'").withColumn("remark", F.lit("loose")), f"{folder}/Modern")
+    put_export(raw.filter("trade_number NOT LIKE '%1'"), f"{folder}/Modern/Trade Report")
+    return files.read_source(spark, f"{folder}/Modern", "Trade Report").select("trade_number", "product", "volume", "remark")
+
+
 def exported(export, table):
     """A CSV export of a report read back with the report's types."""
     def run(trades: DataFrame) -> DataFrame:
@@ -699,6 +737,16 @@ register("read_landed_sheets", landed_sheets, Q.with_(
     select=f"""SELECT {CELL('trade_id')}, {CELL('product')}, {CELL('price')}, NULL::VARCHAR AS sleeved,
       'Neon' AS source_sheet FROM a UNION ALL
       SELECT {CELL('trade_id')}, NULL, {CELL('price')}, {CELL('sleeved')}, 'OneX' FROM b"""))
+register("source_inventory", inventory, Q.with_(
+    Q.raw("ICE"), Q.raw("OneX", "ox"), select=f"""SELECT 'ICE' AS broker,
+      CAST(ceil(count(*) / {FILE_ROWS}.0) AS BIGINT) AS files, TRUE AS filled, TRUE AS dated FROM raw UNION ALL
+      SELECT 'OneX', CAST(ceil(count(*) / {FILE_ROWS}.0) AS BIGINT), TRUE, TRUE FROM ox WHERE trade_id LIKE '%1'"""))
+register("file_provenance", file_provenance, Q.with_(
+    Q.raw("ICE"), select=f"""SELECT CAST(ceil(count(*) / {FILE_ROWS}.0) AS BIGINT) AS files, count(*) AS rows,
+      least(count(*), {FILE_ROWS}) AS most, 1 AS ages, count(*) AS places FROM raw"""))
+register("preferred_sheet", preferred_sheet, Q.with_(
+    Q.raw("Modern"), select=f"""SELECT trade_number, nullif(trim(product, ' '), '') AS product, {CELL('volume')},
+      CASE WHEN trade_number LIKE '%1' THEN 'loose' END AS remark FROM raw"""))
 register("load_reference", loaded_reference, RULES_1[1])
 on_star("export_monthly", exported(views.export_monthly, index.monthly_compare_full),
         Q.on_trades("SELECT * FROM wide", Q.WIDE))
