@@ -33,7 +33,7 @@ from cyclebook.sources.files import (
 from cyclebook.sources.lines import MAX_REJECTS, surveyed
 from cyclebook.sources.sinks import check_shared, read_table, write_grouped, write_table
 
-BUCKETS = 64
+BUCKETS = 32  # of latest versions, by id; so many folders are listed without a job
 _LOG = "version long, build string, builder string, files long, created timestamp"
 _FILES = "broker string, path string, file_name string, modified timestamp, length long"
 _PARTS = "broker string, bucket int, build string"
