@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclebook.llm.shared import new_folder, open_file, texts, write_file
+from cyclebook.llm.shared import new_folder, open_file, write_file
 
 MAGIC = b"RPTOK001"
 SHARD_IDS = 1 << 20
@@ -28,7 +28,8 @@ MIN_PAIRS = 32
 RULES_PER_ROUND = 4096
 SAMPLE = 128  # symbols between two entries of a shard's position index
 CACHED_WORDS = 800_000
-SLICE = 4 << 20  # characters whose words are looked up together
+GROUP = 128  # words that the library encodes as one text
+SLICE = 4 << 20  # bytes of text whose words are looked up together
 
 
 class Encoder:
@@ -66,8 +67,9 @@ class Encoder:
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         """Ids of each word."""
         learnt = {}
-        plain = [w for w in new if _PLAIN.fullmatch(w)]
-        other = [w for w in new if not _PLAIN.fullmatch(w)]
+        plain, other = [], []
+        for w in new:  # letters A-Z are in lower case by now
+            (plain if w.isascii() and w.isalpha() or _PLAIN.fullmatch(w) else other).append(w)
         for words, got in self._groups(plain, " "):
             ends = np.flatnonzero(self.last[got]) + 1
             if len(ends) == len(words):
@@ -83,43 +85,46 @@ class Encoder:
         return learnt
 
     def _groups(self, words: list[str], gap: str):
-        groups = [words[i:i + 512] for i in range(0, len(words), 512)]
+        groups = [words[i:i + GROUP] for i in range(0, len(words), GROUP)]
         got = self.tokenizer.encode_batch_fast([gap.join(g) for g in groups], add_special_tokens=False)
         return ((g, np.array(e.ids, "<u4")) for g, e in zip(groups, got))
 
-    def _table(self, seen: set[str]) -> dict[str, bytes]:
+    def _table(self, seen: list[str]) -> dict[str, bytes]:
         """A table with the ids of all words of ``seen``; it is the cache where that has room."""
-        if not (new := seen.difference(self.cache)):
-            return self.cache
-        learnt = self._learn(sorted(new))
-        if len(self.cache) + len(learnt) <= CACHED_WORDS:
-            self.cache.update(learnt)
-            return self.cache
+        cache = self.cache
+        if not (new := [w for w in seen if w not in cache]):
+            return cache
+        learnt = self._learn(new)
+        if len(cache) + len(learnt) <= CACHED_WORDS:
+            cache.update(learnt)
+            return cache
         # The cache starts again from these words; if even they have no room, they serve once.
-        learnt.update((w, self.cache[w]) for w in seen.difference(new))
+        learnt.update((w, cache[w]) for w in seen if w in cache)
         self.cache = learnt if len(learnt) <= CACHED_WORDS else {}
         return learnt
 
-    def encode(self, batch: list[str]) -> list[bytes]:
+    def encode(self, batch: list[str] | pa.Array) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if not self.by_word:
+            batch = batch if isinstance(batch, list) else batch.to_pylist()
             return [np.array(e.ids, "<u4").tobytes()
                     for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+        column = pa.array(batch, pa.large_string()) if isinstance(batch, list) else batch.cast(pa.large_string())
         out, start, filled = [], 0, 0
-        for i, text in enumerate(batch):
-            if i > start and filled + len(text) > SLICE:
-                out += self._slice(batch[start:i])
+        for i, size in enumerate(pc.binary_length(column).to_pylist()):
+            if i > start and filled + size > SLICE:
+                out += self._slice(column.slice(start, i - start))
                 start, filled = i, 0
-            filled += len(text)
-        return out + self._slice(batch[start:])
+            filled += size
+        return out + self._slice(column.slice(start))
 
-    def _slice(self, batch: list[str]) -> list[bytes]:
+    def _slice(self, batch: pa.Array) -> list[bytes]:
         """The same for some texts, whose distinct words are looked up once."""
-        low = pc.replace_substring(pc.ascii_lower(pa.array(batch, pa.large_string())), "\n", " ")
+        low = pc.replace_substring(pc.ascii_lower(batch), "\n", " ")
         words = pc.split_pattern(pc.replace_substring_regex(low, _STOP, r"\1 \2 "), " ")
         coded = words.flatten().dictionary_encode()
         seen = coded.dictionary.to_pylist()
-        known = self._table(set(seen))
+        known = self._table(seen)
         spans = [known[w] for w in seen]
         ids = np.frombuffer(b"".join(spans), "<u4")
         sizes = np.fromiter(map(len, spans), np.int64, len(spans)) >> 2
@@ -134,7 +139,10 @@ def _runs(starts: np.ndarray, sizes: np.ndarray, which: np.ndarray, values: np.n
     counts = sizes[which]
     ends = np.cumsum(counts)
     total = int(ends[-1]) if len(ends) else 0
-    return ends, values[np.repeat(starts[which] - (ends - counts), counts) + np.arange(total)]
+    kind = np.int32 if max(total, len(values)) < 1 << 31 else np.int64
+    at = np.repeat((starts[which] - (ends - counts)).astype(kind), counts)
+    at += np.arange(total, dtype=kind)
+    return ends, values[at]
 
 
 def _spans(words: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -349,7 +357,7 @@ def write_tokens(documents: DataFrame, vocabulary: str, folder: str | None = Non
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for key, at, data in zip(batch["doc_id"].to_pylist(), batch["part"].to_pylist(),
-                                     coder.encode(texts(batch["text"]))):
+                                     coder.encode(batch["text"].fill_null(""))):
                 part = at
                 data += end
                 n = len(data) // 4
