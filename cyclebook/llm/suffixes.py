@@ -77,10 +77,13 @@ class Pack:
             return
         # Every eight bytes are scrambled under the run's secret key before they enter a polynomial, so no
         # pair of texts is made to collide and equal hashes of different texts are a matter of chance.
-        words = np.ndarray((n - WORD + 1,), "<u8", data, 0, (1,))
+        words = np.ndarray((n - WORD + 1,), "<u8", data, 0, (1,)) ^ np.uint64(key)
+        words *= np.uint64(0xBF58476D1CE4E5B9)
+        words ^= words >> np.uint64(32)
         power, self.inverse = _power_tables(n + 1)
+        words *= power[:len(words)]
         self.prefix = np.zeros(len(words) + 1, np.uint64)
-        np.cumsum(_mix(words ^ np.uint64(key)) * power[:len(words)], dtype=np.uint64, out=self.prefix[1:])
+        np.cumsum(words, out=self.prefix[1:])
         inside = GRAM - WORD + 1
         grams = (self.prefix[inside:] - self.prefix[:-inside]) * self.inverse[:n - GRAM + 1]
         grams ^= grams >> np.uint64(32)
