@@ -117,3 +117,16 @@ def test_shapes_leave_every_layout_to_its_pattern(text_table, monkeypatch):
     looked = parsed()
     monkeypatch.setattr(dates, "_may_fit", lambda c, pattern: F.lit(True))
     assert parsed() == looked
+
+
+def test_a_text_is_looked_at_once_for_each_order(spark):
+    """The cost of a date is a few patterns, however many layouts and clocks are accepted."""
+    for column, most in ((dates.parse_date("x", ("ymd", "mdy", "dmy")), 6), (dates.modern_timestamp("x"), 6),
+                         (dates.permissive_timestamp("x"), 12), (dates.onex_date("x"), 8)):
+        assert str(column).count("regexp_replace(") <= most
+
+
+def test_years_of_two_digits_and_halves_of_a_day(text_table):
+    table = text_table("31/12/68 12:15:01 AM", "1.2.69 12:15:01 pm", "13-1-2 1:15:01 PM", "5 Mar 69 11:59:59 AM", "31-12/32 x")
+    at = [str(r["at"]) for r in table.select("x", dates.permissive_timestamp("x").alias("at")).orderBy("x").collect()]
+    assert at == ["1969-01-02 12:15:01", "2013-01-02 13:15:01", "None", "2068-12-31 00:15:01", "1969-03-05 11:59:59"]
