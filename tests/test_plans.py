@@ -61,3 +61,20 @@ def test_copies_and_candles_do_not_sort_to_aggregate(spark):
     for name in ("sleeve_collapse", "ohlc_day", "ohlc_equal_instants"):
         assert "SortAggregate" not in plan(spark, name), name
     assert "Window" not in plan(spark, "seasonality_bars_recent").split("HashAggregate")[0]
+
+
+def test_exports_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    import csv
+
+    from workload import queries
+
+    monkeypatch.setattr(queries, "FILE_ROWS", 10)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        queries.put_export(spark.range(95).repartition(5), str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = sorted((tmp_path / "out").glob("*.csv"))
+    rows = [[int(r["id"]) for r in csv.DictReader(f.open())] for f in files]
+    assert sorted(map(len, rows)) == [5] + [10] * 9 and sorted(sum(rows, [])) == list(range(95))
+    assert len({f.name.split("-")[1] for f in files}) > 1
