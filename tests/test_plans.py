@@ -78,3 +78,19 @@ def test_exports_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     rows = [[int(r["id"]) for r in csv.DictReader(f.open())] for f in files]
     assert sorted(map(len, rows)) == [5] + [10] * 9 and sorted(sum(rows, [])) == list(range(95))
     assert len({f.name.split("-")[1] for f in files}) > 1
+
+
+def test_a_computed_choice_computes_one_item(spark):
+    from workload.dialect import SPARK
+
+    row = spark.range(1).selectExpr(SPARK.pick(["upper('a')", "CAST(raise_error('computed') AS STRING)"], "id") + " AS x")
+    assert row.first()["x"] == "A"
+
+
+def test_wide_rows_are_read_in_small_splits(spark):
+    from workload import adapters
+
+    key = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(key, "128m")
+    adapters.raw_export(spark, SF, "ICE")
+    assert spark.conf.get(key) == "8m" and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
