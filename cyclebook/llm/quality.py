@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclebook.llm.shared import add_columns, apart, staged, utf8
+from cyclebook.llm.shared import ROWS, add_columns, apart, staged, utf8
 
 BUCKETS = 1 << 14
 MAX_LABELLED = 40_000
@@ -48,18 +48,26 @@ def labelled_sample(labels: DataFrame, column: str, most: int = MAX_LABELLED) ->
     return {r.doc_id: r.y for r in rows}
 
 
+def _counted(batches, target: set[int]) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams by bucket of all documents and of the target's, which are taken from a batch some at a time."""
+    raw, chosen = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            part = batch.slice(start, ROWS)
+            for key, text in zip(part["doc_id"].to_pylist(), utf8(part["text"])):
+                n = np.bincount(buckets(text), minlength=BUCKETS)
+                raw += n
+                if key in target:
+                    chosen += n
+    return raw, chosen
+
+
 def _ratios(rows: DataFrame, target: set[int]) -> np.ndarray:
     """Counts over all documents, a row for each bucket and task, and the smoothed log ratios."""
     good = rows.sparkSession.sparkContext.broadcast(target)
 
     def count(batches):
-        raw, chosen = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            for key, text in zip(batch["doc_id"].to_pylist(), utf8(batch["text"])):
-                n = np.bincount(buckets(text), minlength=BUCKETS)
-                raw += n
-                if key in good.value:
-                    chosen += n
+        raw, chosen = _counted(batches, good.value)
         used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(chosen[used])],
                                          names=["bucket", "raw", "target"])

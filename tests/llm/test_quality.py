@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +98,14 @@ def test_empty_tables_and_missing_labels(spark):
     assert Q.sample_keys(none, some_labels).collect() == []
     assert all(r.kept for r in Q.sample_keys(some, no_labels).collect())
     assert Q.resample(none, no_labels).collect() == []
+
+
+def test_count_takes_some_documents_of_a_batch_at_a_time():
+    rows = 8 * Q.ROWS
+    batch = pa.record_batch({"doc_id": pa.array(range(rows), pa.int64()), "text": ["some words of a text " * 50] * rows})
+    tracemalloc.start()
+    raw, chosen = Q._counted([batch], {1, 2})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert raw.sum() == rows * len(Q.buckets(b"some words of a text " * 50)) and chosen.sum() * rows == raw.sum() * 2
+    assert peak < batch.nbytes / 2
