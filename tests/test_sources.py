@@ -1,6 +1,7 @@
 import datetime as dt
 import gzip
 import os
+import re
 import warnings
 
 import pytest
@@ -149,6 +150,18 @@ def test_line_numbers_in_files_of_several_blocks(spark, tmp_path):
         (f, i + 1, str(i)) for f in ("big.csv", "other.csv") for i in range(40, 2001, 40))
 
 
+def test_rejects_take_one_scan_besides_the_count_of_blocks(spark, tmp_path):
+    put(tmp_path / "r.csv", RAGGED)
+    put(tmp_path / "b.csv", "\n \nid,v\n1,2\nid,v\n\n3\nid,v\n")
+    put(tmp_path / "c.csv", "id,v\n1,2\n")
+    got = lines.rejected_lines(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation ?\[.*\] text", plan)) == 2
+    rows = sorted(tuple(r) for r in got.collect() if r.source_file != "r.csv")
+    assert rows == [("b.csv", 5, "repeated header", "id,v"), ("b.csv", 7, "too few fields", "3"),
+                    ("b.csv", 8, "repeated header", "id,v")]
+
+
 def test_latin_letters_of_other_encodings(spark, tmp_path):
     put(tmp_path / "l.csv", "Name,Ort\nJürgen,Zürich\n", encoding="latin-1")
     put(tmp_path / "u.csv", "Name,Ort\nRené,Genève\n")
