@@ -162,6 +162,25 @@ def test_sleeve_audit_is_the_complement(raw_rows):
         assert all(r.economic_row_count > 1 and r.economic_keep_rank > 1 for r in audit)
 
 
+def test_sleeve_audit_keeps_no_other_columns(raw_rows, monkeypatch):
+    """What is written and moved are the audited columns and those of the order, not the cleaned keys."""
+    kept, write = {}, normalize.scratch
+
+    def watched(spark):
+        keep = write(spark)
+
+        def run(df, name):
+            kept[name] = df.columns
+            return keep(df, name)
+        return run
+
+    monkeypatch.setattr(normalize, "scratch", watched)
+    raw = raw_rows("OneX", *(onex_row(trade_id=str(i), sleeved="Y" if i == 2 else None) for i in range(6)))
+    audit = normalize.dropped_sleeves(normalize.onex_economics(normalize.latest_onex(raw)))
+    assert by(audit, "trade_id", "economic_keep_rank") == {"1": 2, "3": 3, "4": 4, "5": 5, "2": 6}
+    assert not [c for c in kept["copies"] if c.startswith("k_") or c in ("location", "qty_m3", "price_num")]
+
+
 def test_older_versions(raw_rows):
     neon = raw_rows("Neon", neon_row(trade_id="5"), neon_row(trade_id="5", price="1", _modified=LATE),
                     neon_row(trade_id=" "), neon_row(trade_id=None))

@@ -46,6 +46,21 @@ def test_rank_within_equals_window(spark, keep):
     assert sorted(map(str, got.select("k", "v", "t", "rn", "n").collect())) == sorted(map(str, want.collect()))
 
 
+@pytest.mark.parametrize("most, joins", [(1, "SortMergeJoin"), (2, "BroadcastHashJoin")])
+def test_few_keys_are_ranked_without_a_shuffle(spark, keep, monkeypatch, most, joins):
+    monkeypatch.setattr(ranking, "MAX_MARKS", most)
+    df = spark.createDataFrame([(i % 2, i) for i in range(20)], "k int, v int")
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = ranking.rank_within(df, ["k"], [F.col("v")], "rn", "n", keep)
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        assert {(r["v"], r["rn"], r["n"]) for r in got.collect()} == {(i, i // 2 + 1, 10) for i in range(20)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert ("SortMergeJoin" in plan) == (joins == "SortMergeJoin")
+
+
 def test_numbered_is_one_sort_over_all_rows(spark, keep):
     df = spark.range(10_000).selectExpr("id * 7919 % 10007 AS v").repartition(9)
     rows = ranking.numbered(df, [F.col("v").desc()], "at", keep).orderBy("at").collect()
