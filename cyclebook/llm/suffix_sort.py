@@ -48,22 +48,34 @@ def _dense(order: np.ndarray, new: np.ndarray) -> np.ndarray:
 
 
 def _head_ranks(words: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Dense ranks of the 32 bytes at each place."""
-    columns = [words[at + 8 * k].astype(np.uint64) for k in range(4)]
-    order = np.lexsort(columns[::-1])
-    new = np.zeros(len(at), bool)
-    if len(at):
-        new[0] = True
-    for c in columns:
-        s = c[order]
-        new[1:] |= s[1:] != s[:-1]
+    """Dense ranks of the 32 bytes at each place: by the first eight, then ties by the next."""
+    first = words[at].astype(np.uint64)
+    order = np.argsort(first)
+    new = np.ones(len(at), bool)
+    new[1:] = np.diff(first[order]) != 0
+    for k in range(1, 4):
+        tied = ~new
+        tied[:-1] |= ~new[1:]
+        tied = np.flatnonzero(tied)
+        if not len(tied):
+            break
+        own = order[tied]
+        part = words[at[own] + 8 * k].astype(np.uint64)
+        by = np.argsort(part)
+        rank = _dense(by, np.concatenate([[True], np.diff(part[by]) != 0]))
+        run = np.cumsum(new[tied]) - 1
+        code = run * (len(tied) + 1) + rank
+        by = np.argsort(code)
+        order[tied] = own[by]
+        code = code[by]
+        new[tied[1:]] = code[1:] != code[:-1]
     return _dense(order, new)
 
 
 def _double(rank: np.ndarray, later: np.ndarray) -> np.ndarray:
     """Dense ranks of pairs of ranks."""
     code = rank * (len(rank) + 2) + later + 1
-    order = np.argsort(code, kind="stable")
+    order = np.argsort(code)
     s = code[order]
     return _dense(order, np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.zeros(0, bool))
 
@@ -99,16 +111,28 @@ def _network(n: int):
         p *= 2
 
 
-def _sort_ties(tied: np.ndarray, group: np.ndarray, at: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """``tied`` in suffix order; ``group`` ranks the first 32 bytes, the cover decides the rest."""
+def _sort_ties(tied: np.ndarray, edges: np.ndarray, at: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """``tied`` with each group, from one edge to the next, in suffix order, which the cover decides.
+
+    Groups of one size are sorted side by side, so that a group takes the steps of its own size.
+    """
     out = tied.copy()
-    for i, j in _network(len(out)):
-        a, b = out[i], out[j]
-        pa, pb = at[a], at[b]
-        shift = SHIFT[pa % PERIOD, pb % PERIOD]
-        ga, gb = group[a], group[b]
-        swap = (ga > gb) | ((ga == gb) & (ranks[pa + shift] > ranks[pb + shift]))
-        out[i[swap]], out[j[swap]] = b[swap], a[swap]
+    sizes = np.diff(edges)
+    by_size = np.argsort(sizes, kind="stable")
+    bounds = np.concatenate([[0], np.flatnonzero(np.diff(sizes[by_size])) + 1, [len(sizes)]])
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        size = int(sizes[by_size[lo]])
+        places = edges[by_size[lo:hi]] + np.arange(size)[:, None]
+        rows = tied[places]
+        spots = at[rows]
+        for i, j in _network(size):
+            pa, pb = spots[i], spots[j]
+            shift = SHIFT[pa % PERIOD, pb % PERIOD]
+            swap = ranks[pa + shift] > ranks[pb + shift]
+            spots[i], spots[j] = np.where(swap, pb, pa), np.where(swap, pa, pb)
+            a, b = rows[i], rows[j]
+            rows[i], rows[j] = np.where(swap, b, a), np.where(swap, a, b)
+        out[places] = rows
     return out
 
 
@@ -136,7 +160,7 @@ def repeated_windows(text: np.ndarray, at: np.ndarray, place: np.ndarray, block:
     start = 0
     while start < len(edges) - 1:
         stop = max(start + 1, int(np.searchsorted(edges, edges[start] + block, "right")) - 1)
-        part = _sort_ties(tied[edges[start]:edges[stop]], group, at, ranks)
+        part = _sort_ties(tied[edges[start]:edges[stop]], edges[start:stop + 1] - edges[start], at, ranks)
         a, b = at[part[:-1]], at[part[1:]]
         same = group[part[:-1]] == group[part[1:]]
         for k in (*range(PERIOD, LENGTH - 8, 8), LENGTH - 8):

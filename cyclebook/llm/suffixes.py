@@ -34,6 +34,7 @@ SPAN = LENGTH - GRAM + 1  # 32-grams in a window
 HOT_SEGMENTS = 4096  # different segments from which an anchor's windows go out one by one
 BUCKET_BYTES = 16 << 20  # text of the corpus for which there is one bucket
 BLOCK_BYTES = 4 << 20  # segment bytes that are sorted at a time
+CHUNK = 1 << 14  # places hashed at a time, whose arrays stay in a core's cache
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: list[np.ndarray] = []
@@ -65,6 +66,11 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return out
 
 
+def _chunks(n: int):
+    for a in range(0, n, CHUNK):
+        yield a, min(n, a + CHUNK)
+
+
 class Pack:
     """The windows of a pack, as segments: maximal runs of windows with one anchor."""
 
@@ -77,40 +83,56 @@ class Pack:
             return
         # Every eight bytes are scrambled under the run's secret key before they enter a polynomial, so no
         # pair of texts is made to collide and equal hashes of different texts are a matter of chance.
-        words = np.ndarray((n - WORD + 1,), "<u8", data, 0, (1,)) ^ np.uint64(key)
-        words *= np.uint64(0xBF58476D1CE4E5B9)
-        words ^= words >> np.uint64(32)
         power, self.inverse = _power_tables(n + 1)
-        words *= power[:len(words)]
+        words = np.ndarray((n - WORD + 1,), "<u8", data, 0, (1,))
         self.prefix = np.zeros(len(words) + 1, np.uint64)
-        np.cumsum(words, out=self.prefix[1:])
+        for a, b in _chunks(len(words)):
+            part = words[a:b] ^ np.uint64(key)
+            part *= np.uint64(0xBF58476D1CE4E5B9)
+            part ^= part >> np.uint64(32)
+            part *= power[a:b]
+            part[:1] += self.prefix[a:a + 1]
+            np.cumsum(part, out=self.prefix[a + 1:b + 1])
         inside = GRAM - WORD + 1
-        grams = (self.prefix[inside:] - self.prefix[:-inside]) * self.inverse[:n - GRAM + 1]
-        grams ^= grams >> np.uint64(32)
-        least = _sliding(grams, SPAN, np.minimum)
+        grams = np.empty(n - GRAM + 1, np.uint64)
+        least = np.empty(n - LENGTH + 1, np.uint64)
+        done = 0
+        for a, b in _chunks(len(grams)):
+            part = self.prefix[a + inside:b + inside] - self.prefix[a:b]
+            part *= self.inverse[a:b]
+            np.bitwise_xor(part, part >> np.uint64(32), out=grams[a:b])
+            if b >= done + SPAN:
+                least[done:b - SPAN + 1] = _sliding(grams[done:b], SPAN, np.minimum)
+                done = b - SPAN + 1
         valid = np.ones(len(least), bool)
         for end in ends[ends < n].tolist():  # windows that would cross into the next document
             valid[max(0, end - LENGTH + 1):end] = False
-        windows = np.flatnonzero(valid)
-        if not len(windows):
+        if not valid.any():
             return
         # A gram is some window's least one where it equals the greatest least value over it.
         border = np.zeros(SPAN - 1, np.uint64)
-        over = _sliding(np.concatenate([border, least, border]), SPAN, np.maximum)
-        candidates = np.flatnonzero(grams == over)
-        pointer = np.searchsorted(candidates, windows) if len(candidates) < len(windows) // 64 else \
-            np.concatenate([[0], np.cumsum(np.bincount(candidates, minlength=len(grams)))])[windows]
-        anchor = np.empty(len(windows), np.int64)
-        todo = np.arange(len(windows))
+        around = np.concatenate([border, least, border])
+        chosen = np.empty(len(grams), bool)
+        for a, b in _chunks(len(grams)):
+            np.equal(grams[a:b], _sliding(around[a:b + SPAN - 1], SPAN, np.maximum), out=chosen[a:b])
+        # Neighbouring windows with one least value and no such gram between their starts have one anchor.
+        apart = np.ones(len(least) + 1, bool)
+        apart[1:-1] = (least[1:] != least[:-1]) | chosen[:len(least) - 1] | ~valid[1:] | ~valid[:-1]
+        start = np.flatnonzero(valid & apart[:-1])
+        count = np.flatnonzero(valid & apart[1:]) - start + 1
+        candidates = np.flatnonzero(chosen)
+        pointer = np.searchsorted(candidates, start)
+        anchor = np.empty(len(start), np.int64)
+        todo = np.arange(len(start))
         while len(todo):
             at = candidates[pointer]
-            hit = grams[at] == least[windows[todo]]
+            hit = grams[at] == least[start[todo]]
             anchor[todo[hit]] = at[hit]
             todo, pointer = todo[~hit], pointer[~hit] + 1
-        new = np.concatenate([[True], (np.diff(anchor) != 0) | (np.diff(windows) != 1)])
+        new = np.concatenate([[True], (np.diff(anchor) != 0) | (start[1:] != start[:-1] + count[:-1])])
         first = np.flatnonzero(new)
-        self.start = windows[first]
-        self.count = np.diff(np.concatenate([first, [len(windows)]]))
+        self.start = start[first]
+        self.count = np.add.reduceat(count, first)
         self.anchor = grams[anchor[first]]
         self.segment = self.hashes(self.start, self.count + LENGTH - 1)
 

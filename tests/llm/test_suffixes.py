@@ -135,3 +135,37 @@ def test_the_key_and_the_number_of_buckets_change_nothing(spark, monkeypatch):
     for key in (0, 1, 2 ** 64 - 1):
         monkeypatch.setattr(X.secrets, "randbits", lambda bits, key=key: key)
         assert sorted(map(str, X.repeated_passages(table, bucket_bytes=2000).collect())) == want
+
+
+def test_ties_take_the_steps_of_their_own_size(monkeypatch):
+    """Many pairs are no large group: each is compared once, however many there are."""
+    asked, network = [], S._network
+    monkeypatch.setattr(S, "_network", lambda n: asked.append(n) or network(n))
+    rng = np.random.default_rng(5)
+    one = rng.integers(0, 256, 5000, np.uint8)
+    three = np.concatenate([one, one, one[:300]])
+    at = np.concatenate([np.arange(0, 4900, 10), np.arange(5000, 9900, 10), np.arange(10_000, 10_200, 10)])
+    got = S.repeated_windows(three, at, np.arange(len(at)))
+    assert set(asked) == {2, 3}
+    seen, want = set(), []
+    for i in at.tolist():
+        text = three[i:i + S.LENGTH].tobytes()
+        want.append(text in seen)
+        seen.add(text)
+    assert got.tolist() == want
+
+
+@pytest.mark.parametrize("around", [-101, -69, -32, -1, 0, 1, 68, 131])
+def test_chunks_leave_no_seam(monkeypatch, around):
+    """Segments are the same whatever number of places is hashed at a time."""
+    rng = np.random.default_rng(7)
+    data = rng.integers(0, 3, 4096 + around, np.uint8).tobytes() + b"ab" * 400 + b"c" * 300
+    ends = np.array([900, 950, 950, 3000, len(data)])
+
+    def segments(chunk):
+        monkeypatch.setattr(X, "CHUNK", chunk)
+        pack = X.Pack(data, ends, 12345)
+        return [x.tolist() for x in (pack.start, pack.count, pack.anchor, pack.segment)]
+
+    whole = segments(1 << 20)
+    assert len(whole[0]) > 50 and segments(4096) == whole and segments(64) == whole
