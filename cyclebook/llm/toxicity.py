@@ -26,7 +26,7 @@ MAX_LABELLED = 30_000
 MAX_TERMS = 4096
 FACTORS = 4
 EVIDENCE = 25.0  # nats of a pair; chance reaches them in about one of 10**11 pairs
-CELLS = 1 << 24  # pair counts that a task holds
+BLOCK = 1024  # terms whose pairs a task counts
 
 
 def terms(text: bytes) -> np.ndarray:
@@ -145,40 +145,50 @@ def _paired(spark: SparkSession, at: np.ndarray, ends: np.ndarray, labels: np.nd
         return np.zeros(0, np.int64)
     toxic = int(ends[int((labels == 0).sum())])
     rate = np.bincount(at[toxic:], minlength=size) / np.maximum(np.bincount(at, minlength=size), 1)
-    held = spark.sparkContext.broadcast((at, ends, labels > 0, rate))
-    width = max(1, CELLS // size)
+    held = spark.sparkContext.broadcast((at, ends, toxic, rate))
 
     def count(batches):
-        at, ends, toxic, rate = held.value
         for batch in batches:
-            for low in (batch["id"].to_numpy() * width).tolist():
-                high, wide = min(low + width, size), size - low
-                both, bad = np.zeros((high - low) * wide, np.int32), np.zeros((high - low) * wide, np.int32)
-                for a, b, y in zip(ends[:-1].tolist(), ends[1:].tolist(), toxic.tolist()):
-                    row = at[a:b]
-                    first, last = np.searchsorted(row, (low, high))
-                    if first < last:
-                        own = row[first:last].astype(np.int64) - low
-                        cells = (own[:, None] * wide + (row[first:] - low)).ravel()
-                        both[cells] += 1
-                        if y:
-                            bad[cells] += 1
-                found = np.zeros(size, bool)
-                for k in range(high - low):
-                    line = slice(k * wide, (k + 1) * wide)
-                    other = np.flatnonzero(both[line])
-                    strong = other[_evidence(both[line][other], bad[line][other], rate[low + k],
-                                             rate[low + other]) >= EVIDENCE]
-                    found[low + strong] = True
-                    found[low + k] |= len(strong) > 0
-                yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(found), pa.int64())], names=["place"])
-
-    blocks = -(-size // width)
+            for low in (batch["id"].to_numpy() * BLOCK).tolist():
+                found = _strong(*held.value, low, min(low + BLOCK, size))
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["place"])
+
+    blocks = -(-size // BLOCK)
     hits = spark.range(0, blocks, 1, blocks).mapInArrow(count, "place long").distinct().collect()
     held.destroy()
     return np.array(sorted(r.place for r in hits), np.int64)
 
 
+def _strong(at: np.ndarray, ends: np.ndarray, toxic: int, rate: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Places in a pair of enough evidence whose lesser place is in ``low`` to ``high``.
+
+    Only the texts that hold a term are looked at for it; those from ``toxic`` on are toxic.
+    """
+    found, size = np.zeros(len(rate), bool), len(rate)
+    own = np.flatnonzero((at >= low) & (at < high))
+    own = own[np.argsort(at[own], kind="stable")]
+    stop = ends[np.searchsorted(ends, own, "right")]
+    edges = np.searchsorted(at[own], np.arange(low, high + 1)).tolist()
+    with np.errstate(divide="ignore"):
+        # A pair of this term in fewer texts has too little evidence even if all of them agree.
+        least = EVIDENCE / np.maximum(-np.log(rate[low:high]), -np.log(1 - rate[low:high])) - 1e-6
+    for k in range(high - low):
+        first, last = edges[k], edges[k + 1]
+        if last - first < least[k]:
+            continue
+        rest = [at[a + 1:b] for a, b in zip(own[first:last].tolist(), stop[first:last].tolist())]
+        clean = int(np.searchsorted(own[first:last], toxic))
+        both = np.bincount(np.concatenate([at[:0], *rest]), minlength=size)
+        other = np.flatnonzero(both >= max(least[k], 1))
+        if not len(other):
+            continue
+        bad = np.bincount(np.concatenate([at[:0], *rest[clean:]]), minlength=size)
+        strong = other[_evidence(both[other], bad[other], rate[low + k], rate[other]) >= EVIDENCE]
+        found[strong] = True
+        found[low + k] |= len(strong) > 0
+    return np.flatnonzero(found)
+
+
 def _evidence(n: np.ndarray, t: np.ndarray, one: float, other: np.ndarray) -> np.ndarray:
     """Nats by which t toxic of n texts speak against the nearer of both terms' own rates."""
     r = t / n

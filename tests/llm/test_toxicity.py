@@ -37,6 +37,36 @@ def test_pairs_of_terms_that_are_as_usual_in_clean_texts_are_learnt(spark):
     assert len(right) > 300 and np.mean(right) > 0.95
 
 
+def test_pair_counting_looks_only_at_texts_that_hold_a_term(monkeypatch):
+    """Strong pairs as counted one by one, with few reads of texts that hold no term of the block."""
+    rng = np.random.default_rng(9)
+    size, rows = 40, []
+    for i in range(400):
+        toxic = i >= 300
+        row = set(np.flatnonzero(rng.random(size) < 0.1).tolist()) - ({3, 7} if not toxic else set())
+        rows.append(sorted(row | ({3, 7} if toxic and i % 2 else {3} if i % 5 == 0 else {7} if i % 5 == 1 else set())))
+    at = np.array([t for r in rows for t in r], np.int32)
+    ends = np.cumsum([0, *map(len, rows)])
+    toxic = int(ends[300])
+    rate = np.bincount(at[toxic:], minlength=size) / np.bincount(at, minlength=size)
+    wanted = set()
+    for a in range(size):
+        for b in range(a + 1, size):
+            own = [i >= 300 for i, r in enumerate(rows) if a in r and b in r]
+            if own and T._evidence(np.array([len(own)]), np.array([sum(own)]), rate[a], rate[b:b + 1])[0] >= T.EVIDENCE:
+                wanted |= {a, b}
+    assert {3, 7} <= wanted
+    found = [T._strong(at, ends, toxic, rate, low, min(low + 16, size)) for low in range(0, size, 16)]
+    assert set(np.concatenate(found).tolist()) == wanted
+    # 200,000 texts without a term of the block cost no step each.
+    bare = np.full(200_000, size - 1, np.int32)
+    steps = []
+    plain = np.searchsorted
+    monkeypatch.setattr(T.np, "searchsorted", lambda *a, **k: steps.append(1) or plain(*a, **k))
+    T._strong(np.concatenate([at, bare]), np.concatenate([ends, ends[-1] + 1 + np.arange(len(bare))]), toxic, rate, 0, 16)
+    assert len(steps) < 100
+
+
 def test_repeating_every_row_changes_no_score(spark):
     rng = random.Random(6)
     words = ["".join(rng.choices("abdeiklnorst", k=5)) for _ in range(200)]
