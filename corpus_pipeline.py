@@ -7,21 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclebook.llm import decontaminate, pieces, pii, quality, simhash
-from cyclebook.llm.shared import staged
+from cyclebook.llm.shared import for_whole_texts, staged
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that importance resampling rejects."""
+    for_whole_texts(spark)
     return quality.resample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies."""
+    for_whole_texts(spark)
     return simhash.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a window of a benchmark item."""
+    for_whole_texts(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.benchmark_hits(docs, benchmark)
     return found.filter(F.size("hit_spans") == 0).select(*docs.columns)
@@ -37,6 +40,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the SentencePiece ids of the text and the text that they decode to."""
+    for_whole_texts(spark)
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.encode_and_decode(docs, model)
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from cyclebook.llm.shared import add_columns, texts
 
 MARK = "▁"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 CACHED_PAIRS = 300_000
 
 
@@ -39,7 +39,7 @@ class Pieces:
         self.id_of = {m.id_to_piece(i): i for i in ids if i not in special}
         self.score = {p: m.get_score(i) for p, i in self.id_of.items()}
         # Pieces that the merges can build; the others never occur in a segmentation.
-        self.whole = {p for p in self.id_of if self.merged(p) == [p]}
+        self.whole = {p: p for p in self.id_of if self.merged(p) == [p]}
         #: Every ending of such a piece, and whether it is itself one.
         self.tails = {p[i:]: p[i:] in self.whole for p in self.whole for i in range(len(p))}
         # Full stops and commas after an ASCII letter, where no piece holds both side by side.
@@ -84,7 +84,9 @@ class Pieces:
         """Whether the merges keep ``a`` and ``b`` apart when one follows the other."""
         if len(self.pairs) >= CACHED_PAIRS:
             self.pairs.clear()
-        known = self.pairs[a, b] = a not in self.whole or self.merged(a + b) == [a, b]
+        # The pieces' own strings stand in the table, not the slices of a word.
+        pair = self.whole.get(a, a), self.whole.get(b, b)
+        known = self.pairs[pair] = a not in self.whole or self.merged(a + b) == [a, b]
         return known
 
     def segment_sorted(self, words: list[str]):

@@ -62,3 +62,11 @@ def test_round_trip_of_a_table(spark):
 
 def test_empty_table(spark):
     assert P.round_trip(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_pairs_hold_the_strings_of_the_pieces():
+    """A worker's table of pairs keeps no slice of a word."""
+    own = P.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    own.encode(["the quick brown foxes were jumping over lazily sleeping dogs"])
+    seen = [p for pair in own.pairs for p in pair if p in own.whole]
+    assert len(seen) > 20 and all(p is own.whole[p] for p in seen)

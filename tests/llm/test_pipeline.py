@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,19 @@ def test_stages_call_the_operators_in_order(stages, spark):
     assert coded.filter("decoded != text").count() == 0
 
 
+def test_stages_send_few_texts_at_a_time(stages, spark):
+    """A batch of a stage's Python workers has few megabytes, however many rows that is."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["rows", "bytes"])
+
+    wide = spark.range(0, 6000, 1, 1).select(F.lit("x" * 4000).alias("text"))
+    found = wide.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r.rows for r in found) == 6000 and max(r.bytes for r in found) < 5_000_000
+    slim = spark.range(0, 6000, 1, 1).mapInArrow(sizes, "rows long, bytes long").collect()
+    assert max(r.rows for r in slim) <= 2048
+
+
 CLASHING = ["__id", "__hash", "__w", "__spans", "__place", "__gone", "__salt", "__row", "__text", "sample_key", "log_weight", "low",
             "rows", "fingerprint", "component_id", "old_spans", "old_items", "__old", "y", "terms", "block"]
 
