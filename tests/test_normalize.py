@@ -196,3 +196,25 @@ def test_older_ice_kind(spark):
                                "i string, n string, p string")
     assert by(df.select("i", normalize.ice_leg_kind_by_name("p", "n").alias("k")), "i", "k") == {
         "1": "Swap", "2": "Leg", "3": "Outright"}
+
+
+def test_versions_and_parents_are_found_where_the_rows_lie(spark, raw_rows, calendar_rows, rule_rows):
+    """Raw rows are stored by their id; only narrow parent ids and the legs of spreads are shuffled."""
+    neon = [{"trade_id": "p", "price": "1"}, {"trade_id": "c", "parent_trade_id": "p", "price": "2"},
+            {"trade_id": " ", "price": "3"}, {"trade_id": " ", "price": "4"},
+            {"trade_id": "c", "parent_trade_id": "gone", "price": "5", "_modified": LATE}]
+    flagged = normalize.latest_with_parents(raw_rows("Neon", *neon))
+    assert sorted((r.price, r.is_parent) for r in flagged.collect()) == [("1", False), ("3", False), ("4", False), ("5", False)]
+    assert by(normalize.latest_with_parents(raw_rows("Neon", *neon[:4])), "price", "is_parent") == {
+        "1": True, "2": False, "3": False, "4": False}
+    plan = flagged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "hashpartitioning(__own" not in plan and "hashpartitioning(own_key" not in plan
+    ref = make_ref(calendar_rows, rule_rows, "ICE", {"raw_product": "sw cr - edm", "index_trade_financial": "Trade"})
+    rows = [ice_row(deal_id="1", price="1"), ice_row(deal_id="1", price="2", is_cancelled="Y", _modified=LATE),
+            ice_row(deal_id="2", price="3", is_cancelled="Y"), ice_row(deal_id="2", price="4", _modified=LATE),
+            ice_row(deal_id="4", price="6", spread_parent_id="S"), ice_row(deal_id="3", price="5", spread_parent_id="S"),
+            ice_row(deal_id="5", price="7")]
+    out = normalize.normalize_ice(raw_rows("ICE", *rows), ref)
+    assert by(out, "trade_id", "price") == {"2": 4.0, "3": 5.0, "5": 7.0}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "hashpartitioning(deal_id" not in plan and "__apart" not in plan.split("hashpartitioning(spread_parent_id")[1].split(")")[0]

@@ -230,3 +230,37 @@ def test_estimates_need_first_days(spark, calendar_rows):
     cal = calendar.prepare_calendar(calendar_rows(("2026-08-01", "2026-07-01", "2026-07-15")))
     with pytest.raises(Exception, match="no first of a month"):
         calendar.backfill_trade_cycle(rows, cal).collect()
+
+
+def test_stored_rows_are_chosen_without_a_shuffle(spark, tmp_path, monkeypatch):
+    from cyclebook.sources import sinks
+    rows = [(k, n, i) for i, (k, n) in enumerate([("a", 1), ("a", 2), (None, 1), (None, 3), ("", 1), ("", 2), ("b", 1), ("b", 5),
+                                                  ("b", 4), ("c", None)])]
+    df = spark.createDataFrame(rows, "k string, n int, at int")
+    blank, order = F.coalesce(F.col("k") == "", F.lit(False)), [F.col("n").desc_nulls_last()]
+    want = {tuple(r) for r in ranking.keep_first(df, ["k"], order, blank, ["at"]).select(*df.columns).collect()}
+
+    def keep_by(table, name, key, buckets):
+        return sinks.stage_by(table, name, str(tmp_path), key, buckets)
+
+    for hot in (10, 2, 1):  # with 1, null, "a" and "b" are hot
+        monkeypatch.setattr(ranking, "HOT_ROWS", hot)
+        got = ranking.keep_first_stored(df, "k", order, keep_by, 3, blank, F.concat(F.lit("\u0000"), F.col("at")))
+        assert sorted(map(str, (tuple(r) for r in got.select(*df.columns).collect()))) == sorted(map(str, want)), hot
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange" in plan) == (hot < 3), hot
+        assert ("row_number(), 1, Partial" in plan) == (hot < 3) and "SelectedBucketsCount: 3 out of 3" in plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("versions_")]
+
+
+def test_files_are_ranked_without_moving_rows(spark):
+    from cyclebook.operators.ordinal import with_row_order
+    df = spark.createDataFrame([(f"f{i % 3}", dt.datetime(2026, 6, 1 + i % 3), 0, i) for i in range(9)],
+                               "source_file string, source_file_modified timestamp, source_block long, source_row long")
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = with_row_order(df)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

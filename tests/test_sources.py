@@ -339,3 +339,23 @@ def test_grouped_write_keeps_null_groups(spark, tmp_path):
     assert sorted((str(r.index_group), r.v) for r in back.collect()) == [
         ("None", 2), ("SW", 1), ("SYN", 3)]
     assert sinks.read_table(spark, str(tmp_path / "none")) is None
+
+
+def test_grouped_writes_move_no_row(spark, tmp_path):
+    df = spark.range(0, 12, numPartitions=3).selectExpr("cast(id % 2 as string) as index_group", "id")
+    sinks.write_grouped(df, str(tmp_path / "t"), "index_group")
+    names = [f.name for f in (tmp_path / "t").rglob("*.parquet")]
+    assert len(names) == 6 and all(n.endswith("zstd.parquet") for n in names)  # each of three tasks has both groups
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 12
+
+
+def test_scratch_tables_pass_with_the_build_that_made_them(spark, tmp_path):
+    df = spark.range(10)
+    with sinks.passing(spark):
+        gone = sinks.stage(df, "gone", str(tmp_path))
+        placed, spread = sinks.stage_by(df, "gone", str(tmp_path), "id", 2)
+        kept = sinks.stage(df, "kept", str(tmp_path), lasting=True)
+        assert placed.count() == spread.count() == gone.count() == 10
+    assert kept.count() == 10
+    held = {p.name.split("-")[0]: sum(f.stat().st_size for f in p.rglob("part-*")) for p in tmp_path.iterdir()}
+    assert len(list(tmp_path.iterdir())) == 3 and held["gone"] < 1000

@@ -140,3 +140,16 @@ def test_the_store_of_an_empty_folder(spark, tmp_path, lake):
         warnings.simplefilter("ignore")
         empty = dataset.load_combined(spark, str(tmp_path / "nothing"), lake.ref, str(tmp_path / "s2"))
     assert empty.count() == 0 and store.head(spark, str(tmp_path / "s2")).number == 1
+
+
+def test_a_build_leaves_no_rows_in_the_scratch_folder(spark, lake, tmp_path, monkeypatch):
+    from cyclebook.sources import sinks
+    scratch = tmp_path / "scratch"
+    scratch.mkdir()
+    monkeypatch.setattr(sinks, "scratch_folder", lambda session: str(scratch))
+    assert lake.update().number == 1
+    tables = list(scratch.iterdir())
+    assert {t.name.split("-")[0] for t in tables} == {"versions", "copies"}
+    assert sum(t.name.startswith("versions") for t in tables) == 2  # one for each source: chosen versions are not chosen again
+    assert all(spark.read.parquet(str(t)).count() == 0 for t in tables)
+    assert len(lake.ids()) == 7
